@@ -28,13 +28,17 @@ def decoded_to_observations(df: DataFrame) -> DataFrame:
 
 def parse_timestamp(col) -> F.Column:
     """``yyyy-MM-dd HH:mm:ss``, then ``yyyy-MM-dd HH:mm``, then Spark's default
-    parse; NULL if none fits (the row is kept)."""
+    parse; NULL if none fits (the row is kept).
+
+    The result is a zone-less ``timestamp_ntz`` holding the civil time of the
+    text (parse and conversion use the same session zone).
+    """
     c = F.col(col) if isinstance(col, str) else col
     return F.coalesce(
         F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")),
         F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm")),
         F.try_to_timestamp(c),
-    )
+    ).cast("timestamp_ntz")
 
 
 def clean_observations(df: DataFrame) -> DataFrame:

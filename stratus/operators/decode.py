@@ -174,10 +174,15 @@ def decode_reports(df: DataFrame, report_col: str = "REPORT",
              for k, v in values.items()}
     if extras:
         final["dewpoint_gt_temp"] = F.coalesce(~_h("nil") & (_h("td") > _h("t")), F.lit(False))
-    out = out.withColumns(final)
     if keep_helpers:
-        return out
-    return out.drop(*[c for c in out.columns if c.startswith(_P)])
+        return out.withColumns(final)
+    # The readings leave through a one-row generator.  A filter or aggregate
+    # on a reading cannot be pushed below a generator's output, so the
+    # optimizer never inlines the layers above into a later predicate (which
+    # would copy every token slice into every condition and explode the plan).
+    passthrough = [F.col(c) for c in out.columns if not c.startswith(_P)]
+    packed = F.array(F.struct(*[v.alias(k) for k, v in final.items()]))
+    return out.select(*passthrough, F.inline(packed))
 
 
 def reading_columns(extras: bool = False) -> list[str]:

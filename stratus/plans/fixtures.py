@@ -100,5 +100,22 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def with_views(sql: str, *names: str) -> str:
     """Prefix ``sql`` with the named views as CTEs (for the DuckDB oracle)."""
+    if not names:
+        return sql.strip()
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n][0].strip()}\n)" for n in names)
     return f"WITH {ctes}\n{sql.strip()}"
+
+# Station coordinate table built from ``supplier``: repeated ids (last line
+# wins), ids that override built-in stations, one unknown to the built-in
+# table, and unparsable latitudes that must be dropped.
+STATIONS_EXT_SQL = """
+SELECT s_suppkey AS line_no,
+ CASE s_suppkey%9 WHEN 0 THEN '98444' WHEN 1 THEN '98999' WHEN 2 THEN '98446'
+   ELSE '97' || lpad(cast(s_suppkey AS string),3,'0') END AS wmo_id,
+ CASE WHEN s_suppkey%7=0 THEN 'n/a'
+   ELSE cast(s_nationkey AS string) || '.' || lpad(cast(s_suppkey%100 AS string),2,'0') END AS lat,
+ '12' || cast(s_suppkey%10 AS string) || '.5' AS lon
+FROM supplier
+"""
+
+VIEWS["stations_ext"] = (STATIONS_EXT_SQL, ("supplier",))
