@@ -47,3 +47,23 @@ def run_counts(decoded: DataFrame) -> DataFrame:
     if "dewpoint_gt_temp" in decoded.columns:
         aggs.append(F.count_if(F.col("dewpoint_gt_temp")).alias("dewpoint_warnings"))
     return decoded.agg(*aggs)
+
+
+def run_decode(spark, input_path, output_path: str, sep: str = "auto",
+               stations_path: str | None = None, csv_output: bool = False,
+               extras: bool = False) -> DataFrame:
+    """Undecoded CSV file(s) -> decoded observations written to ``output_path``
+    (Parquet, or the 13-column CSV text form).  Returns the run counts."""
+    from stratus.sinks import write_decoded_csv, write_parquet
+    from stratus.sources.stations import read_station_csv
+    from stratus.sources.undecoded import read_undecoded_csv
+
+    raw = read_undecoded_csv(spark, input_path, sep=sep)
+    stations = read_station_csv(spark, stations_path) if stations_path else None
+    decoded = decode_raw(raw, stations, extras=extras)
+    if csv_output:
+        write_decoded_csv(decoded, output_path)
+    else:
+        write_parquet(decoded, output_path)
+    written = spark.read.parquet(output_path) if not csv_output else None
+    return run_counts(written if written is not None else decoded)
