@@ -22,9 +22,44 @@ from stratus.operators.coverage import period_coverage
 from stratus.operators.decode import decode_reports
 from stratus.plans import fixtures
 from stratus.plans.decode_job import decode_raw, run_counts
-from stratus.plans.fixtures import with_views
+from stratus.plans.fixtures import with_views as _with_views
 from stratus.sources.stations import station_table
 
+def spark_round_sql(sql: str) -> str:
+    """Rewrite every ``round(x, n)`` of an oracle query into Spark's rounding
+    rule: half-up on the shortest decimal text of the double (DuckDB's own
+    ``round`` works on the binary value and differs on exact ``.5`` ties)."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 1, j + 6, None
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        arg, digits = spark_round_sql(sql[j + 6:comma]), sql[comma + 1:k - 1].strip()
+        out.append(sql[i:j])
+        out.append(f"CAST(round(CAST(CAST(({arg}) AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)")
+        i = k
+
+
+def with_views(sql: str, *views: str) -> str:
+    """Oracle text: the query with Spark's rounding, over the fixture views."""
+    return _with_views(spark_round_sql(sql), *views)
+
+
 READING_SQL = ("report_id, t AS temp, p AS pressure, h AS humidity, ws AS wind_speed, "
                "wd AS wind_dir, cc AS cloud_cover, vis AS visibility_m, rn AS rain_3h")
 
