@@ -43,15 +43,22 @@ def period_coverage(reports: DataFrame, start_year: int, end_year: int, days: in
     step = days * 1440
     start_c = F.lit(start.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     stop_c = F.lit(stop.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-    minutes = F.timestamp_diff("MINUTE", start_c, F.col(ts_col).cast("timestamp_ntz"))
-    counts = (reports
-              .where((F.col(ts_col).cast("timestamp_ntz") >= start_c)
-                     & (F.col(ts_col).cast("timestamp_ntz") < F.timestamp_add("MINUTE", F.lit(1), stop_c)))
-              .groupBy(F.col(station_col).alias("station"),
-                       F.floor(minutes / step).cast("int").alias("period"))
-              .agg(F.count(F.lit(1)).alias("reports")))
+    # one pass over the reports: counts per station and period, with reports
+    # outside the window kept as period NULL so that the station list comes
+    # from the same small aggregate (its shuffle is computed once and reused).
+    # ``ts`` and the minute offset get their own projections so a long
+    # timestamp expression is evaluated once, not inlined at every use.
+    timed = reports.select(F.col(station_col).alias("station"),
+                           F.col(ts_col).cast("timestamp_ntz").alias("_ts"))
+    timed = timed.withColumn("_min", F.timestamp_diff("MINUTE", start_c, F.col("_ts")))
+    in_window = (F.col("_ts") >= start_c) & (F.col("_ts") < F.timestamp_add("MINUTE", F.lit(1), stop_c))
+    per = (timed
+           .withColumn("period", F.when(in_window, F.floor(F.col("_min") / step).cast("int")))
+           .groupBy("station", "period")
+           .agg(F.count(F.lit(1)).alias("reports")))
+    counts = per.where(F.col("period").isNotNull())
     if stations is None:
-        stations = reports.select(F.col(station_col).alias("station")).distinct()
+        stations = per.select("station").distinct()
     else:
         stations = stations.select(F.col(station_col).alias("station")).distinct()
     if n == 0:

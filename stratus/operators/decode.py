@@ -22,6 +22,7 @@ from stratus.functions.scalars import (
     visibility_m,
 )
 from stratus.schemas import READINGS
+from stratus.session import fence
 
 # Anchored group patterns: five characters, the right lead digit, digits where
 # the value is read.  Anything else in a section is skipped.
@@ -176,13 +177,12 @@ def decode_reports(df: DataFrame, report_col: str = "REPORT",
         final["dewpoint_gt_temp"] = F.coalesce(~_h("nil") & (_h("td") > _h("t")), F.lit(False))
     if keep_helpers:
         return out.withColumns(final)
-    # The readings leave through a one-row generator.  A filter or aggregate
-    # on a reading cannot be pushed below a generator's output, so the
-    # optimizer never inlines the layers above into a later predicate (which
-    # would copy every token slice into every condition and explode the plan).
-    passthrough = [F.col(c) for c in out.columns if not c.startswith(_P)]
-    packed = F.array(F.struct(*[v.alias(k) for k, v in final.items()]))
-    return out.select(*passthrough, F.inline(packed))
+    # The readings leave through a fence (a one-row generator): a later filter
+    # on a reading is not pushed into the layers above, which would copy every
+    # token slice into the condition and explode the plan.
+    out = out.withColumns(final)
+    out = out.drop(*[c for c in out.columns if c.startswith(_P)])
+    return fence(out, list(final))
 
 
 def reading_columns(extras: bool = False) -> list[str]:

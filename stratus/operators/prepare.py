@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stratus.functions import codes
 from stratus.functions.scalars import lenient_int, strip_ws
+from stratus.session import fence
 
 _P = "_prep_"
 
@@ -51,7 +52,8 @@ def prepare_records(df: DataFrame) -> DataFrame:
         "time": F.when(F.col("decode_error"), F.lit(""))
         .otherwise(F.format_string("%02d:%02d:00", F.col(_P + "hh"), F.col(_P + "mi"))),
     })
-    return out.drop(*[c for c in out.columns if c.startswith(_P)])
+    out = out.drop(*[c for c in out.columns if c.startswith(_P)])
+    return fence(out, ["station_id", "date", "time", "decode_error"])
 
 
 def builtin_coordinates(station_col: str = "station_id"):

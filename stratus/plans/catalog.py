@@ -20,6 +20,7 @@ from stratus.operators import chartdata as chart
 from stratus.operators.clean import clean_observations, decoded_to_observations
 from stratus.operators.coverage import period_coverage
 from stratus.operators.decode import decode_reports
+from stratus.operators.prepare import attach_coordinates, prepare_records
 from stratus.plans import fixtures
 from stratus.plans.decode_job import decode_raw, run_counts
 from stratus.plans.fixtures import with_views as _with_views
@@ -138,7 +139,10 @@ JOIN synop_expected x USING (report_id)
 
 
 def q_synop_station_override(spark, sf):
-    return _decoded(spark, sf, stations=True).select("report_id", "station_id", "lat", "lon")
+    """Coordinates only: preparation and the station lookup, no decode."""
+    ext = station_table(fixtures.view(spark, sf, "stations_ext"), "line_no")
+    prepared = prepare_records(fixtures.view(spark, sf, "synop"))
+    return attach_coordinates(prepared, ext).select("report_id", "station_id", "lat", "lon")
 
 
 O_SYNOP_STATION_OVERRIDE = with_views(f"""
@@ -400,8 +404,9 @@ FROM {_DEC_OBS} d WHERE t BETWEEN 10 AND 45 GROUP BY 1, 2 ORDER BY 1, 2""", "syn
 
 
 def q_report_coverage(spark, sf):
-    dec = decoded_to_observations(_decoded(spark, sf))
-    reports = dec.withColumn("ts", F.to_timestamp_ntz(F.col("datetime")))
+    """Report times need only the preparation stage (no decode)."""
+    prepared = decoded_to_observations(prepare_records(fixtures.view(spark, sf, "synop")))
+    reports = prepared.withColumn("ts", F.to_timestamp_ntz(F.col("datetime")))
     return period_coverage(reports, COVERAGE_START, COVERAGE_END, COVERAGE_DAYS,
                            now=COVERAGE_NOW, station_col="station_id", ts_col="ts")
 

@@ -13,17 +13,19 @@ from pyspark.sql import functions as F
 from stratus.operators.decode import decode_reports, reading_columns
 from stratus.operators.prepare import attach_coordinates, prepare_records
 from stratus.schemas import DECODED_COLUMNS
+from stratus.session import spread
 
 
 def decode_raw(raw: DataFrame, stations: DataFrame | None = None,
-               extras: bool = False, keep: list[str] | None = None) -> DataFrame:
+               extras: bool = False, keep: list[str] | None = None,
+               parallel: bool = True) -> DataFrame:
     """Decoded observations, one output row per input row.
 
     ``keep`` names input columns to carry along (e.g. a report id).  Rows
     with an impossible year keep their station id; their date and time are
     ``''`` and every number is NULL, flagged by ``decode_error``.
     """
-    prepared = prepare_records(raw)
+    prepared = prepare_records(spread(raw) if parallel else raw)
     located = attach_coordinates(prepared, stations)
     decoded = decode_reports(located, "REPORT", extras=extras)
     err = F.col("decode_error")

@@ -67,3 +67,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written intermediate."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/stratus/{name}-{os.getpid()}-{id(spark)}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin an input that arrives in fewer partitions than the cluster
+    has cores (e.g. one large row group) so CPU-heavy row-wise work runs in
+    parallel.  Inputs that already have enough partitions are returned as is,
+    so at scale this adds no shuffle."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
+def fence(df, columns: list[str]):
+    """Pass ``columns`` out through a one-row generator (``inline``).
+
+    Catalyst pushes a filter below a projection by substituting the
+    projection's expressions into the condition; after a long chain of
+    layered projections that copies every layer into the condition (and into
+    the generated code).  A predicate on a generator's output cannot be pushed
+    below the generator, so filters on fenced columns stay where they are,
+    while filters on other columns still reach the scan.  The generator emits
+    exactly one row per input row and runs inside whole-stage codegen.
+    """
+    from pyspark.sql import functions as F
+
+    names = set(columns)
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    packed = F.array(F.struct(*[F.col(f"`{c}`") for c in columns]))
+    return df.select(*rest, F.inline(packed))

@@ -31,9 +31,12 @@ def test_no_python_in_any_registered_query(spark):
 
 def test_decode_plan_is_small_and_narrow(spark):
     raw = fixtures.view(spark, SF, "synop")
-    dec = decode_raw(raw, keep=["report_id"])
+    dec = decode_raw(raw, keep=["report_id"], parallel=False)
     assert len(optimized(dec)) < 20000
     assert "Exchange" not in physical(dec)
+    # a one-partition input is spread round-robin; that is the only exchange
+    spread = physical(decode_raw(raw, keep=["report_id"]))
+    assert spread.count("Exchange") == 1 and "RoundRobinPartitioning" in spread
 
 
 def test_filters_after_decode_do_not_inline_layers(spark):
