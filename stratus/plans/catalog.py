@@ -435,6 +435,19 @@ FROM g LEFT JOIN c USING (station, period)"""
 O_REPORT_COVERAGE = _coverage_sql()
 
 
+def q_raw_reply_parse(spark, sf):
+    """Raw reply lines -> raw report table, exact station match by reply."""
+    from stratus.sources.raw_reply import parse_replies
+
+    lines = fixtures.reply_lines(spark, sf).withColumnRenamed("line_no", "line_order")
+    return parse_replies(lines, station_pattern=r"^([0-9]+)/")
+
+
+O_RAW_REPLY_PARSE = with_views("""
+SELECT WMOIND, YEAR, MONTH, DAY, HOUR, MIN, REPORT FROM synop
+WHERE CAST(DAY AS INTEGER) % 7 <> 3 AND WMOIND <> '98999'""", "synop")
+
+
 QUERIES = {
     "synop_decode": (q_synop_decode, O_SYNOP_DECODE),
     "synop_decoded_table": (q_synop_decoded_table, O_SYNOP_DECODED_TABLE),
@@ -459,4 +472,5 @@ QUERIES = {
     "station_summary": (q_station_summary, O_STATION_SUMMARY),
     "station_daily_temp": (q_station_daily_temp, O_STATION_DAILY_TEMP),
     "report_coverage": (q_report_coverage, O_REPORT_COVERAGE),
+    "raw_reply_parse": (q_raw_reply_parse, O_RAW_REPLY_PARSE),
 }

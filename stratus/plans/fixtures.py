@@ -119,3 +119,29 @@ FROM supplier
 """
 
 VIEWS["stations_ext"] = (STATIONS_EXT_SQL, ("supplier",))
+
+# Reply lines built from ``synop``: one reply per requested station and day.
+# Even days carry a header line, days = 3 (mod 7) open with a server message,
+# the others open with a blank line; the unknown station's reports sit in
+# another station's replies; some whitespace-only lines are mixed in.
+REPLY_LINES_SQL = """
+WITH s AS (SELECT report_id, WMOIND, YEAR, MONTH, DAY, HOUR, MIN, REPORT,
+             CASE WHEN WMOIND = '98999' THEN '98444' ELSE WMOIND END AS req,
+             cast(DAY AS int) AS d FROM synop),
+r AS (SELECT DISTINCT req, d FROM s)
+SELECT req || '/' || cast(d AS string) AS reply, CAST(0 AS BIGINT) AS line_no,
+  CASE WHEN d%7=3 THEN 'Status: NO DATA for this period'
+       WHEN d%2=0 THEN 'WMOIND,YEAR,MONTH,DAY,HOUR,MIN,REPORT' ELSE '' END AS line FROM r
+UNION ALL
+SELECT req || '/' || cast(d AS string), report_id*2+1,
+  WMOIND || ',' || YEAR || ',' || MONTH || ',' || DAY || ',' || HOUR || ',' || MIN || ',' || REPORT FROM s
+UNION ALL
+SELECT req || '/' || cast(d AS string), report_id*2+2, '   ' FROM s WHERE report_id%5=0
+"""
+
+
+def reply_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``reply line_no line`` over ``synop`` (itself over ``events``)."""
+    fixtures_synop = view(spark, sf_dir, "synop")
+    fixtures_synop.createOrReplaceTempView("synop")
+    return spark.sql(REPLY_LINES_SQL)

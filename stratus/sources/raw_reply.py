@@ -39,13 +39,17 @@ _FIELDS_DDL = ", ".join(f"f{i} STRING" for i in range(MAX_HEADER_FIELDS))
 def read_reply_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of the landed reply files: ``reply line_order line``.
 
-    ``line_order`` orders lines within a file: (split offset, position in the
-    task), both increasing along the file.
+    ``line_order`` is a long that increases along the first split of a file
+    (the task's row position); lines of later splits are ordered after all of
+    them.  Only the first physical and the first non-blank line need an exact
+    order, and they lie in the first split (128 MB by default).
     """
+    pos = F.monotonically_increasing_id()
+    later = F.lit(1 << 62)
     return (spark.read.text(path)
             .select(F.col("_metadata.file_path").alias("reply"),
-                    F.struct(F.col("_metadata.file_block_start").alias("block"),
-                             F.monotonically_increasing_id().alias("pos")).alias("line_order"),
+                    F.when(F.col("_metadata.file_block_start") == 0, pos)
+                    .otherwise(pos + later).alias("line_order"),
                     F.col("value").alias("line")))
 
 
@@ -65,18 +69,28 @@ def parse_replies(lines: DataFrame, stations=None, station_pattern: str | None =
                   keep_reply: bool = False) -> DataFrame:
     """Raw report rows (``WMOIND YEAR MONTH DAY HOUR MIN REPORT``) from reply lines.
 
-    ``lines`` has ``reply line_order line`` (see ``read_reply_lines``).  The
+    ``lines`` has ``reply line_order line`` (see ``read_reply_lines``);
+    ``line_order`` is numeric and orders the lines of a reply.  The
     requested station is ``stations`` (one id or a list; rows must match one)
     or the first group of ``station_pattern`` applied to the reply name.
     """
     nonblank = strip_ws(F.col("line")) != ""
-    info = (lines.groupBy("reply")
-            .agg(F.min_by("line", "line_order").alias("_first_line"),
-                 F.min_by(F.when(nonblank, F.col("line")),
-                          F.when(nonblank, F.col("line_order"))).alias("_first_text"),
-                 F.min("line_order").alias("_first_order")))
+    # per reply: order of the first line and of the first non-blank line
+    # (numeric minima: a hash aggregation with map-side combine) ...
+    firsts = (lines.groupBy("reply")
+              .agg(F.min("line_order").alias("_first_order"),
+                   F.min(F.when(nonblank, F.col("line_order"))).alias("_text_order")))
+    # ... then the text of those (at most two) lines per reply
+    heads = (lines.join(firsts, "reply")
+             .where((F.col("line_order") == F.col("_first_order"))
+                    | (F.col("line_order") == F.col("_text_order")))
+             .groupBy("reply", "_first_order")
+             .agg(F.max(F.when(F.col("line_order") == F.col("_first_order"), F.col("line")))
+                  .alias("_first_line"),
+                  F.max(F.when(F.col("line_order") == F.col("_text_order"), F.col("line")))
+                  .alias("_first_text")))
     upper = F.upper(F.col("_first_text"))
-    info = info.select(
+    info = heads.select(
         "reply", "_first_order",
         F.coalesce(F.greatest(*[upper.contains(w) for w in codes.REPLY_ERROR_WORDS]),
                    F.lit(True)).alias("_error"),
