@@ -100,26 +100,26 @@ def parse_replies(lines: DataFrame, stations=None, station_pattern: str | None =
                     lambda x: strip_ws(F.coalesce(x, F.lit("")))).alias("_names"),
     ).where(~F.col("_error"))
 
-    joined = lines.join(info, "reply")
-
-    # header mode: every line after the first, CSV-parsed, looked up by name
-    fields = F.transform(_csv_fields(F.col("line")), lambda x: strip_ws(F.coalesce(x, F.lit(""))))
-    hdr = joined.where(F.col("_header") & (F.col("line_order") != F.col("_first_order"))
-                       & nonblank)
-    hdr = hdr.withColumn("_fields", fields)
-    by_name = {c: F.coalesce(F.try_element_at(F.col("_fields"), _last_index(F.col("_names"), c) + 1),
-                             F.lit("")) for c in RAW_COLUMNS}
-    hdr_rows = hdr.select("reply", *[v.alias(k) for k, v in by_name.items()])
-
-    # positional mode: every non-blank line, split into at most 7 parts
-    pos_lines = joined.where(~F.col("_header") & nonblank) \
-        .withColumn("_parts", F.split(F.col("line"), ",", 7))
-    pos_lines = pos_lines.where(F.size("_parts") >= 6)
-    pos_rows = pos_lines.select(
-        "reply", *[strip_ws(F.coalesce(F.try_element_at(F.col("_parts"), F.lit(i + 1)), F.lit("")))
-                   .alias(c) for i, c in enumerate(RAW_COLUMNS)])
-
-    rows = hdr_rows.unionByName(pos_rows)
+    joined = lines.join(info, "reply").where(nonblank)
+
+    # header replies: every line after the first, CSV-parsed, looked up by
+    # name; other replies: every non-blank line split into at most 7 parts
+    # (the report keeps its commas), lines with fewer than 6 parts skipped.
+    # One projection for both, so the lines are read once.
+    header = F.col("_header")
+    joined = joined.withColumn(
+        "_fields",
+        F.when(header, F.transform(_csv_fields(F.col("line")),
+                                   lambda x: strip_ws(F.coalesce(x, F.lit("")))))
+        .otherwise(F.split(F.col("line"), ",", 7)))
+    keep = F.when(header, F.col("line_order") != F.col("_first_order")) \
+        .otherwise(F.size("_fields") >= 6)
+    cols = {}
+    for i, c in enumerate(RAW_COLUMNS):
+        by_name = F.try_element_at(F.col("_fields"), _last_index(F.col("_names"), c) + 1)
+        by_place = strip_ws(F.try_element_at(F.col("_fields"), F.lit(i + 1)))
+        cols[c] = F.coalesce(F.when(header, by_name).otherwise(by_place), F.lit(""))
+    rows = joined.where(keep).select("reply", *[v.alias(k) for k, v in cols.items()])
     if stations is not None:
         ids = [stations] if isinstance(stations, str) else list(stations)
         rows = rows.where(F.col("WMOIND").isin(ids))
