@@ -24,6 +24,7 @@ from stratus.operators.prepare import attach_coordinates, prepare_records
 from stratus.plans import fixtures
 from stratus.plans.decode_job import decode_raw, run_counts
 from stratus.plans.fixtures import with_views as _with_views
+from stratus.session import spread
 from stratus.sources.stations import station_table
 
 def spark_round_sql(sql: str) -> str:
@@ -103,7 +104,7 @@ def _station_obs(spark: SparkSession, sf: str) -> DataFrame:
 def q_synop_decode(spark, sf):
     cols = ["report_id", "temp", "pressure", "humidity", "wind_speed", "wind_dir",
             "cloud_cover", "visibility_m", "rain_3h"]
-    return decode_reports(fixtures.view(spark, sf, "synop"), "REPORT").select(*cols)
+    return decode_reports(spread(fixtures.view(spark, sf, "synop")), "REPORT").select(*cols)
 
 
 O_SYNOP_DECODE = with_views(f"SELECT {READING_SQL} FROM synop_expected", "synop_expected")
@@ -290,7 +291,8 @@ FROM {_BINS} b GROUP BY location HAVING count(*) >= 5""", "obs")
 
 
 def q_correlation(spark, sf):
-    return agg.correlation_matrix(_obs(spark, sf)).select("var_x", "var_y", "corr")
+    obs = clean_observations(spread(fixtures.view(spark, sf, "obs")))
+    return agg.correlation_matrix(obs).select("var_x", "var_y", "corr")
 
 
 _CORR_COLS = ["temp", "pressure", "humidity", "wind_speed", "wind_dir",
@@ -320,7 +322,7 @@ O_CORRELATION = _corr_sql(False)
 
 
 def q_correlation_lower(spark, sf):
-    return agg.correlation_lower_triangle(_obs(spark, sf))
+    return agg.correlation_lower_triangle(clean_observations(spread(fixtures.view(spark, sf, "obs"))))
 
 
 O_CORRELATION_LOWER = _corr_sql(True)

@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "Asia/Manila",
     "spark.ui.enabled": "false",
+    # HotSpot does not JIT-compile methods above 8,000 bytes of bytecode; a
+    # fused stage bigger than that would run interpreted, so split it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

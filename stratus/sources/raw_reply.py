@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from stratus.functions import codes
 from stratus.functions.scalars import strip_ws
 from stratus.schemas import RAW_COLUMNS
+from stratus.session import fence
 
 # Header lines are parsed as CSV into this many fields; a named column further
 # right than this is read as missing.
@@ -53,9 +54,11 @@ def read_reply_lines(spark: SparkSession, path: str) -> DataFrame:
                     F.col("value").alias("line")))
 
 
+_CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+
+
 def _csv_fields(col) -> F.Column:
-    parsed = F.from_csv(col, _FIELDS_DDL, {"sep": ",", "quote": '"', "escape": '"',
-                                          "mode": "PERMISSIVE"})
+    parsed = F.from_csv(col, _FIELDS_DDL, _CSV_OPTIONS)
     return F.array(*[parsed[f"f{i}"] for i in range(MAX_HEADER_FIELDS)])
 
 
@@ -90,15 +93,20 @@ def parse_replies(lines: DataFrame, stations=None, station_pattern: str | None =
                   F.max(F.when(F.col("line_order") == F.col("_text_order"), F.col("line")))
                   .alias("_first_text")))
     upper = F.upper(F.col("_first_text"))
+    names = F.transform(_csv_fields(F.col("_first_line")),
+                        lambda x: strip_ws(F.coalesce(x, F.lit(""))))
+    # header names are resolved to field positions once per reply
     info = heads.select(
         "reply", "_first_order",
         F.coalesce(F.greatest(*[upper.contains(w) for w in codes.REPLY_ERROR_WORDS]),
                    F.lit(True)).alias("_error"),
         F.coalesce(F.greatest(*[upper.contains(w) for w in codes.REPLY_HEADER_WORDS]),
                    F.lit(False)).alias("_header"),
-        F.transform(_csv_fields(F.col("_first_line")),
-                    lambda x: strip_ws(F.coalesce(x, F.lit("")))).alias("_names"),
+        names.alias("_names"),
     ).where(~F.col("_error"))
+    info = info.select("reply", "_first_order", "_header",
+                       *[(_last_index(F.col("_names"), c) + 1).alias(f"_at_{c}")
+                         for c in RAW_COLUMNS])
 
     joined = lines.join(info, "reply").where(nonblank)
 
@@ -106,19 +114,24 @@ def parse_replies(lines: DataFrame, stations=None, station_pattern: str | None =
     # name; other replies: every non-blank line split into at most 7 parts
     # (the report keeps its commas), lines with fewer than 6 parts skipped.
     # One projection for both, so the lines are read once.
+    # The CSV parse runs once per line in its own projection, and the field
+    # array leaves through a fence: otherwise the parse would be copied into
+    # each of the 7 lookups (no common-subexpression elimination inside CASE
+    # branches) and into the station filter pushed down from above.
     header = F.col("_header")
+    joined = joined.withColumn("_parsed", F.when(header, F.from_csv(
+        F.col("line"), _FIELDS_DDL, _CSV_OPTIONS)))
     joined = joined.withColumn(
-        "_fields",
-        F.when(header, F.transform(_csv_fields(F.col("line")),
-                                   lambda x: strip_ws(F.coalesce(x, F.lit("")))))
-        .otherwise(F.split(F.col("line"), ",", 7)))
+        "_fields", F.when(header, F.array(*[F.col("_parsed")[f"f{i}"]
+                                            for i in range(MAX_HEADER_FIELDS)]))
+        .otherwise(F.split(F.col("line"), ",", 7))).drop("_parsed")
+    joined = fence(joined, ["_fields"])
     keep = F.when(header, F.col("line_order") != F.col("_first_order")) \
         .otherwise(F.size("_fields") >= 6)
     cols = {}
     for i, c in enumerate(RAW_COLUMNS):
-        by_name = F.try_element_at(F.col("_fields"), _last_index(F.col("_names"), c) + 1)
-        by_place = strip_ws(F.try_element_at(F.col("_fields"), F.lit(i + 1)))
-        cols[c] = F.coalesce(F.when(header, by_name).otherwise(by_place), F.lit(""))
+        at = F.when(header, F.col(f"_at_{c}")).otherwise(F.lit(i + 1))
+        cols[c] = strip_ws(F.coalesce(F.try_element_at(F.col("_fields"), at), F.lit("")))
     rows = joined.where(keep).select("reply", *[v.alias(k) for k, v in cols.items()])
     if stations is not None:
         ids = [stations] if isinstance(stations, str) else list(stations)
