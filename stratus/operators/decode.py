@@ -22,7 +22,7 @@ from stratus.functions.scalars import (
     visibility_m,
 )
 from stratus.schemas import READINGS
-from stratus.session import fence
+from stratus.session import fence_columns
 
 # Anchored group patterns: five characters, the right lead digit, digits where
 # the value is read.  Anything else in a section is skipped.
@@ -180,9 +180,8 @@ def decode_reports(df: DataFrame, report_col: str = "REPORT",
     # The readings leave through a fence (a one-row generator): a later filter
     # on a reading is not pushed into the layers above, which would copy every
     # token slice into the condition and explode the plan.
-    out = out.withColumns(final)
-    out = out.drop(*[c for c in out.columns if c.startswith(_P)])
-    return fence(out, list(final))
+    passthrough = [F.col(f"`{c}`") for c in out.columns if not c.startswith(_P)]
+    return out.select(*passthrough, fence_columns(final))
 
 
 def reading_columns(extras: bool = False) -> list[str]:

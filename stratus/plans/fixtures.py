@@ -85,16 +85,24 @@ VIEWS = {
 }
 
 
-def register_tables(spark: SparkSession, sf_dir: str, tables) -> None:
+# Views whose rows are expensive to build (report text) read their base table
+# spread over the cores when it arrives in fewer partitions (one row group).
+SPREAD_VIEWS = {"synop"}
+
+
+def register_tables(spark: SparkSession, sf_dir: str, tables, spread_input: bool = False) -> None:
     """Register the driver parquet tables as temp views."""
+    from stratus.session import spread
+
     for t in tables:
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").createOrReplaceTempView(t)
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        (spread(df) if spread_input else df).createOrReplaceTempView(t)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The named synthetic view as a DataFrame over ``sf_dir``."""
     sql, tables = VIEWS[name]
-    register_tables(spark, sf_dir, tables)
+    register_tables(spark, sf_dir, tables, spread_input=name in SPREAD_VIEWS)
     return spark.sql(sql)
 
 

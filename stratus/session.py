@@ -99,5 +99,12 @@ def fence(df, columns: list[str]):
 
     names = set(columns)
     rest = [F.col(f"`{c}`") for c in df.columns if c not in names]
-    packed = F.array(F.struct(*[F.col(f"`{c}`") for c in columns]))
-    return df.select(*rest, F.inline(packed))
+    return df.select(*rest, fence_columns({c: F.col(f"`{c}`") for c in columns}))
+
+
+def fence_columns(columns: dict):
+    """The generator expression of ``fence`` for ``{name: Column}``, to use in
+    a ``select`` that computes the columns in the same step."""
+    from pyspark.sql import functions as F
+
+    return F.inline(F.array(F.struct(*[v.alias(k) for k, v in columns.items()])))

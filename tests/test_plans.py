@@ -30,7 +30,8 @@ def test_no_python_in_any_registered_query(spark):
 
 
 def test_decode_plan_is_small_and_narrow(spark):
-    raw = fixtures.view(spark, SF, "synop")
+    fixtures.register_tables(spark, SF, ["events"])      # one partition, not spread
+    raw = spark.sql(fixtures.SYNOP_SQL)
     dec = decode_raw(raw, keep=["report_id"], parallel=False)
     assert len(optimized(dec)) < 20000
     assert "Exchange" not in physical(dec)
