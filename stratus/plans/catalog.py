@@ -450,6 +450,53 @@ SELECT WMOIND, YEAR, MONTH, DAY, HOUR, MIN, REPORT FROM synop
 WHERE CAST(DAY AS INTEGER) % 7 <> 3 AND WMOIND <> '98999'""", "synop")
 
 
+def _landed(spark, sf, sep: str) -> str:
+    """The synop reports landed as an undecoded CSV (separator ``sep``) in the
+    shared checkpoint folder; returns the folder."""
+    from stratus.session import scratch_path
+    from stratus.sinks import write_raw_csv
+
+    path = scratch_path(spark, "landed-undecoded")
+    write_raw_csv(fixtures.view(spark, sf, "synop"), path, sep=sep)
+    return path
+
+
+def q_undecoded_csv_roundtrip(spark, sf):
+    """Raw CSV sink (``;``) -> undecoded reader with separator detection."""
+    from stratus.sources.undecoded import read_undecoded_csv
+
+    return read_undecoded_csv(spark, _landed(spark, sf, ";"), sep="auto")
+
+
+O_UNDECODED_CSV_ROUNDTRIP = with_views(
+    "SELECT WMOIND, YEAR, MONTH, DAY, HOUR, MIN, REPORT FROM synop", "synop")
+
+
+def q_decode_job_files(spark, sf):
+    """The decode job from a landed CSV (``|``, detected) to Parquet, read back."""
+    from stratus.plans.decode_job import run_decode
+    from stratus.session import scratch_path
+
+    out = scratch_path(spark, "decoded")
+    run_decode(spark, _landed(spark, sf, "|"), out, sep="auto")
+    return spark.read.parquet(out)
+
+
+O_DECODE_JOB_FILES = with_views(f"""
+SELECT r.station_id, r.date, r.time,
+ {_coord_case(0)} AS lat, {_coord_case(1)} AS lon,
+ x.t AS temp, x.p AS pressure, x.h AS humidity, x.ws AS wind_speed, x.wd AS wind_dir,
+ x.cc AS cloud_cover, x.vis AS visibility_m, x.rn AS rain_3h, false AS decode_error
+FROM (SELECT event_id AS report_id, {_STATION_CASE.replace('e%8', 'event_id%8')} AS station_id,
+        strftime(ts, '%Y-%m-%d') AS date,
+        lpad(CAST(CASE WHEN event_id%37=0 THEN 8 ELSE hour(ts) END AS VARCHAR), 2, '0') || ':'
+        || lpad(CAST(CASE WHEN event_id%43=0 THEN 0 ELSE minute(ts) END AS VARCHAR), 2, '0')
+        || ':00' AS time
+      FROM events) r
+JOIN synop_expected x USING (report_id)
+""", "synop_expected")
+
+
 QUERIES = {
     "synop_decode": (q_synop_decode, O_SYNOP_DECODE),
     "synop_decoded_table": (q_synop_decoded_table, O_SYNOP_DECODED_TABLE),
@@ -475,4 +522,6 @@ QUERIES = {
     "station_daily_temp": (q_station_daily_temp, O_STATION_DAILY_TEMP),
     "report_coverage": (q_report_coverage, O_REPORT_COVERAGE),
     "raw_reply_parse": (q_raw_reply_parse, O_RAW_REPLY_PARSE),
+    "undecoded_csv_roundtrip": (q_undecoded_csv_roundtrip, O_UNDECODED_CSV_ROUNDTRIP),
+    "decode_job_files": (q_decode_job_files, O_DECODE_JOB_FILES),
 }

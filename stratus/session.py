@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -67,9 +67,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for a written intermediate."""
+    """A fresh path under the shared checkpoint folder for a written
+    intermediate table."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/stratus/{name}-{os.getpid()}-{id(spark)}"
+    return f"{base}/stratus/{name}-{uuid.uuid4().hex}"
 
 
 def spread(df, min_partitions: int | None = None):

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from stratus.schemas import DECODED_COLUMNS, RAW_COLUMNS
 
 
-def write_raw_csv(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_raw_csv(raw: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
     """Raw report table as CSV with header, fixed column order."""
     (raw.select(*RAW_COLUMNS).write.mode(mode)
-     .option("header", True).option("emptyValue", "").csv(path))
+     .option("header", True).option("sep", sep).option("emptyValue", "").csv(path))
 
 
 def write_decoded_csv(decoded: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -5,7 +5,6 @@ import math
 import random
 
 import pytest
-from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from stratus.operators.decode import decode_reports
