@@ -67,7 +67,7 @@ def builtin_coordinates(station_col: str = "station_id"):
 
 def attach_coordinates(df: DataFrame, stations: DataFrame | None = None,
                        station_col: str = "station_id",
-                       broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                       broadcast_max_rows: int = 200_000) -> DataFrame:
     """Add ``lat lon``: the external station table first, then the built-in one.
 
     The pair is taken as a whole.  ``stations`` must already be one row per

@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     # HotSpot does not JIT-compile methods above 8,000 bytes of bytecode; a
     # fused stage bigger than that would run interpreted, so split it instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The correlation matrix is one aggregation with ~90 statistics (~280
+    # buffer fields); whole-stage codegen is skipped above this many fields.
+    "spark.sql.codegen.maxFields": "400",
 }
 
 
@@ -55,14 +58,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     so jobs never fall back to a machine-local folder on a cluster.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext
+        sc = None
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="stratus-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -77,10 +84,16 @@ def spread(df, min_partitions: int | None = None):
     """Round-robin an input that arrives in fewer partitions than the cluster
     has cores (e.g. one large row group) so CPU-heavy row-wise work runs in
     parallel.  Inputs that already have enough partitions are returned as is,
-    so at scale this adds no shuffle."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    so at scale this adds no shuffle.  Apply it to scans and narrow views
+    (counting the partitions of a plan with a shuffle would run that shuffle).
+    """
+    try:
+        sc = df.sparkSession.sparkContext
+        want = min_partitions or sc.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (remote session): leave the plan alone
+        return df
+    if have < want:
         return df.repartition(want)
     return df
 
