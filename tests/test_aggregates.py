@@ -113,3 +113,19 @@ def test_period_coverage_zero_fill(spark):
     assert got == [("S1", 0, 2, "2024-01-07 23:59:00"), ("S1", 1, 1, "2024-01-14 23:59:00"),
                    ("S1", 2, 0, "2024-01-15 12:00:00"), ("S2", 0, 0, "2024-01-07 23:59:00"),
                    ("S2", 1, 0, "2024-01-14 23:59:00"), ("S2", 2, 1, "2024-01-15 12:00:00")]
+
+
+def test_hot_location_results_whole_and_partially_aggregated(spark):
+    # one location holds ~90 % of the rows: every row still counts, and each
+    # aggregation combines map-side before its shuffle
+    rows = [("HOT", f"2024-01-{1 + i % 28:02d} 00:00:00", 20.0 + i % 10, 1000.0, 50.0 + i % 7,
+             1.0 + i % 5, 0.0, 1.0, 1.0, 0.5) for i in range(9000)]
+    rows += [(f"L{i % 10}", "2024-01-01 00:00:00", 25.0, 1000.0, 60.0, 2.0, 0.0, 1.0, 1.0, 0.5)
+             for i in range(1000)]
+    df = frame(spark, rows).repartition(8)
+    rain = {r.location: r.total_rain_mm for r in agg.total_rain(df).collect()}
+    assert rain["HOT"] == 4500.0 and sum(rain.values()) == 5000.0
+    for result in (agg.total_rain(df), agg.average_humidity(df), agg.daily_temperature(df),
+                   chart.wind_temperature_bins(df)):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "partial_" in plan, plan

@@ -131,3 +131,24 @@ def test_observation_folder_errors(spark, tmp_dir):
                              "cloud_cover,visibility_m,rain_3h\n98444,2024-01-01,06:00:00,1,2,3,4,5,6,7,8,9,10\n")
     with pytest.raises(Exception):
         read_observations(spark, d).collect()
+
+
+def test_header_reply_short_row_reads_missing_as_empty(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "replies3")
+    write(d, "r.txt", "WMOIND, YEAR ,MONTH,DAY,HOUR,MIN,REPORT,EXTRA\n98444,2024,01\n"
+                      "98444,2024,01,02,03,04,R1,x,y\n")
+    got = sorted(tuple(r) for r in read_replies(spark, d, stations=["98444"]).collect())
+    assert got == [("98444", "2024", "01", "", "", "", ""),
+                   ("98444", "2024", "01", "02", "03", "04", "R1")]
+
+
+def test_separator_ties_and_none(spark, tmp_dir):
+    d1 = os.path.join(tmp_dir, "tie")
+    write(d1, "t.csv", "a;b,c\n")                 # one ';' and one ',' -> ','
+    d2 = os.path.join(tmp_dir, "none")
+    write(d2, "n.csv", "abc\n")                   # nothing -> ','
+    d3 = os.path.join(tmp_dir, "late")
+    write(d3, "l.csv", "x" * 5000 + "\n" + "|" * 50 + "\n" + "a;b\n")   # beyond 4,096 chars
+    assert [r.sep for r in detect_separators(spark, d1).collect()] == [","]
+    assert [r.sep for r in detect_separators(spark, d2).collect()] == [","]
+    assert [r.sep for r in detect_separators(spark, d3).collect()] == [","]
