@@ -35,7 +35,7 @@ def lenient_int(col, default: int, cap: int = 1_000_000_000) -> Column:
     long for an int are returned as ``cap`` so that clamping still works.
     """
     digits = F.regexp_extract(F.coalesce(_c(col).cast("string"), F.lit("")), "[0-9]+", 0)
-    significant = F.regexp_replace(digits, "^0+", "")
+    significant = F.ltrim(digits, F.lit("0"))
     return (F.when(digits == "", F.lit(default))
             .when(significant == "", F.lit(0))
             .when(F.length(significant) > 9, F.lit(cap))

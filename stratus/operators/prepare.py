@@ -25,16 +25,15 @@ def prepare_records(df: DataFrame) -> DataFrame:
       the first digit run of the text (``"?8" -> 8``) clamped into range;
     * ``date`` is ``yyyy-MM-dd``, ``time`` ``HH:mm:ss``; both ``''`` on error.
     """
-    def txt(c):
-        return strip_ws(F.coalesce(F.col(c).cast("string"), F.lit("")))
-
+    # the first digit run is the same with or without surrounding whitespace,
+    # so only the station id is stripped
     out = df.withColumns({
-        "station_id": txt("WMOIND"),
-        _P + "y": lenient_int(txt("YEAR"), 2000),
-        _P + "mo": F.greatest(F.lit(1), F.least(F.lit(12), lenient_int(txt("MONTH"), 1))),
-        _P + "d": lenient_int(txt("DAY"), 1),
-        _P + "hh": F.greatest(F.lit(0), F.least(F.lit(23), lenient_int(txt("HOUR"), 0))),
-        _P + "mi": F.greatest(F.lit(0), F.least(F.lit(59), lenient_int(txt("MIN"), 0))),
+        "station_id": strip_ws(F.coalesce(F.col("WMOIND").cast("string"), F.lit(""))),
+        _P + "y": lenient_int("YEAR", 2000),
+        _P + "mo": F.greatest(F.lit(1), F.least(F.lit(12), lenient_int("MONTH", 1))),
+        _P + "d": lenient_int("DAY", 1),
+        _P + "hh": F.greatest(F.lit(0), F.least(F.lit(23), lenient_int("HOUR", 0))),
+        _P + "mi": F.greatest(F.lit(0), F.least(F.lit(59), lenient_int("MIN", 0))),
     })
     out = out.withColumns({
         "decode_error": (F.col(_P + "y") < 1) | (F.col(_P + "y") > 9999),
