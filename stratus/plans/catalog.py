@@ -496,6 +496,20 @@ JOIN synop_expected x USING (report_id)
 """, "synop_expected")
 
 
+def q_rollup_location_summary(spark, sf):
+    """Humidity and rain per location from the daily rollup of one pass."""
+    from stratus.operators import rollup
+
+    r = rollup.daily_rollup(_obs(spark, sf))
+    return (rollup.average_humidity(r).join(rollup.total_rain(r), "location")
+            .select("location", "avg_humidity", "total_rain_mm"))
+
+
+O_ROLLUP_LOCATION_SUMMARY = with_views(f"""
+SELECT location, round(avg(humidity), 2) AS avg_humidity, round(sum(rain), 2) AS total_rain_mm
+FROM {_CLEAN} c GROUP BY location""", "obs")
+
+
 QUERIES = {
     "synop_decode": (q_synop_decode, O_SYNOP_DECODE),
     "synop_decoded_table": (q_synop_decoded_table, O_SYNOP_DECODED_TABLE),
@@ -523,4 +537,5 @@ QUERIES = {
     "raw_reply_parse": (q_raw_reply_parse, O_RAW_REPLY_PARSE),
     "undecoded_csv_roundtrip": (q_undecoded_csv_roundtrip, O_UNDECODED_CSV_ROUNDTRIP),
     "decode_job_files": (q_decode_job_files, O_DECODE_JOB_FILES),
+    "rollup_location_summary": (q_rollup_location_summary, O_ROLLUP_LOCATION_SUMMARY),
 }

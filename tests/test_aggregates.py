@@ -129,3 +129,28 @@ def test_hot_location_results_whole_and_partially_aggregated(spark):
                    chart.wind_temperature_bins(df)):
         plan = result._jdf.queryExecution().executedPlan().toString()
         assert "partial_" in plan, plan
+
+
+def test_daily_rollup_matches_direct_results(spark):
+    import sys
+    sys.path.insert(0, "/root/repo")
+    from stratus.operators import rollup
+    from stratus.plans import fixtures
+
+    clean = clean_observations(fixtures.view(spark, "/root/testdata/sf0.001", "obs"))
+    daily = rollup.daily_rollup(clean)
+    pairs = [(agg.monthly_temperature(clean), rollup.monthly_temperature(daily), ["location", "month"]),
+             (agg.daily_temperature(clean), rollup.daily_temperature(daily), ["location", "date"]),
+             (agg.average_humidity(clean), rollup.average_humidity(daily), ["location"]),
+             (agg.total_rain(clean), rollup.total_rain(daily), ["location"]),
+             (agg.daily_wind(clean), rollup.daily_wind(daily), ["location", "date"])]
+    for direct, rolled, keys in pairs:
+        a = {tuple(r[k] for k in keys): r for r in direct.collect()}
+        b = {tuple(r[k] for k in keys): r for r in rolled.collect()}
+        assert a.keys() == b.keys()
+        for k in a:
+            for col in direct.columns:
+                if col in keys:
+                    continue
+                x, y = a[k][col], b[k][col]
+                assert (x is None and y is None) or abs(x - y) <= 0.0100001, (k, col, x, y)
