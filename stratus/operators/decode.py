@@ -24,14 +24,12 @@ from stratus.functions.scalars import (
 from stratus.schemas import READINGS
 from stratus.session import fence_columns
 
-# Anchored group patterns: five characters, the right lead digit, digits where
-# the value is read.  Anything else in a section is skipped.
-_RE_TEMP = r"^1[01][0-9]{3}$"
-_RE_DEW = r"^2[01][0-9]{3}$"
-_RE_P3 = r"^3[0-9]{4}$"
-_RE_P4 = r"^4[0-9]{4}$"
-_RE_RAIN = r"(?s)^6[0-9]{3}.$"
-_RE_CLOUD8 = r"(?s)^8[0-9].{3}$"
+# A valid value group: five characters, the right lead digit, digits where the
+# value is read.  Anything else in a section is skipped.  Fixed values: the
+# group shapes of temperature (1), dew point (2), pressure (3, 4), rain (6)
+# and low cloud (8).
+_RE_VALUE_GROUP = (r"(?s)^(?:1[01][0-9]{3}|2[01][0-9]{3}|3[0-9]{4}|4[0-9]{4}"
+                   r"|6[0-9]{3}.|8[0-9].{3})$")
 _RE_NDDFF = r"^[0-8/]([0-9]{2}|//)([0-9]{2}|//)$"
 _RE_EXT = r"^00[0-9]{3}$"
 
@@ -43,17 +41,27 @@ def _h(name: str) -> Column:
     return F.col(_P + name)
 
 
-def _first(arr: Column, pattern: str) -> Column:
-    return F.try_element_at(F.filter(arr, lambda x: x.rlike(pattern)), F.lit(1))
+def _kind(token: Column) -> Column:
+    """Lead digit of a valid value group (1 2 3 4 6 8), else NULL."""
+    return F.when(token.rlike(_RE_VALUE_GROUP), token.substr(1, 1))
 
 
-def _last(arr: Column, pattern: str) -> Column:
-    return F.try_element_at(F.filter(arr, lambda x: x.rlike(pattern)), F.lit(-1))
+def _first_of(tokens: Column, kinds: Column, kind: str) -> Column:
+    """First token of the given kind (array_position: no per-element lambda;
+    ``get`` is 0-based and NULL out of range, so "not found" needs no test)."""
+    return F.get(tokens, F.array_position(kinds, F.lit(kind)).cast("int") - 1)
+
+
+def _last_of(tokens: Column, reversed_kinds: Column, kind: str) -> Column:
+    """Last token of the given kind, found in the reversed kind array."""
+    pos = F.array_position(reversed_kinds, F.lit(kind)).cast("int")
+    return F.get(tokens, F.size(tokens) - pos)
 
 
 def _first_marker(arr: Column, markers) -> Column:
     """0-based index of the first element that is one of ``markers``, or NULL."""
-    return F.array_min(F.transform(arr, lambda x, i: F.when(x.isin(*markers), i)))
+    found = [F.nullif(F.array_position(arr, F.lit(m)), F.lit(0)) for m in markers]
+    return (F.least(*found) - 1).cast("int")
 
 
 def _tail(arr: Column, start: Column) -> Column:
@@ -129,15 +137,22 @@ def decode_reports(df: DataFrame, report_col: str = "REPORT",
         _P + "s3": F.when(_h("m3").isNull(), _h("after"))
         .otherwise(F.slice(_h("after"), 1, _h("m3"))),
     })
-    # (7) the groups that carry values
+    # (7) each section token classified once by its group kind (its lead
+    # digit when it is a valid value group, else NULL); then the groups that
+    # carry values are picked by position: first valid or last valid
+    out = out.withColumns({
+        _P + "k1": F.transform(_h("s1"), _kind),
+        _P + "k3": F.when(_h("ir").isin("0", "2"), F.transform(_h("s3"), _kind)),
+    })
+    out = out.withColumns({_P + "r1": F.reverse(_h("k1"))})
     out = out.withColumns({
-        _P + "g1": _last(_h("s1"), _RE_TEMP),
-        _P + "g2": _last(_h("s1"), _RE_DEW),
-        _P + "g3": _first(_h("s1"), _RE_P3),
-        _P + "g4": _last(_h("s1"), _RE_P4),
-        _P + "g6": _last(_h("s1"), _RE_RAIN),
-        _P + "g6s3": F.when(_h("ir").isin("0", "2"), _first(_h("s3"), _RE_RAIN)),
-        _P + "g8": _first(_h("s1"), _RE_CLOUD8),
+        _P + "g1": _last_of(_h("s1"), _h("r1"), "1"),
+        _P + "g2": _last_of(_h("s1"), _h("r1"), "2"),
+        _P + "g3": _first_of(_h("s1"), _h("k1"), "3"),
+        _P + "g4": _last_of(_h("s1"), _h("r1"), "4"),
+        _P + "g6": _last_of(_h("s1"), _h("r1"), "6"),
+        _P + "g6s3": _first_of(_h("s3"), _h("k3"), "6"),
+        _P + "g8": _first_of(_h("s1"), _h("k1"), "8"),
     })
     # (8) numbers
     n, dd, ff = (_h("nd").substr(1, 1), _h("nd").substr(2, 2), _h("nd").substr(4, 2))
