@@ -510,6 +510,20 @@ SELECT location, round(avg(humidity), 2) AS avg_humidity, round(sum(rain), 2) AS
 FROM {_CLEAN} c GROUP BY location""", "obs")
 
 
+def q_raw_preview(spark, sf):
+    """The first 30 raw reports in report order."""
+    from stratus.sinks import preview
+
+    raw = fixtures.view(spark, sf, "synop").select("report_id", "WMOIND", "YEAR", "MONTH", "DAY",
+                                                   "HOUR", "MIN", "REPORT")
+    return preview(raw, 30, order_by=["report_id"])
+
+
+O_RAW_PREVIEW = with_views("""
+SELECT report_id, WMOIND, YEAR, MONTH, DAY, HOUR, MIN, REPORT FROM synop
+ORDER BY report_id LIMIT 30""", "synop")
+
+
 QUERIES = {
     "synop_decode": (q_synop_decode, O_SYNOP_DECODE),
     "synop_decoded_table": (q_synop_decoded_table, O_SYNOP_DECODED_TABLE),
@@ -538,4 +552,5 @@ QUERIES = {
     "undecoded_csv_roundtrip": (q_undecoded_csv_roundtrip, O_UNDECODED_CSV_ROUNDTRIP),
     "decode_job_files": (q_decode_job_files, O_DECODE_JOB_FILES),
     "rollup_location_summary": (q_rollup_location_summary, O_ROLLUP_LOCATION_SUMMARY),
+    "raw_preview": (q_raw_preview, O_RAW_PREVIEW),
 }

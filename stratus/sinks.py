@@ -42,9 +42,11 @@ def write_result_csv(result: DataFrame, path: str, mode: str = "overwrite",
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def preview(df: DataFrame, n: int = 30) -> DataFrame:
-    """First ``n`` rows (a sampling feature: the limit is the point)."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 30, order_by: list[str] | None = None) -> DataFrame:
+    """First ``n`` rows (a preview: the limit is the point).  With ``order_by``
+    the rows are the first in that order (a top-k: each task keeps only its
+    best ``n``, never a full sort)."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
 def raw_counts(raw: DataFrame) -> DataFrame:
