@@ -83,12 +83,8 @@ def _obs_month(spark: SparkSession, sf: str) -> DataFrame:
     return clean_observations(fixtures.view(spark, sf, "obs_month"))
 
 
-def _decoded(spark: SparkSession, sf: str, stations: bool = False, extras: bool = False):
-    raw = fixtures.view(spark, sf, "synop")
-    ext = None
-    if stations:
-        ext = station_table(fixtures.view(spark, sf, "stations_ext"), "line_no")
-    return decode_raw(raw, ext, extras=extras, keep=["report_id"])
+def _decoded(spark: SparkSession, sf: str, extras: bool = False):
+    return decode_raw(fixtures.view(spark, sf, "synop"), extras=extras, keep=["report_id"])
 
 
 def _station_obs(spark: SparkSession, sf: str) -> DataFrame:
