@@ -93,9 +93,14 @@ def monthly_ranges(monthly: DataFrame) -> DataFrame:
 
 
 def humidity_ranks(humidity: DataFrame) -> DataFrame:
-    """Rank 1 = most humid (NULL last, ties by location)."""
+    """Rank 1 = most humid (NULL last, ties by location), and the bar colour:
+    bars are coloured by their position in ascending-humidity order."""
     w = Window.orderBy(F.col("avg_humidity").desc_nulls_last(), F.col("location"))
-    return humidity.withColumn("rank", F.row_number().over(w))
+    up = Window.orderBy(F.col("avg_humidity").asc_nulls_last(), F.col("location"))
+    colours = F.array(*[F.lit(c) for c in codes.PALETTE])
+    slot = (F.row_number().over(up) - 1) % len(codes.PALETTE)
+    return (humidity.withColumn("rank", F.row_number().over(w))
+            .withColumn("bar_colour", F.element_at(colours, (slot + 1).cast("int"))))
 
 
 def palette_slots(locations: DataFrame) -> DataFrame:

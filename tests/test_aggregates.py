@@ -86,8 +86,11 @@ def test_extremes_ranges_ranks_palette(spark):
     assert rng == {"A": (18.0, 27.5, 19.5), "B": (15.0, 16.5, 13.5)}
     hum = spark.createDataFrame([("A", 80.0), ("B", 90.0), ("C", None), ("D", 80.0)],
                                 "location string, avg_humidity double")
-    ranks = [(r.location, r.rank) for r in chart.humidity_ranks(hum).orderBy("rank").collect()]
-    assert ranks == [("B", 1), ("A", 2), ("D", 3), ("C", 4)]
+    ranks = [(r.location, r.rank, r.bar_colour)
+             for r in chart.humidity_ranks(hum).orderBy("rank").collect()]
+    # bars in ascending order A, D, B, then the NULL: palette slots 0, 1, 2, 3
+    assert ranks == [("B", 1, "#3fbf99"), ("A", 2, "#5b9bd5"), ("D", 3, "#9b72cf"),
+                     ("C", 4, "#e8a838")]
     locs = spark.createDataFrame([(f"L{i:02d}",) for i in range(10)], "location string")
     pal = {r.location: (r.palette_index, r.colour) for r in chart.palette_slots(locs).collect()}
     assert pal["L00"] == (0, "#5b9bd5") and pal["L08"] == (0, "#5b9bd5") and pal["L07"][0] == 7
