@@ -36,17 +36,18 @@ def period_coverage(reports: DataFrame, start_year: int, end_year: int, days: in
     (``stations`` or the distinct stations of ``reports``) and period.
 
     Reports are bucketed by arithmetic (``minutes since start // period``), so
-    counting is one partial aggregation; the zero-filled grid is generated
-    per station with ``sequence`` (no cross join) and left-joined to it.
+    counting is one partial aggregation over one scan; a second, small
+    aggregation gathers each station's counts into a map (at most one entry
+    per period), and the zero-filled calendar is generated per station with
+    ``sequence`` -- no cross join, no join unless a station list is given.
     """
     start, stop, n = period_bounds(start_year, end_year, days, now)
     step = days * 1440
     start_c = F.lit(start.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     stop_c = F.lit(stop.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     # one pass over the reports: counts per station and period, with reports
-    # outside the window kept as period NULL so that the station list comes
-    # from the same small aggregate (its shuffle is computed once and reused).
-    # ``ts`` and the minute offset get their own projections so a long
+    # outside the window kept as period NULL so that a station without
+    # in-window reports still gets its zero-filled calendar.  ``ts`` and the minute offset get their own projections so a long
     # timestamp expression is evaluated once, not inlined at every use.
     timed = reports.select(F.col(station_col).alias("station"),
                            F.col(ts_col).cast("timestamp_ntz").alias("_ts"))
@@ -56,17 +57,21 @@ def period_coverage(reports: DataFrame, start_year: int, end_year: int, days: in
            .withColumn("period", F.when(in_window, F.floor(F.col("_min") / step).cast("int")))
            .groupBy("station", "period")
            .agg(F.count(F.lit(1)).alias("reports")))
-    counts = per.where(F.col("period").isNotNull())
-    if stations is None:
-        stations = per.select("station").distinct()
-    else:
-        stations = stations.select(F.col(station_col).alias("station")).distinct()
+    # per station: its in-window counts as a map {period: reports}; the map
+    # holds at most one entry per period, a bound set by the parameters
+    entry = F.when(F.col("period").isNotNull(), F.struct("period", "reports"))
+    by_station = per.groupBy("station").agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_counts"))
+    if stations is not None:
+        listed = stations.select(F.col(station_col).alias("station")).distinct()
+        by_station = listed.join(by_station, "station", "left")
     if n == 0:
-        grid = stations.withColumn("period", F.lit(None).cast("int")).limit(0)
+        grid = by_station.withColumn("period", F.lit(None).cast("int")).limit(0)
     else:
-        grid = stations.select("station", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("period"))
+        grid = by_station.select("station", "_counts",
+                                 F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("period"))
+    grid = grid.withColumn("reports", F.try_element_at(F.col("_counts"), F.col("period")))
     pstart = F.timestamp_add("MINUTE", F.col("period") * step, start_c)
     pend = F.least(F.timestamp_add("MINUTE", F.lit(step - 1), pstart), stop_c)
-    return (grid.join(counts, ["station", "period"], "left")
-            .select("station", "period", pstart.alias("period_start"), pend.alias("period_end"),
-                    F.coalesce(F.col("reports"), F.lit(0)).cast("long").alias("reports")))
+    return grid.select("station", "period", pstart.alias("period_start"), pend.alias("period_end"),
+                       F.coalesce(F.col("reports"), F.lit(0)).cast("long").alias("reports"))

@@ -55,12 +55,15 @@ def results(clean: DataFrame, one_pass: bool = False) -> dict[str, DataFrame]:
         daily = rollup.daily_rollup(clean).persist()
         monthly = rollup.monthly_temperature(daily)
         humidity = rollup.average_humidity(daily)
+        monthly_unordered, humidity_unordered = monthly, humidity
         firsts = {"daily_avg_temp": rollup.daily_temperature(daily),
                   "total_rain": rollup.total_rain(daily),
                   "wind_trend": rollup.daily_wind(daily)}
     else:
         monthly = agg.monthly_temperature(clean)
         humidity = agg.average_humidity(clean)
+        monthly_unordered = agg.monthly_temperature(clean, ordered=False)
+        humidity_unordered = agg.average_humidity(clean, ordered=False)
         firsts = {"daily_avg_temp": agg.daily_temperature(clean),
                   "total_rain": agg.total_rain(clean),
                   "wind_trend": agg.daily_wind(clean)}
@@ -76,9 +79,9 @@ def results(clean: DataFrame, one_pass: bool = False) -> dict[str, DataFrame]:
         "wind_temp_fit": trend,
         "wind_temp_fit_line": chart.trend_line(trend),
         "correlation": agg.correlation_lower_triangle(clean),
-        "month_extremes": chart.monthly_extremes(monthly),
-        "month_axis_ranges": chart.monthly_ranges(monthly),
-        "humidity_ranks": chart.humidity_ranks(humidity),
+        "month_extremes": chart.monthly_extremes(monthly_unordered),
+        "month_axis_ranges": chart.monthly_ranges(monthly_unordered),
+        "humidity_ranks": chart.humidity_ranks(humidity_unordered),
         "palette": chart.palette_slots(clean),
         "rows_per_location": agg.location_counts(clean, "rows"),
     }

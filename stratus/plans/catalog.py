@@ -324,7 +324,7 @@ O_CORRELATION_LOWER = _corr_sql(True)
 
 
 def q_month_extremes(spark, sf):
-    return chart.monthly_extremes(agg.monthly_temperature(_obs_month(spark, sf)))
+    return chart.monthly_extremes(agg.monthly_temperature(_obs_month(spark, sf), ordered=False))
 
 
 O_MONTH_EXTREMES = with_views(f"""
@@ -337,7 +337,7 @@ FROM {_MONTHLY} m GROUP BY location""", "obs_month")
 
 
 def q_month_ranges(spark, sf):
-    return chart.monthly_ranges(agg.monthly_temperature(_obs_month(spark, sf)))
+    return chart.monthly_ranges(agg.monthly_temperature(_obs_month(spark, sf), ordered=False))
 
 
 O_MONTH_RANGES = with_views(f"""
@@ -347,7 +347,7 @@ FROM {_MONTHLY} m GROUP BY location""", "obs_month")
 
 
 def q_humidity_ranks(spark, sf):
-    return chart.humidity_ranks(agg.average_humidity(_obs(spark, sf)))
+    return chart.humidity_ranks(agg.average_humidity(_obs(spark, sf), ordered=False))
 
 
 O_HUMIDITY_RANKS = with_views(f"""
