@@ -286,6 +286,22 @@ SELECT location, round(regr_slope(avg_temp, ws_bin), 9) AS slope,
 FROM {_BINS} b GROUP BY location HAVING count(*) >= 5""", "obs")
 
 
+def q_wind_fit_line(spark, sf):
+    line = chart.trend_line(chart.wind_temperature_trend(chart.wind_temperature_bins(_obs(spark, sf))))
+    return line.select("location", "point", "x", F.round("y", 9).alias("y"))
+
+
+O_WIND_FIT_LINE = with_views(f"""
+SELECT location, point, x, round(slope * x + intercept, 9) AS y
+FROM (SELECT f.*, CAST(g.point AS INTEGER) AS point,
+        CASE WHEN g.point = 99 THEN x_max ELSE x_min + g.point * ((x_max - x_min) / 99) END AS x
+      FROM (SELECT location, regr_slope(avg_temp, ws_bin) AS slope,
+                   regr_intercept(avg_temp, ws_bin) AS intercept,
+                   min(ws_bin) AS x_min, max(ws_bin) AS x_max
+            FROM {_BINS} b GROUP BY location HAVING count(*) >= 5) f,
+           (SELECT range AS point FROM range(0, 100)) g) p""", "obs")
+
+
 def q_correlation(spark, sf):
     return agg.correlation_matrix(_obs(spark, sf)).select("var_x", "var_y", "corr")
 
@@ -536,6 +552,7 @@ QUERIES = {
     "wind_temp_bins": (q_wind_bins, O_WIND_BINS),
     "wind_bin_weights": (q_bin_weights, O_BIN_WEIGHTS),
     "wind_temp_fit": (q_wind_trend, O_WIND_TREND),
+    "wind_temp_fit_line": (q_wind_fit_line, O_WIND_FIT_LINE),
     "correlation_matrix": (q_correlation, O_CORRELATION),
     "correlation_lower": (q_correlation_lower, O_CORRELATION_LOWER),
     "month_extremes": (q_month_extremes, O_MONTH_EXTREMES),
