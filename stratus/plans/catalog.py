@@ -537,6 +537,26 @@ SELECT report_id, WMOIND, YEAR, MONTH, DAY, HOUR, MIN, REPORT FROM synop
 ORDER BY report_id LIMIT 30""", "synop")
 
 
+def q_materialized_total_rain(spark, sf):
+    """Cleaned observations written once as Parquet in the shared checkpoint
+    folder (lineage cut), then the rain total read from it."""
+    from stratus.plans.analysis_job import materialize
+
+    return agg.total_rain(materialize(_obs(spark, sf), "parquet", name="clean-obs"))
+
+
+def q_stream_decode_files(spark, sf):
+    """Landed CSV -> streaming decode (available-now trigger) -> Parquet."""
+    from stratus.session import scratch_path
+    from stratus.streaming import start_decode_stream
+
+    out = scratch_path(spark, "stream-decoded")
+    query = start_decode_stream(spark, _landed(spark, sf, ","), out,
+                                checkpoint=scratch_path(spark, "stream-ckpt"))
+    query.awaitTermination()
+    return spark.read.parquet(out)
+
+
 QUERIES = {
     "synop_decode": (q_synop_decode, O_SYNOP_DECODE),
     "synop_decoded_table": (q_synop_decoded_table, O_SYNOP_DECODED_TABLE),
@@ -567,4 +587,6 @@ QUERIES = {
     "decode_job_files": (q_decode_job_files, O_DECODE_JOB_FILES),
     "rollup_location_summary": (q_rollup_location_summary, O_ROLLUP_LOCATION_SUMMARY),
     "raw_preview": (q_raw_preview, O_RAW_PREVIEW),
+    "materialized_total_rain": (q_materialized_total_rain, O_TOTAL_RAIN),
+    "stream_decode_files": (q_stream_decode_files, O_DECODE_JOB_FILES),
 }
