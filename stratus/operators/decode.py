@@ -4,7 +4,12 @@ The report is read left to right by the original decoder; the same result has
 a closed form over the token array, so the whole decode is a chain of
 ``withColumns`` layers of built-in array / string / regex functions.  Each
 layer names what the next one reads: nesting the expressions instead would
-inline every token slice into every output and blow the plan up.
+inline every token slice into every output and blow the plan up.  Header,
+index and wind groups are read by position; section markers are found with
+``array_position``; each section token is classified once (one regex) and the
+value groups are picked by position in the class array, so the only
+per-element lambda is that classification.  The readings leave through a
+fence (see ``session.fence``).
 
 Layout handled: ``[AAXX|BBXX|OOXX] YYGGiw IIiii [iRiXhVV] [Nddff [00fff]]
 section-1 groups [222|333|444|555 ...]``; section 3 (after ``333``) is read
