@@ -557,6 +557,17 @@ def q_stream_decode_files(spark, sf):
     return spark.read.parquet(out)
 
 
+def q_raw_record_counts(spark, sf):
+    """Records per station in the raw report table."""
+    from stratus.sinks import raw_counts
+
+    return raw_counts(fixtures.view(spark, sf, "synop"))
+
+
+O_RAW_RECORD_COUNTS = with_views(
+    "SELECT WMOIND, count(*) AS records FROM synop GROUP BY WMOIND", "synop")
+
+
 QUERIES = {
     "synop_decode": (q_synop_decode, O_SYNOP_DECODE),
     "synop_decoded_table": (q_synop_decoded_table, O_SYNOP_DECODED_TABLE),
@@ -589,4 +600,5 @@ QUERIES = {
     "raw_preview": (q_raw_preview, O_RAW_PREVIEW),
     "materialized_total_rain": (q_materialized_total_rain, O_TOTAL_RAIN),
     "stream_decode_files": (q_stream_decode_files, O_DECODE_JOB_FILES),
+    "raw_record_counts": (q_raw_record_counts, O_RAW_RECORD_COUNTS),
 }
