@@ -42,14 +42,15 @@ def detect_separators(spark: SparkSession, path: str) -> DataFrame:
     head = head.withColumn("offset", F.sum(width).over(w) - width) \
         .where(F.col("offset") < SAMPLE_CHARS) \
         .withColumn("part", F.expr(f"substring(value, 1, {SAMPLE_CHARS} - offset)"))
-    counts = head.groupBy("file_path").agg(*[
-        F.sum(F.length("part") - F.length(F.replace(F.col("part"), F.lit(s), F.lit(""))))
-        .alias(f"n{i}") for i, s in enumerate(SEPARATORS)])
+    counts = head.groupBy("file_path").agg(
+        F.max(F.when(F.col("offset") == 0, F.col("value"))).alias("header"),
+        *[F.sum(F.length("part") - F.length(F.replace(F.col("part"), F.lit(s), F.lit(""))))
+          .alias(f"n{i}") for i, s in enumerate(SEPARATORS)])
     best = F.greatest(*[F.col(f"n{i}") for i in range(len(SEPARATORS))])
     choice = F.when(F.col("n0") == best, F.lit(SEPARATORS[0]))
     for i, s in enumerate(SEPARATORS[1:], start=1):
         choice = choice.when(F.col(f"n{i}") == best, F.lit(s))
-    return counts.select("file_path", choice.alias("sep"))
+    return counts.select("file_path", choice.alias("sep"), "header")
 
 
 def _pick(df: DataFrame, name: str) -> F.Column:
@@ -63,20 +64,20 @@ def read_undecoded_csv(spark: SparkSession, path, sep: str = "auto",
                        keep_file: bool = False) -> DataFrame:
     """The raw report table from one or more CSV files (all strings).
 
-    With ``sep='auto'`` files are grouped by their detected separator and each
-    group is read once (at most four reads); the per-file separator list is
-    file metadata, one row per file.
+    Files are grouped by separator (detected with ``sep='auto'``) and header
+    line, and each group is read once: Spark's CSV reader takes one header for
+    all files it reads together, while each file here is read by its own
+    column names.  The per-file list (path, separator, header) is file
+    metadata of the same size as the file listing the driver holds anyway.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    if sep != "auto":
-        groups = {sep: paths}
-    else:
-        groups = {}
-        for p in paths:
-            for row in detect_separators(spark, p).collect():
-                groups.setdefault(row["sep"], []).append(row["file_path"])
+    groups = {}
+    for p in paths:
+        for row in detect_separators(spark, p).collect():
+            s = sep if sep != "auto" else row["sep"]
+            groups.setdefault((s, row["header"]), []).append(row["file_path"])
     frames = []
-    for s, files in groups.items():
+    for (s, _header), files in groups.items():
         df = (spark.read.option("header", True).option("sep", s).option("quote", '"')
               .option("escape", '"').option("encoding", "UTF-8").option("mode", "PERMISSIVE")
               .csv(files))

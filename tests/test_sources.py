@@ -156,3 +156,12 @@ def test_separator_ties_and_none(spark, tmp_dir):
     assert [r.sep for r in detect_separators(spark, d1).collect()] == [","]
     assert [r.sep for r in detect_separators(spark, d2).collect()] == [","]
     assert [r.sep for r in detect_separators(spark, d3).collect()] == [","]
+
+
+def test_undecoded_files_with_different_column_orders(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "orders")
+    write(d, "a.csv", "WMOIND,YEAR,MONTH,DAY,HOUR,MIN,REPORT\n98444,2024,1,2,3,4,R1\n")
+    write(d, "b.csv", "REPORT,MIN,HOUR,DAY,MONTH,YEAR,WMOIND\nR2,5,6,7,8,2023,98446\n")
+    got = sorted(tuple(r) for r in read_undecoded_csv(spark, d).collect())
+    assert got == [("98444", "2024", "1", "2", "3", "4", "R1"),
+                   ("98446", "2023", "8", "7", "6", "5", "R2")]
