@@ -17,9 +17,22 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# Whitespace as Java's ``\s``: space, tab, newline, vertical tab, form feed,
+# carriage return.
+WHITESPACE = " \t\n\x0b\x0c\r"
+
+
 def strip_ws(col) -> Column:
-    """Remove leading and trailing whitespace (tabs and newlines too)."""
-    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
+    """Remove leading and trailing whitespace (tabs and newlines too); a
+    character trim, no regular expression."""
+    return F.trim(_c(col), F.lit(WHITESPACE))
+
+
+def split_ws(col) -> Column:
+    """Split on runs of whitespace, dropping empty pieces (``''`` -> ``[]``):
+    whitespace is mapped to spaces and split on a single space."""
+    spaced = F.translate(_c(col), WHITESPACE[1:], " " * (len(WHITESPACE) - 1))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def nan_to_null(col) -> Column:

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from stratus.functions import codes
 from stratus.functions.scalars import (
-    humidity_magnus, map_lookup, pressure_hpa, rain_mm, strip_ws, tenths_signed,
-    visibility_m,
+    WHITESPACE, humidity_magnus, map_lookup, pressure_hpa, rain_mm, split_ws, strip_ws,
+    tenths_signed, visibility_m,
 )
 from stratus.schemas import READINGS
 from stratus.session import fence_columns
@@ -88,14 +88,13 @@ def decode_reports(df: DataFrame, report_col: str = "REPORT",
 
     # (1) cleaned text: strip, drop trailing '=', strip again
     out = df.withColumns({
-        _P + "c": F.regexp_replace(
-            F.regexp_replace(strip_ws(F.coalesce(F.col(report_col), F.lit(""))), "=+$", ""),
-            r"\s+$", ""),
+        _P + "c": F.rtrim(F.rtrim(strip_ws(F.coalesce(F.col(report_col), F.lit(""))),
+                                  F.lit("=")), F.lit(WHITESPACE)),
     })
     # (2) tokens and NIL flag
     out = out.withColumns({
         _P + "nil": F.upper(_h("c")).endswith("NIL"),
-        _P + "tk": F.when(_h("c") == "", empty).otherwise(F.split(_h("c"), r"\s+")),
+        _P + "tk": split_ws(_h("c")),
     })
     # (3) optional message type, then YYGGiw and the station number
     out = out.withColumns({
