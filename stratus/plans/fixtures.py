@@ -149,7 +149,31 @@ SELECT req || '/' || cast(d AS string), report_id*2+2, '   ' FROM s WHERE report
 
 
 def reply_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``reply line_no line`` over ``synop`` (itself over ``events``)."""
-    fixtures_synop = view(spark, sf_dir, "synop")
-    fixtures_synop.createOrReplaceTempView("synop")
-    return spark.sql(REPLY_LINES_SQL)
+    """``reply line_no line`` over ``synop`` (itself over ``events``): the
+    lines of ``REPLY_LINES_SQL``, with each report's lines made by one
+    ``explode`` so the report text is built twice (lines, reply heads)
+    rather than three times."""
+    from pyspark.sql import functions as F
+
+    syn = view(spark, sf_dir, "synop")
+    s = syn.select(
+        "report_id", "WMOIND", "YEAR", "MONTH", "DAY", "HOUR", "MIN", "REPORT",
+        F.when(F.col("WMOIND") == "98999", F.lit("98444")).otherwise(F.col("WMOIND")).alias("req"),
+        F.col("DAY").cast("int").alias("d"))
+    reply = F.concat(F.col("req"), F.lit("/"), F.col("d").cast("string"))
+    csv_line = F.concat_ws(",", *[F.col(c) for c in ("WMOIND", "YEAR", "MONTH", "DAY", "HOUR",
+                                                      "MIN", "REPORT")])
+    entries = F.array(
+        F.struct((F.col("report_id") * 2 + 1).alias("line_no"), csv_line.alias("line")),
+        F.when(F.col("report_id") % 5 == 0,
+               F.struct((F.col("report_id") * 2 + 2).alias("line_no"), F.lit("   ").alias("line"))))
+    body = (s.select(reply.alias("reply"), F.explode(entries).alias("e"))
+            .where(F.col("e").isNotNull())
+            .select("reply", F.col("e.line_no").alias("line_no"), F.col("e.line").alias("line")))
+    heads = (s.select("req", "d").distinct()
+             .select(F.concat(F.col("req"), F.lit("/"), F.col("d").cast("string")).alias("reply"),
+                     F.lit(0).cast("bigint").alias("line_no"),
+                     F.when(F.col("d") % 7 == 3, F.lit("Status: NO DATA for this period"))
+                     .when(F.col("d") % 2 == 0, F.lit("WMOIND,YEAR,MONTH,DAY,HOUR,MIN,REPORT"))
+                     .otherwise(F.lit("")).alias("line")))
+    return heads.unionByName(body)
