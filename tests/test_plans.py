@@ -68,3 +68,16 @@ def test_pushdown_into_parquet(spark, tmp_dir):
     assert "PushedFilters: [IsNotNull(temp), GreaterThanOrEqual(temp,10.0), LessThanOrEqual(temp,45.0)]" in plan
     read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert read_schema == "struct<location:string,ts:timestamp_ntz,temp:double>"
+
+
+def test_spread_never_runs_a_job(spark):
+    from stratus.session import spread
+
+    sc = spark.sparkContext._jsc.sc()
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    shuffled = ev.groupBy("user_id").count()
+    before = sc.dagScheduler().nextJobId()
+    assert spread(shuffled) is shuffled                 # a plan with a shuffle is left alone
+    narrow = spread(ev.select("event_id"))              # a one-partition scan is spread
+    assert sc.dagScheduler().nextJobId() == before
+    assert "RoundRobinPartitioning" in physical(narrow)
