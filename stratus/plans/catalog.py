@@ -568,9 +568,39 @@ O_RAW_RECORD_COUNTS = with_views(
     "SELECT WMOIND, count(*) AS records FROM synop GROUP BY WMOIND", "synop")
 
 
+def q_synop_decode_extras(spark, sf):
+    """The optional decode outputs: dew point, cloud base, rain duration and
+    the unphysical-dew-point flag."""
+    raw = spread(fixtures.view(spark, sf, "synop"))
+    return decode_reports(raw, "REPORT", extras=True).select(
+        "report_id", "dewpoint", "cloud_base_m", "rain_duration_h", "dewpoint_gt_temp")
+
+
+def _extras_sql() -> str:
+    base = " ".join(f"WHEN {k} THEN {float(v)!r}e0" .replace(".0e0", "e0")
+                    for k, v in codes.CLOUD_BASE_M.items())
+    return f"""
+SELECT e AS report_id,
+  CASE WHEN e%41<>0 THEN td END AS dewpoint,
+  CASE WHEN e%41<>0 THEN CASE e%10 {base} END END AS cloud_base_m,
+  CASE WHEN e%41<>0 THEN CASE WHEN ir IN (0,1) AND e%2=0 THEN 6e0 WHEN ir IN (0,2) THEN 3e0 END END
+    AS rain_duration_h,
+  coalesce(e%41<>0 AND t IS NOT NULL AND td > t, false) AS dewpoint_gt_temp
+FROM (SELECT event_id AS e, event_id%5 AS ir,
+        CASE WHEN event_id%31=0 THEN (event_id*37)%500+20
+             ELSE greatest((event_id*37)%500-event_id%120, 0) END / 10e0 AS td,
+        CASE WHEN event_id%19<>0 THEN CASE WHEN event_id%29=0 THEN -((event_id*37)%500)/10e0
+             ELSE ((event_id*37)%500)/10e0 END END AS t
+      FROM events) k"""
+
+
+O_SYNOP_DECODE_EXTRAS = with_views(_extras_sql())
+
+
 QUERIES = {
     "synop_decode": (q_synop_decode, O_SYNOP_DECODE),
     "synop_decoded_table": (q_synop_decoded_table, O_SYNOP_DECODED_TABLE),
+    "synop_decode_extras": (q_synop_decode_extras, O_SYNOP_DECODE_EXTRAS),
     "synop_station_override": (q_synop_station_override, O_SYNOP_STATION_OVERRIDE),
     "synop_run_counts": (q_synop_run_counts, O_SYNOP_RUN_COUNTS),
     "avg_humidity": (q_avg_humidity, O_AVG_HUMIDITY),
