@@ -597,6 +597,39 @@ FROM (SELECT event_id AS e, event_id%5 AS ir,
 O_SYNOP_DECODE_EXTRAS = with_views(_extras_sql())
 
 
+_FILE_NAME_SQL = """CASE event_id%4 WHEN 0 THEN 'Decoded' || event_type || '.csv'
+  WHEN 1 THEN 'decoded' || upper(event_type) || '.csv'
+  WHEN 2 THEN event_type || '_station.v2.csv'
+  ELSE 'x' || 'DECODED' || event_type || '.csv' END"""
+
+
+def q_location_from_file_names(spark, sf):
+    """Location labels from file names (one name per event)."""
+    from stratus.sources.observations import location_from_file
+
+    fixtures.register_tables(spark, sf, ["events"])
+    names = spark.table("events").selectExpr("event_id", f"{_FILE_NAME_SQL} AS file_name")
+    return names.select("event_id", "file_name", location_from_file("file_name").alias("location"))
+
+
+O_LOCATION_FROM_FILE_NAMES = with_views(f"""
+SELECT event_id, file_name,
+  CASE WHEN regexp_extract(stem, '(?i)Decoded(.+)', 1) <> '' THEN regexp_extract(stem, '(?i)Decoded(.+)', 1)
+       ELSE stem END AS location
+FROM (SELECT event_id, file_name, regexp_replace(file_name, '\\.[^./]*$', '') AS stem
+      FROM (SELECT event_id, {_FILE_NAME_SQL} AS file_name FROM events) n) s""")
+
+
+def q_result_csv_roundtrip(spark, sf):
+    """The rain result written by the result sink and read back."""
+    from stratus.session import scratch_path
+    from stratus.sinks import write_result_csv
+
+    path = scratch_path(spark, "result-total-rain")
+    write_result_csv(agg.total_rain(_obs(spark, sf)), path)
+    return spark.read.schema("location string, total_rain_mm double").option("header", True).csv(path)
+
+
 QUERIES = {
     "synop_decode": (q_synop_decode, O_SYNOP_DECODE),
     "synop_decoded_table": (q_synop_decoded_table, O_SYNOP_DECODED_TABLE),
@@ -631,4 +664,6 @@ QUERIES = {
     "materialized_total_rain": (q_materialized_total_rain, O_TOTAL_RAIN),
     "stream_decode_files": (q_stream_decode_files, O_DECODE_JOB_FILES),
     "raw_record_counts": (q_raw_record_counts, O_RAW_RECORD_COUNTS),
+    "location_from_file_names": (q_location_from_file_names, O_LOCATION_FROM_FILE_NAMES),
+    "result_csv_roundtrip": (q_result_csv_roundtrip, O_TOTAL_RAIN),
 }
