@@ -157,3 +157,14 @@ def test_daily_rollup_matches_direct_results(spark):
                     continue
                 x, y = a[k][col], b[k][col]
                 assert (x is None and y is None) or abs(x - y) <= 0.0100001, (k, col, x, y)
+
+
+def test_materialize_modes(spark):
+    from stratus.plans.analysis_job import materialize
+
+    df = frame(spark, [("A", "2024-01-01 00:00", 20.0, None, 50.0, 1.0, 0.0, 0.0, 0.0, 1.0),
+                       ("B", "2024-01-02 00:00", 30.0, None, 60.0, 2.0, 0.0, 0.0, 0.0, 2.0)])
+    want = sorted(tuple(r) for r in agg.total_rain(df).collect())
+    for mode in ("parquet", "checkpoint", "cache", "none"):
+        got = sorted(tuple(r) for r in agg.total_rain(materialize(df, mode)).collect())
+        assert got == want, mode

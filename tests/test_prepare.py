@@ -57,3 +57,20 @@ def test_external_coordinates_override_last_wins(spark):
             ("98446", "2024", "1", "1", "6", "0", REPORT)]
     got = [(r.station_id, r.lat, r.lon) for r in decode_raw(raw(spark, rows), st).collect()]
     assert got == [("98444", 4.0, 5.0), ("55555", 6.0, 7.0), ("98446", 13.57, 124.20)]
+
+
+def test_coordinates_shuffle_join_fallback_with_hot_station(spark):
+    from stratus.operators.prepare import attach_coordinates, prepare_records
+
+    rows = [("98444", "2024", "1", "1", "6", "0", REPORT)] * 900 + \
+           [(f"9{i:04d}", "2024", "1", "1", "6", "0", REPORT) for i in range(100)]
+    ext = station_table(spark.createDataFrame(
+        [(1, "98444", "1.5", "2.5"), (2, "90007", "3", "4")], "line int, wmo_id string, lat string, lon string"),
+        "line")
+    prepared = prepare_records(raw(spark, rows).repartition(8))
+    for bound in (200_000, 0):           # broadcast, then the shuffle join beyond the bound
+        out = attach_coordinates(prepared, ext, broadcast_max_rows=bound)
+        got = {(r.station_id, r.lat, r.lon, r.n) for r in
+               out.groupBy("station_id", "lat", "lon").count().withColumnRenamed("count", "n").collect()}
+        assert ("98444", 1.5, 2.5, 900) in got and ("90007", 3.0, 4.0, 1) in got
+        assert sum(n for *_, n in got) == 1000
