@@ -84,6 +84,7 @@ def results(clean: DataFrame, one_pass: bool = False) -> dict[str, DataFrame]:
         "humidity_ranks": chart.humidity_ranks(humidity_unordered),
         "palette": chart.palette_slots(clean),
         "rows_per_location": agg.location_counts(clean, "rows"),
+        "rows_after_cleaning": clean_row_count(clean),
     }
 
 

@@ -121,6 +121,7 @@ def test_observation_folder_and_analysis(spark, tmp_dir):
     daily = [(r.location, str(r.date), r.avg_temp) for r in res["daily_avg_temp"].collect()]
     assert daily == [("A", "None", 26.0), ("A", "2024-01-01", 26.0), ("B", "2024-02-01", 30.0)]
     assert os.path.isdir(os.path.join(tmp_dir, "out", "monthly_avg_temp"))
+    assert res["rows_after_cleaning"].collect()[0].rows == 5
     one = run_analysis(spark, d, one_pass=True, materialize_mode="cache")
     assert {r.location: r.avg_humidity for r in one["avg_humidity"].collect()} == hum
     assert {r.location: r.total_rain_mm for r in one["total_rain"].collect()} == rain
