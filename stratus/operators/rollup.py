@@ -24,7 +24,7 @@ def daily_rollup(clean: DataFrame) -> DataFrame:
     t = F.when(ok, F.col("temp"))
     month = F.date_trunc("month", F.col("date")).cast(clean.schema["ts"].dataType)
     have = set(clean.columns)
-    stats = [F.count(t).alias("n_temp"), F.sum(t).alias("s_temp"),
+    stats = [F.count(F.lit(1)).alias("n_rows"), F.count(t).alias("n_temp"), F.sum(t).alias("s_temp"),
              F.min(t).alias("min_temp"), F.max(t).alias("max_temp")]
     if "humidity" in have:
         stats += [F.count("humidity").alias("n_humidity"), F.sum("humidity").alias("s_humidity")]
@@ -69,3 +69,11 @@ def daily_wind(rollup: DataFrame) -> DataFrame:
                           F.round(F.try_divide(F.col("s_wind"), F.col("n_wind")), 2)
                           .alias("avg_wind_speed"))
             .orderBy("location", "date"))
+
+
+def location_counts(rollup: DataFrame, name: str = "rows") -> DataFrame:
+    return rollup.groupBy("location").agg(F.sum("n_rows").alias(name))
+
+
+def row_count(rollup: DataFrame) -> DataFrame:
+    return rollup.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows"))

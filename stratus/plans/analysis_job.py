@@ -58,7 +58,9 @@ def results(clean: DataFrame, one_pass: bool = False) -> dict[str, DataFrame]:
         monthly_unordered, humidity_unordered = monthly, humidity
         firsts = {"daily_avg_temp": rollup.daily_temperature(daily),
                   "total_rain": rollup.total_rain(daily),
-                  "wind_trend": rollup.daily_wind(daily)}
+                  "wind_trend": rollup.daily_wind(daily),
+                  "rows_per_location": rollup.location_counts(daily, "rows"),
+                  "rows_after_cleaning": rollup.row_count(daily)}
     else:
         monthly = agg.monthly_temperature(clean)
         humidity = agg.average_humidity(clean)
@@ -66,7 +68,9 @@ def results(clean: DataFrame, one_pass: bool = False) -> dict[str, DataFrame]:
         humidity_unordered = agg.average_humidity(clean, ordered=False)
         firsts = {"daily_avg_temp": agg.daily_temperature(clean),
                   "total_rain": agg.total_rain(clean),
-                  "wind_trend": agg.daily_wind(clean)}
+                  "wind_trend": agg.daily_wind(clean),
+                  "rows_per_location": agg.location_counts(clean, "rows"),
+                  "rows_after_cleaning": clean_row_count(clean)}
     bins = chart.wind_temperature_bins(clean)
     trend = chart.wind_temperature_trend(bins)
     return {
@@ -82,9 +86,10 @@ def results(clean: DataFrame, one_pass: bool = False) -> dict[str, DataFrame]:
         "month_extremes": chart.monthly_extremes(monthly_unordered),
         "month_axis_ranges": chart.monthly_ranges(monthly_unordered),
         "humidity_ranks": chart.humidity_ranks(humidity_unordered),
-        "palette": chart.palette_slots(clean),
-        "rows_per_location": agg.location_counts(clean, "rows"),
-        "rows_after_cleaning": clean_row_count(clean),
+        # same location set as the cleaned table, from a small result
+        "palette": chart.palette_slots(humidity_unordered),
+        "rows_per_location": firsts["rows_per_location"],
+        "rows_after_cleaning": firsts["rows_after_cleaning"],
     }
 
 

@@ -126,6 +126,10 @@ def test_observation_folder_and_analysis(spark, tmp_dir):
     assert {r.location: r.avg_humidity for r in one["avg_humidity"].collect()} == hum
     assert {r.location: r.total_rain_mm for r in one["total_rain"].collect()} == rain
     assert [(r.location, str(r.date), r.avg_temp) for r in one["daily_avg_temp"].collect()] == daily
+    assert one["rows_after_cleaning"].collect()[0].rows == 5
+    assert sorted(tuple(r) for r in one["rows_per_location"].collect()) == \
+        sorted(tuple(r) for r in res["rows_per_location"].collect())
+    assert [r.location for r in one["palette"].orderBy("palette_index").collect()] == ["A", "B", "Other"]
 
 
 def test_observation_folder_errors(spark, tmp_dir):
