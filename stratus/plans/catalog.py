@@ -630,11 +630,37 @@ def q_result_csv_roundtrip(spark, sf):
     return spark.read.schema("location string, total_rain_mm double").option("header", True).csv(path)
 
 
+def q_lenient_records(spark, sf):
+    """Malformed date/time fields: lenient parse, clamping and error rows."""
+    return decode_raw(fixtures.view(spark, sf, "lenient"), keep=["report_id"])
+
+
+O_LENIENT_RECORDS = f"""
+SELECT report_id, station_id,
+  CASE WHEN err THEN '' ELSE strftime(make_date(y, mo, least(d, day(last_day(make_date(y, mo, 1))))), '%Y-%m-%d') END AS date,
+  CASE WHEN err THEN '' ELSE lpad(CAST(h AS VARCHAR), 2, '0') || ':' || lpad(CAST(mi AS VARCHAR), 2, '0') || ':00' END AS time,
+  CASE WHEN NOT err THEN {_coord_case(0)} END AS lat, CASE WHEN NOT err THEN {_coord_case(1)} END AS lon,
+  CASE WHEN NOT err THEN 25.5e0 END AS temp, CAST(NULL AS DOUBLE) AS pressure, CAST(NULL AS DOUBLE) AS humidity,
+  CASE WHEN NOT err THEN 4e0 END AS wind_speed, CASE WHEN NOT err THEN 120e0 END AS wind_dir,
+  CASE WHEN NOT err THEN 8e0 END AS cloud_cover, CASE WHEN NOT err THEN 25000e0 END AS visibility_m,
+  CASE WHEN NOT err THEN 0e0 END AS rain_3h, err AS decode_error
+FROM (SELECT *, y < 1 OR y > 9999 AS err FROM (
+  SELECT event_id AS report_id, CASE WHEN event_id%6=0 THEN '98444' ELSE '98446' END AS station_id,
+    CASE WHEN event_id%97=0 THEN 0 WHEN event_id%89=0 THEN 10000 WHEN event_id%7=0 THEN year(ts)
+         WHEN event_id%11=0 THEN 2000 ELSE year(ts) END AS y,
+    CASE WHEN event_id%5=0 THEN 12 WHEN event_id%13=0 THEN 1 ELSE month(ts) END AS mo,
+    CASE WHEN event_id%3=0 THEN 31 ELSE day(ts) END AS d,
+    CASE WHEN event_id%4=0 THEN hour(ts) WHEN event_id%17=0 THEN 23 ELSE hour(ts) END AS h,
+    CASE WHEN event_id%9=0 THEN 0 WHEN event_id%19=0 THEN 59 ELSE minute(ts) END AS mi
+  FROM events) a) b"""
+
+
 QUERIES = {
     "synop_decode": (q_synop_decode, O_SYNOP_DECODE),
     "synop_decoded_table": (q_synop_decoded_table, O_SYNOP_DECODED_TABLE),
     "synop_decode_extras": (q_synop_decode_extras, O_SYNOP_DECODE_EXTRAS),
     "synop_station_override": (q_synop_station_override, O_SYNOP_STATION_OVERRIDE),
+    "lenient_records": (q_lenient_records, O_LENIENT_RECORDS),
     "synop_run_counts": (q_synop_run_counts, O_SYNOP_RUN_COUNTS),
     "avg_humidity": (q_avg_humidity, O_AVG_HUMIDITY),
     "total_rain": (q_total_rain, O_TOTAL_RAIN),

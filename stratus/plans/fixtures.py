@@ -177,3 +177,25 @@ def reply_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .when(F.col("d") % 2 == 0, F.lit("WMOIND,YEAR,MONTH,DAY,HOUR,MIN,REPORT"))
                      .otherwise(F.lit("")).alias("line")))
     return heads.unionByName(body)
+
+
+# Raw reports with malformed date/time fields built from ``events``: years 0
+# and 10000 (error rows), text around the year, an empty year, month 13 and
+# 0, day 31 in every month, hours like "?8" and 99, empty and 75 minutes,
+# padded station ids.
+LENIENT_SQL = """
+SELECT event_id AS report_id,
+ CASE WHEN event_id%6=0 THEN ' 98444 ' ELSE '98446' END AS WMOIND,
+ CASE WHEN event_id%97=0 THEN '0' WHEN event_id%89=0 THEN '10000'
+      WHEN event_id%7=0 THEN 'Y' || cast(year(ts) AS string) WHEN event_id%11=0 THEN ''
+      ELSE cast(year(ts) AS string) END AS YEAR,
+ CASE WHEN event_id%5=0 THEN '13' WHEN event_id%13=0 THEN '0' ELSE cast(month(ts) AS string) END AS MONTH,
+ CASE WHEN event_id%3=0 THEN '31' ELSE cast(day(ts) AS string) END AS DAY,
+ CASE WHEN event_id%4=0 THEN '?' || cast(hour(ts) AS string) WHEN event_id%17=0 THEN '99'
+      ELSE cast(hour(ts) AS string) END AS HOUR,
+ CASE WHEN event_id%9=0 THEN '' WHEN event_id%19=0 THEN '75' ELSE cast(minute(ts) AS string) END AS MIN,
+ 'AAXX 01001 98444 32970 81204 10255=' AS REPORT
+FROM events
+"""
+
+VIEWS["lenient"] = (LENIENT_SQL, ("events",))
