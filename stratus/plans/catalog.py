@@ -655,6 +655,34 @@ FROM (SELECT *, y < 1 OR y > 9999 AS err FROM (
   FROM events) a) b"""
 
 
+def q_observation_folder_summary(spark, sf):
+    """Observations landed as analysis CSVs (12-column schema, header) in the
+    shared folder, read back by the folder reader, cleaned and summarized by
+    station."""
+    from stratus.schemas import OBSERVATION_COLUMNS
+    from stratus.session import scratch_path
+    from stratus.sources.observations import read_observations
+
+    obs = fixtures.view(spark, sf, "obs")
+    cols = {"station_id": F.col("location"),
+            "datetime": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+            "lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double")}
+    landed = obs.select(*[(cols[c] if c in cols else F.col(c)).alias(c) for c in OBSERVATION_COLUMNS])
+    folder = scratch_path(spark, "observations")
+    landed.write.option("header", True).csv(folder)
+    clean = clean_observations(read_observations(spark, folder))
+    return (clean.groupBy("station_id")
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.round(F.avg("humidity"), 2).alias("avg_humidity"),
+                 F.round(F.sum("rain_3h"), 2).alias("total_rain_mm")))
+
+
+O_OBSERVATION_FOLDER_SUMMARY = with_views(f"""
+SELECT location AS station_id, count(*) AS rows, round(avg(humidity), 2) AS avg_humidity,
+       round(sum(rain), 2) AS total_rain_mm
+FROM {_CLEAN} c GROUP BY location""", "obs")
+
+
 QUERIES = {
     "synop_decode": (q_synop_decode, O_SYNOP_DECODE),
     "synop_decoded_table": (q_synop_decoded_table, O_SYNOP_DECODED_TABLE),
@@ -692,4 +720,5 @@ QUERIES = {
     "raw_record_counts": (q_raw_record_counts, O_RAW_RECORD_COUNTS),
     "location_from_file_names": (q_location_from_file_names, O_LOCATION_FROM_FILE_NAMES),
     "result_csv_roundtrip": (q_result_csv_roundtrip, O_TOTAL_RAIN),
+    "observation_folder_summary": (q_observation_folder_summary, O_OBSERVATION_FOLDER_SUMMARY),
 }
