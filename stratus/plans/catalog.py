@@ -367,7 +367,8 @@ def q_humidity_ranks(spark, sf):
 
 
 O_HUMIDITY_RANKS = with_views(f"""
-SELECT location, avg_humidity, row_number() OVER (ORDER BY avg_humidity DESC NULLS LAST, location) AS rank,
+SELECT location, avg_humidity,
+  CAST(row_number() OVER (ORDER BY avg_humidity DESC NULLS LAST, location) AS INTEGER) AS rank,
   list_extract({codes.PALETTE!r}, CAST((row_number() OVER (ORDER BY avg_humidity ASC NULLS LAST, location) - 1) % 8 + 1 AS INTEGER)) AS bar_colour
 FROM (SELECT location, round(avg(humidity), 2) AS avg_humidity FROM {_CLEAN} c GROUP BY location) h""", "obs")
 

@@ -36,10 +36,19 @@ def _norm(v):
     return v
 
 
+# Spark type -> DuckDB type of the same values.
+TYPE_NAMES = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+              "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN", "DateType()": "DATE",
+              "TimestampNTZType()": "TIMESTAMP", "TimestampType()": "TIMESTAMP WITH TIME ZONE"}
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {f.name: TYPE_NAMES.get(str(f.dataType), str(f.dataType)) for f in sdf.schema.fields}
     s_rows = [tuple(_norm(r[c]) for c in sorted(s_cols)) for r in sdf.collect()]
+    typed = con.sql(sql)
+    d_types = {c: str(t) for c, t in zip(typed.columns, typed.types)}
     rel = con.execute(sql)
     d_cols = [d[0] for d in rel.description]
     d_raw = rel.fetchall()
@@ -48,6 +57,10 @@ def compare(spark, con, name, fn, sql, sf_dir):
     problems = []
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns {sorted(s_cols)} != {sorted(d_cols)}")
+    type_diff = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types)
+                 if s_types.get(c) != d_types.get(c)}
+    if type_diff:
+        problems.append(f"types {type_diff}")
     if len(s_rows) != len(d_rows):
         problems.append(f"rows {len(s_rows)} != {len(d_rows)}")
     def key(r):
