@@ -53,9 +53,11 @@ def run_counts(decoded: DataFrame) -> DataFrame:
 
 def run_decode(spark, input_path, output_path: str, sep: str = "auto",
                stations_path: str | None = None, csv_output: bool = False,
-               extras: bool = False) -> DataFrame:
+               extras: bool = False, partition_by: list[str] | None = None) -> DataFrame:
     """Undecoded CSV file(s) -> decoded observations written to ``output_path``
-    (Parquet, or the 13-column CSV text form).  Returns the run counts."""
+    (Parquet, optionally partitioned by ``partition_by`` columns such as
+    ``date`` for partition pruning downstream; or the 13-column CSV text form).
+    Returns the run counts."""
     from stratus.sinks import write_decoded_csv, write_parquet
     from stratus.sources.stations import read_station_csv
     from stratus.sources.undecoded import read_undecoded_csv
@@ -66,6 +68,6 @@ def run_decode(spark, input_path, output_path: str, sep: str = "auto",
     if csv_output:
         write_decoded_csv(decoded, output_path)
     else:
-        write_parquet(decoded, output_path)
+        write_parquet(decoded, output_path, partition_by=partition_by)
     written = spark.read.parquet(output_path) if not csv_output else None
     return run_counts(written if written is not None else decoded)

@@ -81,6 +81,10 @@ def test_decode_job_round_trip(spark, tmp_dir):
     assert counts.rows_decoded == 2 and counts.errors == 1
     rows = sorted(spark.read.parquet(out).collect(), key=lambda r: r.station_id)
     assert rows[0].temp == 25.5 and rows[0].date == "2024-01-02" and rows[0].time == "03:00:00"
+    by_date = os.path.join(tmp_dir, "decoded_by_date")
+    run_decode(spark, d, by_date, sep="auto", partition_by=["date"])
+    assert any(n.startswith("date=") for n in os.listdir(by_date))
+    assert spark.read.parquet(by_date).count() == 2
     csv_out = os.path.join(tmp_dir, "decoded_csv")
     write_decoded_csv(spark.read.parquet(out), csv_out)
     text = "".join(open(os.path.join(csv_out, f)).read() for f in sorted(os.listdir(csv_out))
