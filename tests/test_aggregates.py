@@ -168,3 +168,13 @@ def test_materialize_modes(spark):
     for mode in ("parquet", "checkpoint", "cache", "none"):
         got = sorted(tuple(r) for r in agg.total_rain(materialize(df, mode)).collect())
         assert got == want, mode
+
+
+def test_period_coverage_with_station_list(spark):
+    reports = spark.createDataFrame(
+        [("S1", dt.datetime(2024, 1, 2, 0, 0)), ("S9", dt.datetime(2024, 1, 3, 0, 0))],
+        "station_id string, ts timestamp_ntz")
+    listed = spark.createDataFrame([("S1",), ("S2",)], "station_id string")
+    cov = period_coverage(reports, 2024, 2024, 7, now=dt.datetime(2024, 1, 10, 0, 0), stations=listed)
+    got = sorted((r.station, r.period, r.reports) for r in cov.collect())
+    assert got == [("S1", 0, 1), ("S1", 1, 0), ("S2", 0, 0), ("S2", 1, 0)]
