@@ -8,7 +8,6 @@ result read only the columns it needs.
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from stratus.operators import aggregates as agg
 from stratus.operators import chartdata as chart
 from stratus.operators.clean import clean_observations
-from stratus.session import checkpoint_dir
+from stratus.session import checkpoint_dir, scratch_path
 from stratus.sinks import write_result_csv
 from stratus.sources.observations import read_observations
 
@@ -30,7 +29,7 @@ def materialize(df: DataFrame, mode: str = "parquet", name: str = "clean") -> Da
     """
     spark = df.sparkSession
     if mode == "parquet":
-        path = f"{checkpoint_dir(spark).rstrip('/')}/stratus-{name}-{uuid.uuid4().hex}"
+        path = scratch_path(spark, name)
         df.write.parquet(path)
         return spark.read.parquet(path)
     if mode == "checkpoint":

@@ -8,14 +8,12 @@ exactly once, so a restarted or failed run neither loses nor repeats rows.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from stratus.plans.decode_job import decode_raw
 from stratus.schemas import RAW_SCHEMA
-from stratus.session import checkpoint_dir
+from stratus.session import scratch_path
 
 
 def decode_stream(spark: SparkSession, input_dir: str, sep: str = ",",
@@ -46,7 +44,7 @@ def start_decode_stream(spark: SparkSession, input_dir: str, output_dir: str,
     ``available_now`` processes what has landed and stops, otherwise the
     query keeps running with the given trigger interval.
     """
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/stratus-decode-stream-{uuid.uuid4().hex}"
+    ckpt = checkpoint or scratch_path(spark, "decode-stream")
     writer = (decode_stream(spark, input_dir, sep=sep, stations=stations).writeStream
               .format("parquet").option("path", output_dir)
               .option("checkpointLocation", ckpt).outputMode("append"))
