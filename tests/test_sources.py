@@ -174,3 +174,25 @@ def test_undecoded_files_with_different_column_orders(spark, tmp_dir):
     got = sorted(tuple(r) for r in read_undecoded_csv(spark, d).collect())
     assert got == [("98444", "2024", "1", "2", "3", "4", "R1"),
                    ("98446", "2023", "8", "7", "6", "5", "R2")]
+
+
+def test_package_level_usage(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    import stratus
+    from stratus.operators.clean import decoded_to_observations
+
+    landed = os.path.join(tmp_dir, "landed")
+    write(landed, "in.csv", "WMOIND;YEAR;MONTH;DAY;HOUR;MIN;REPORT\n"
+                            "98444;2024;1;2;3;0;AAXX 02031 98444 32970 81204 10255 20220 30085=\n"
+                            "98444;2024;1;3;3;0;AAXX 03031 98444 32970 81204 10275 20220 30085=\n")
+    write(tmp_dir, "stations.csv", "wmo_id,lat,lon\n98444,1,2\n")
+    out = os.path.join(tmp_dir, "decoded.parquet")
+    counts = stratus.run_decode(spark, os.path.join(landed, "*.csv"), out, sep="auto",
+                                stations_path=os.path.join(tmp_dir, "stations.csv")).collect()[0]
+    assert counts.rows_decoded == 2 and counts.errors == 0
+    obs = decoded_to_observations(spark.read.parquet(out)).withColumn("location", F.lit("A"))
+    clean = stratus.clean_observations(obs)
+    assert [r.lat for r in clean.collect()] == [1.0, 1.0]
+    assert sorted(r.temp for r in clean.collect()) == [25.5, 27.5]
+
