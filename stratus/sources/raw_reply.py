@@ -54,7 +54,11 @@ def read_reply_lines(spark: SparkSession, path: str) -> DataFrame:
                     F.col("value").alias("line")))
 
 
-_CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+# ``from_csv`` starts a parser per line, and the parser allocates its input
+# buffer each time (1M characters by default); a small buffer is refilled as
+# needed, so long lines still parse, without megabytes of garbage per line.
+_CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+                "inputBufferSize": "1024"}
 
 
 def _csv_fields(col) -> F.Column:
