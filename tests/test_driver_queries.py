@@ -28,3 +28,16 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     problems = compare(spark, con, name, entry_mod.queries()[name], entry_mod.oracle_sql()[name], SF)
     assert not problems, problems
+
+
+def test_reply_parse_without_adaptive_execution(spark):
+    """Static planning broadcasts the reply lines; the per-line CSV parse must
+    not allocate megabytes per line (this ran out of heap before)."""
+    sf = "/root/testdata/sf0.01"
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        problems = compare(spark, duck(sf), "raw_reply_parse", entry_mod.queries()["raw_reply_parse"],
+                           entry_mod.oracle_sql()["raw_reply_parse"], sf)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert not problems, problems
