@@ -53,9 +53,9 @@ def build_session(master: str | None = None, app_name: str = "stratus",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` as the cluster names it.  Only when the
-    setting is absent (local tests) a scratch folder is created and recorded,
-    so jobs never fall back to a machine-local folder on a cluster.
+    Uses ``spark.checkpoint.dir`` as the cluster names it.  Where the setting
+    is absent, a local master gets a scratch folder, which is recorded; any
+    other master raises, since its executors could not see such a folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -66,6 +66,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = sc.master if sc is not None else ""
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="stratus-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():
