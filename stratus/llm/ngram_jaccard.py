@@ -11,6 +11,7 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.
 3. *Answers from a highly similar set*: in each list the sets are first only
    compared with up to three leaders.  A set that links with a leader joins the
    leader's group, and all it could add inside that group is already answered.
+   Lists that then hold several groups get eight leaders more.
 4. *Skipping by position*: only lists that still hold several groups are
    probed, in blocks of one size band, against blocks of the own and the next
    band, and only where the two positions still allow the needed overlap
@@ -52,6 +53,8 @@ FREQUENT = 65_536
 BROADCAST_ROWS = 1_000_000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _XOR = 0x5DEECE66D1234567
+#: Each mask orders the sets of a list anew; the first in each order leads.
+_MASKS = [(k * 0x1F83D9ABFB41BD6B + 0x3C6EF372FE94F82B) % (1 << 63) for k in range(8)]
 
 
 def shingle_sets(data: np.ndarray, starts: np.ndarray, words: int = 5) -> list[np.ndarray]:
@@ -251,58 +254,86 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    & (F.col("node") != F.col("l3.node")), F.col("l3"))),
             lambda x: x.isNotNull())).alias("other", "other_np"))
     led = led.where(_possible(F.col("np"), F.col("other_np"), percent))
-    low = F.col("node") < F.col("other")
     pairs = written(
-        led.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"),
-                   F.when(low, _n(F.col("np"))).otherwise(_n(F.col("other_np"))).alias("na"),
-                   F.when(low, _n(F.col("other_np"))).otherwise(_n(F.col("np"))).alias("nb"),
-                   (F.col("size") <= 3).cast("long").alias("short"))
+        _ordered(led, "node", "np", "other", "other_np", (F.col("size") <= 3).cast("long").alias("short"))
         .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"), F.sum("short").alias("short")), "pairs")
     tried = pairs.where(_enough(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b")
     linked = _linked(docs, nodes, tried, words, percent)
     groups = components(linked)
 
-    # Lists that still hold several groups.
-    long_lists = live.where("size > 3").select("h", "node", "np").distinct()
-    labelled = (long_lists.join(groups, "node", "left")
+    # Lists that still hold several groups: once more with several leaders each,
+    # since a set that misses one leader of its group seldom misses all.
+    labelled = (live.where("size > 3").select("h", "node", "np").distinct().join(groups, "node", "left")
                 .select("h", "node", "np", F.coalesce("component", "node").alias("group")))
-    labelled = written(labelled, "labelled")
-    mixed = (labelled.groupBy("h").agg(F.min("group").alias("g1"), F.max("group").alias("g2"))
-             .where("g1 <> g2").select("h"))
-    left = labelled.join(mixed, "h").withColumn(
-        "band", F.floor(F.log(_n(F.col("np"))) / F.log(F.lit(100 / percent)) + 1e-9))
-    probe = left.select("h", F.col("node").alias("a"), F.col("np").alias("pa"), F.col("group").alias("ga"),
-                        F.col("band"))
-    listed = left.select("h", F.col("node").alias("b"), F.col("np").alias("pb"), F.col("group").alias("gb"),
+    mixed = _mixed(written(labelled, "labelled"))
+    lead = mixed.groupBy("h").agg(*[
+        F.min(F.struct(F.col("node").bitwiseXOR(F.lit(mask)).alias("key"), "node", "np", "group")).alias(f"l{k}")
+        for k, mask in enumerate(_MASKS)])
+    led = mixed.join(lead, "h").select("node", "np", "group", F.inline(F.filter(
+        F.array_distinct(F.array(*[f"l{k}" for k in range(len(_MASKS))])), lambda x: x["group"] != F.col("group")))
+        .alias("key", "other", "other_np", "other_group"))
+    led = (_ordered(led.where(_possible(F.col("np"), F.col("other_np"), percent)), "node", "np", "other", "other_np")
+           .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
+           .where(_enough(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b"))
+    again = written(led.exceptAll(tried), "tried")
+    merged = _merge(_linked(docs, nodes, again, words, percent), groups)
+
+    # What still differs is probed in blocks of one size band.
+    mixed = _mixed(written(mixed.withColumnRenamed("group", "component").join(merged, "component", "left")
+                           .select("h", "node", "np", F.coalesce("merged", "component").alias("group")), "relabelled"))
+    left = mixed.withColumn("band", F.floor(F.log(_n(F.col("np"))) / F.log(F.lit(100 / percent)) + 1e-9))
+    probe = left.select("h", F.col("node").alias("x"), F.col("np").alias("px"), F.col("group").alias("gx"), "band")
+    listed = left.select("h", F.col("node").alias("y"), F.col("np").alias("py"), F.col("group").alias("gy"),
                          F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"))
     met = probe.join(listed, ["h", "band"]).where(
-        (F.col("ga") != F.col("gb")) & _possible(F.col("pa"), F.col("pb"), percent)
-        & (F.struct(_n(F.col("pa")), F.col("a")) < F.struct(_n(F.col("pb")), F.col("b"))))
-    low = F.col("a") < F.col("b")
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                     F.when(low, _n(F.col("pa"))).otherwise(_n(F.col("pb"))).alias("na"),
-                     F.when(low, _n(F.col("pb"))).otherwise(_n(F.col("pa"))).alias("nb"))
-    met = met.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
-    met = (met.join(pairs.select("a", "b", F.col("c").alias("was"), "short", "na", "nb"), ["a", "b", "na", "nb"], "left")
-           .where(_enough(F.col("c") + F.coalesce("short", F.lit(0)), F.col("na"), F.col("nb"), percent)
-                  & ~F.coalesce(_enough(F.col("was"), F.col("na"), F.col("nb"), percent), F.lit(False))))
-    more = _linked(docs, nodes, written(met.select("a", "b"), "met"), words, percent)
-    joined = (more.join(groups.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
-              .join(groups.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-              .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    merged = components(joined).select(F.col("node").alias("component"), F.col("component").alias("merged"))
+        (F.col("gx") != F.col("gy")) & _possible(F.col("px"), F.col("py"), percent)
+        & (F.struct(_n(F.col("px")), F.col("x")) < F.struct(_n(F.col("py")), F.col("y"))))
+    met = _ordered(met, "x", "px", "y", "py").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
+    met = (met.join(pairs.select("a", "b", "short"), ["a", "b"], "left")
+           .where(_enough(F.col("c") + F.coalesce("short", F.lit(0)), F.col("na"), F.col("nb"), percent))
+           .select("a", "b").exceptAll(tried).exceptAll(again))
+    links = _linked(docs, nodes, written(met, "met"), words, percent)
+    last = _merge(links, groups, merged)
 
     # Smallest document id of every group, then back to the documents.
-    root = F.coalesce("merged", "component", "node")
-    rooted = (nodes.join(groups, "node", "left")
-              .withColumn("component", F.coalesce("component", "node"))
-              .join(merged, "component", "left").select("node", "rep", root.alias("root")))
+    rooted = _rooted(nodes, groups, merged, last)
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = rooted.join(smallest, "root").select("node", "component_id")
     return sig.join(named, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _ordered(df: DataFrame, x: str, px: str, y: str, py: str, *more) -> DataFrame:
+    """Pairs as (a, b, na, nb) with a < b."""
+    low = F.col(x) < F.col(y)
+    nx, ny = _n(F.col(px)), _n(F.col(py))
+    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"),
+                     F.when(low, nx).otherwise(ny).alias("na"), F.when(low, ny).otherwise(nx).alias("nb"), *more)
+
+
+def _mixed(lists: DataFrame) -> DataFrame:
+    """The entries of the lists that hold more than one group."""
+    several = (lists.groupBy("h").agg(F.min("group").alias("g1"), F.max("group").alias("g2"))
+               .where("g1 <> g2").select("h"))
+    return lists.join(several, "h")
+
+
+def _rooted(nodes: DataFrame, groups: DataFrame, *merges: DataFrame) -> DataFrame:
+    """``nodes`` with the column root: its group after all merges of groups."""
+    out = nodes.join(groups, "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component")
+    for m in merges:
+        out = (out.join(m.withColumnRenamed("component", "root"), "root", "left")
+               .withColumn("root", F.coalesce("merged", "root")).drop("merged"))
+    return out
+
+
+def _merge(links: DataFrame, groups: DataFrame, *merges: DataFrame) -> DataFrame:
+    """Groups that ``links(a, b)`` joins, as (component, merged)."""
+    left = _rooted(links.withColumnRenamed("a", "node"), groups, *merges).select("b", F.col("root").alias("a"))
+    both = _rooted(left.withColumnRenamed("b", "node"), groups, *merges).select("a", F.col("root").alias("b"))
+    return components(both).select(F.col("node").alias("component"), F.col("component").alias("merged"))
+
+
 def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The ``pairs(a, b)`` of nodes that reach the similarity, on whole sets."""
     used = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
