@@ -14,11 +14,10 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.
    Lists that then hold several groups get eight leaders more.
 4. *Skipping by position*: only lists that still hold several groups are
    probed, in blocks of one size band, against blocks of the own and the next
-   band, and only where the two positions still allow the needed overlap
-   (``min(i, j) + 1 + min(nx-i-1, ny-j-1) >= need``).  This bound holds for
-   every common shingle of a linked pair, so the number of common prefix
-   shingles counted over all lists is complete and is filtered before any set
-   is fetched.
+   band, and only at positions where a first common shingle of a linked pair
+   can stand (``min(nx - i, ny - j) >= need``).  The pairs met are then held to
+   the number of prefix shingles that a linked pair has in common at least,
+   before any set is fetched.
 5. Candidates are verified on the whole sets, made again from the texts.
 
 Groups are exact: a pair of sets in different groups has been verified or
@@ -195,6 +194,13 @@ def _possible(p, q, percent: int):
     return reach * (100 + percent) >= (n + m) * percent
 
 
+def _first(p, q, percent: int):
+    """The bound that the first common shingle of a linked pair keeps: what
+    follows it in either set still holds the whole needed overlap."""
+    n, m, i, j = _n(p), _n(q), _pos(p), _pos(q)
+    return F.least(n - i, m - j) * (100 + percent) >= (n + m) * percent
+
+
 def _enough(c, p, q, percent: int):
     """Common prefix shingles that a linked pair has at least."""
     need = F.ceil((p + q) * percent / (100 + percent))
@@ -286,13 +292,17 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     listed = left.select("h", F.col("node").alias("y"), F.col("np").alias("py"), F.col("group").alias("gy"),
                          F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"))
     met = probe.join(listed, ["h", "band"]).where(
-        (F.col("gx") != F.col("gy")) & _possible(F.col("px"), F.col("py"), percent)
+        (F.col("gx") != F.col("gy")) & _first(F.col("px"), F.col("py"), percent)
         & (F.struct(_n(F.col("px")), F.col("x")) < F.struct(_n(F.col("py")), F.col("y"))))
-    met = _ordered(met, "x", "px", "y", "py").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
-    met = (met.join(pairs.select("a", "b", "short"), ["a", "b"], "left")
+    met = written(_ordered(met, "x", "px", "y", "py").distinct(), "met")
+    prefixes = left.groupBy("node").agg(F.collect_list("h").alias("hs"))
+    met = (met.join(prefixes.select(F.col("node").alias("a"), F.col("hs").alias("ha")), "a")
+           .join(prefixes.select(F.col("node").alias("b"), F.col("hs").alias("hb")), "b")
+           .select("a", "b", "na", "nb", F.size(F.array_intersect("ha", "hb")).alias("c"))
+           .join(pairs.select("a", "b", "short"), ["a", "b"], "left")
            .where(_enough(F.col("c") + F.coalesce("short", F.lit(0)), F.col("na"), F.col("nb"), percent))
            .select("a", "b").exceptAll(tried).exceptAll(again))
-    links = _linked(docs, nodes, written(met, "met"), words, percent)
+    links = _linked(docs, nodes, written(met, "last"), words, percent)
     last = _merge(links, groups, merged)
 
     # Smallest document id of every group, then back to the documents.
