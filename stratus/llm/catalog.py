@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratus.llm import line_dedup, mixing, sharding
 from stratus.llm.common import table
 from stratus.llm.ngram_jaccard import jaccard_groups
 
@@ -13,7 +14,25 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_sharding": op4_sharding,
+    "op5_mixing": op5_mixing,
+}
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": line_dedup.SQL,
+    "op5_mixing": mixing.SQL,
 }
-ORACLES: dict[str, str] = {}
