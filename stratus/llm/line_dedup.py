@@ -74,7 +74,7 @@ WITH l AS (
 bad AS (SELECT list(line) AS lines FROM (SELECT line FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= 8)),
 d AS (SELECT doc_id, text, string_split(text, chr(10)) AS all_lines,
              list_filter(string_split(text, chr(10)),
-                         x -> NOT list_contains(coalesce(lines, []), trim(x, chr(32) || chr(9) || chr(13)))) AS kept
+                         lambda x: NOT list_contains(coalesce(lines, []), trim(x, chr(32) || chr(9) || chr(13)))) AS kept
       FROM documents, bad)
 SELECT doc_id, coalesce(len(all_lines), 0)::BIGINT AS n_lines,
        coalesce(len(all_lines) - len(kept), 0)::BIGINT AS n_removed,
