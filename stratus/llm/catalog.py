@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratus.llm import line_dedup, mixing, sharding
+from stratus.llm import decontaminate, line_dedup, mixing, sharding, span_dedup
 from stratus.llm.common import table
 from stratus.llm.ngram_jaccard import jaccard_groups
 
@@ -26,13 +26,24 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.search_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.remove_repeated_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_line_dedup": op3_line_dedup,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op8_substring_dedup": op8_substring_dedup,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": line_dedup.SQL,
     "op5_mixing": mixing.SQL,
+    "op6_benchmark_decontamination": decontaminate.SQL,
 }
