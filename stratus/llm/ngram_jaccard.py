@@ -306,9 +306,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     last = _merge(links, groups, merged)
 
     # Smallest document id of every group, then back to the documents.
-    rooted = _rooted(nodes, groups, merged, last)
+    rooted = written(_rooted(nodes, groups, merged, last), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(smallest, "root").select("node", "component_id")
+    named = rooted.join(written(smallest, "smallest"), "root").select("node", "component_id")
     return sig.join(named, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 

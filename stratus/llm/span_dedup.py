@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratus.llm.common import byte_table, hash_words, mix, text_chunks
+from stratus.llm.common import byte_table, hash_words, mix, text_chunks, written
 
 MIN_WORDS, MIN_SENTENCES, ALONE = 20, 2, 50
 _WORDS = byte_table(bytes(b for b in range(128) if not chr(b).isalnum()))
@@ -144,11 +144,11 @@ def remove_repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_sente
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.crc32(F.encode("text", "UTF-8")).alias("content"), "text")
     runs = docs.mapInArrow(lambda it: _runs(it, rule), "h long, doc_id long, content long, i int, j int")
-    # Two smallest places say whether a run repeats at all; both are longs, so
-    # the aggregate keeps its buffer in place and combines before the shuffle.
+    # A run repeats if its first and last places differ.  The table is written,
+    # so that both sides of the join are plain exchanges and a hot run is split.
     first = runs.groupBy("h").agg(F.min(F.struct("doc_id", "content", "i")).alias("first"),
                                   F.max(F.struct("doc_id", "content", "i")).alias("final")).where("first <> final")
-    later = (runs.join(first.select("h", "first"), "h")
+    later = (runs.join(written(first.select("h", "first"), "first"), "h")
              .where(F.struct("doc_id", "content", "i") != F.col("first"))
              .groupBy("doc_id", "content").agg(F.collect_set(F.struct("i", "j")).alias("ranges")))
     later = later.select(F.col("doc_id").alias("id"), F.col("content").alias("same"), "ranges")
