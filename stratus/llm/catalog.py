@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratus.llm import decontaminate, line_dedup, mixing, sharding, span_dedup
+from stratus.llm import decontaminate, line_dedup, mixing, secret_scan, sharding, span_dedup, url_templates
 from stratus.llm.common import table
 from stratus.llm.ngram_jaccard import jaccard_groups
 
@@ -34,6 +34,14 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_dedup.remove_repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge_urls(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_line_dedup": op3_line_dedup,
@@ -41,6 +49,8 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_substring_dedup": op8_substring_dedup,
+    "op2_secret_scan": op2_secret_scan,
+    "op9_url_filters": op9_url_filters,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": line_dedup.SQL,
