@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratus.llm import decontaminate, line_dedup, mixing, secret_scan, sharding, span_dedup, url_templates
+from stratus.llm import decontaminate, embedding_caps, line_dedup, mixing, secret_scan, sharding, span_dedup, url_templates
 from stratus.llm.common import table
 from stratus.llm.ngram_jaccard import jaccard_groups
 
@@ -42,6 +42,10 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_caps.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_line_dedup": op3_line_dedup,
@@ -51,6 +55,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op9_url_filters": op9_url_filters,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 ORACLES: dict[str, str] = {
     "op3_line_dedup": line_dedup.SQL,
