@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratus.llm import decontaminate, embedding_caps, line_dedup, mixing, secret_scan, sharding, span_dedup, url_templates
+from stratus.llm import decontaminate, embedding_caps, language_id, line_dedup, mixing, secret_scan, sharding, span_dedup, url_templates
 from stratus.llm.common import table
 from stratus.llm.ngram_jaccard import jaccard_groups
 
@@ -46,17 +46,14 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_caps.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
-    "op3_line_dedup": op3_line_dedup,
-    "op4_sharding": op4_sharding,
-    "op5_mixing": op5_mixing,
-    "op6_benchmark_decontamination": op6_benchmark_decontamination,
-    "op8_substring_dedup": op8_substring_dedup,
-    "op2_secret_scan": op2_secret_scan,
-    "op9_url_filters": op9_url_filters,
-    "op10_embedding_near_dedup": op10_embedding_near_dedup,
-}
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_jaccard_join, op2_secret_scan, op3_line_dedup, op4_sharding, op5_mixing,
+    op6_benchmark_decontamination, op7_language_id, op8_substring_dedup, op9_url_filters,
+    op10_embedding_near_dedup)}
 ORACLES: dict[str, str] = {
     "op3_line_dedup": line_dedup.SQL,
     "op5_mixing": mixing.SQL,

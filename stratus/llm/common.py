@@ -134,8 +134,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     e = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                 .where("u <> v").distinct(), "edges")
-    seen = None
-    for _ in range(max_rounds):
+
+    def state(df: DataFrame) -> tuple:
+        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+    seen = state(e)
+    for _ in range(max_rounds if seen[0] else 0):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -144,12 +148,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = (large.join(low2, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low2.select("u", F.col("m").alias("v"))).distinct())
         e = written(small, "stars")
-        now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        now = state(e)
         if now == seen:
             break
         seen = now
     else:
-        raise RuntimeError("components did not settle")
+        if seen[0]:
+            raise RuntimeError("components did not settle")
     roots = e.select("v").distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select(F.col("v").alias("node"), F.col("v").alias("component")))

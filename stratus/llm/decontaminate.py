@@ -43,44 +43,45 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-class WindowTable:
+def window_table(length: int, windows: dict[tuple, set]) -> dict:
     """Shift table and suffix buckets of all windows of one length."""
-
-    def __init__(self, length: int, windows: dict[tuple, set]):
-        self.length, self.block = length, min(2, length)
-        self.jump = length - self.block + 1
-        self.shift: dict[tuple, int] = {}
-        self.bucket: dict[tuple, dict[tuple, set]] = {}
-        for w, ids in windows.items():
-            for end in range(self.block, length + 1):
-                key, far = w[end - self.block:end], length - end
-                self.shift[key] = min(far, self.shift.get(key, self.jump))
-            self.bucket.setdefault(w[length - self.block:], {})[w] = ids
-
-    def search(self, words: list[bytes]):
-        """(start, items) of every occurrence."""
-        at, n, size, block, jump = self.length, len(words), self.length, self.block, self.jump
-        shift = self.shift
-        while at <= n:
-            key = tuple(words[at - block:at])
-            far = shift.get(key, jump)
-            if far:
-                at += far
-                continue
-            ids = self.bucket[key].get(tuple(words[at - size:at]))
-            if ids is not None:
-                yield at - size, ids
-            at += 1
-
-
-def build_tables(items: list[tuple[object, bytes]], window: int = WINDOW) -> list[WindowTable]:
+    block = min(2, length)
+    jump = length - block + 1
+    shift: dict[tuple, int] = {}
+    bucket: dict[tuple, dict[tuple, set]] = {}
+    for w, ids in windows.items():
+        for end in range(block, length + 1):
+            key = w[end - block:end]
+            shift[key] = min(length - end, shift.get(key, jump))
+        bucket.setdefault(w[length - block:], {})[w] = ids
+    return {"length": length, "block": block, "jump": jump, "shift": shift, "bucket": bucket}
+
+
+def occurrences(table: dict, words: list[bytes]):
+    """(start, items) of every occurrence of the table's windows."""
+    size, block, jump, shift, bucket = (table[k] for k in ("length", "block", "jump", "shift", "bucket"))
+    at, n = size, len(words)
+    while at <= n:
+        key = tuple(words[at - block:at])
+        far = shift.get(key, jump)
+        if far:
+            at += far
+            continue
+        ids = bucket[key].get(tuple(words[at - size:at]))
+        if ids is not None:
+            yield at - size, ids
+        at += 1
+
+
+def build_tables(items: list[tuple[object, bytes]], window: int = WINDOW) -> list[dict]:
+    """Plain dictionaries, which a broadcast ships as they are."""
     by_length: dict[int, dict[tuple, set]] = {}
     for item, text in items:
         words = words_of(text)
         size = min(window, len(words))
         for k in range(len(words) - size + 1 if size else 0):
             by_length.setdefault(size, {}).setdefault(tuple(words[k:k + size]), set()).add(str(item))
-    return [WindowTable(n, w) for n, w in sorted(by_length.items())]
+    return [window_table(n, w) for n, w in sorted(by_length.items())]
 
 
 def _search(batches: Iterator[pa.RecordBatch], tables, carry: list[str], again: bool) -> Iterator[pa.RecordBatch]:
@@ -94,9 +95,9 @@ def _search(batches: Iterator[pa.RecordBatch], tables, carry: list[str], again:
             marks = bytearray(before[0][k].as_py()) if again else None
             items = set(before[1][k].as_py()) if again else set()
             for t in tables:
-                for start, ids in t.search(words):
+                for start, ids in occurrences(t, words):
                     marks = marks or bytearray(len(words))
-                    marks[start:start + t.length] = b"\x01" * t.length
+                    marks[start:start + t["length"]] = b"\x01" * t["length"]
                     items |= ids
             named = sorted(items)
             out["n_words"].append(len(words))
