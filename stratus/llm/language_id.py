@@ -149,8 +149,12 @@ def fit(sample: list[tuple], classes: list[str]) -> tuple[np.ndarray, float]:
         return w, 1.0
     scores = [(v @ w[a], c) for a, v, c in kept_back]
 
+    # Smoothed targets keep the temperature finite where no document is missed.
+    slip = 1 / (len(scores) + 2) / len(classes)
+
     def loss(t: float) -> float:
-        return -sum(np.log(max(softmax(s / t)[c], 1e-12)) for s, c in scores)
+        logs = [(np.log(np.maximum(softmax(s / t), 1e-12)), c) for s, c in scores]
+        return -sum((1 - slip * len(classes)) * p[c] + slip * p.sum() for p, c in logs)
 
     return w, float(min(np.geomspace(0.05, 5, 61), key=loss))
 
