@@ -56,7 +56,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "p" not in _POWERS or len(_POWERS["p"]) < n:
-        m = max(n, 1 << 20)
+        m = max(n, 1 << 19)
         for name, base in (("p", _P), ("i", _PINV)):
             a = np.full(m, base, dtype=np.uint64)
             a[0] = 1
@@ -103,15 +103,16 @@ def hash_words(data: np.ndarray, doc_starts: np.ndarray, table_: np.ndarray):
     return start, end, mix(h), first
 
 
-def text_chunks(column: pa.Array, max_bytes: int = 1 << 21):
+def text_chunks(column: pa.Array, max_bytes: int = 1 << 19):
     """Consecutive slices of a string column as (lo, hi, bytes, doc starts),
     each of about ``max_bytes`` (one longer text makes a slice of its own), so
     the working arrays stay bounded whatever the batch holds."""
-    column = column.cast(pa.large_string())
     n = len(column)
     if n == 0:
         return
-    offsets = np.frombuffer(column.buffers()[1], np.int64, n + 1 + column.offset)[column.offset:]
+    wide = pa.types.is_large_string(column.type)
+    offsets = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32, n + 1 + column.offset)
+    offsets = offsets[column.offset:].astype(np.int64)
     raw = column.buffers()[2]
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
     lo = 0

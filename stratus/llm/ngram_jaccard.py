@@ -96,12 +96,12 @@ def _flush(parts: list[np.ndarray], least: int):
 
 def _describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """Per document its set's size and node; per task the shingles that many of
-    its sets hold (kind 1), counted over about four million shingles at a time."""
+    its sets hold (kind 1), counted over about a million shingles at a time."""
     seen: set[int] = set()
     parts, held = [], 0
 
     def frequent():
-        v, c = _flush(parts, 8)
+        v, c = _flush(parts, 4)
         k = len(v)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(c.astype(np.int64)), pa.array(v)],
@@ -121,7 +121,7 @@ def _describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
                     seen.add(node)
                     parts.append(s)
                     held += len(s)
-            if held > 4_000_000:
+            if held > 1_000_000:
                 yield frequent()
                 parts, held = [], 0
     if parts:
