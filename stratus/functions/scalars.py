@@ -41,18 +41,19 @@ def nan_to_null(col) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
-def lenient_int(col, default: int, cap: int = 1_000_000_000) -> Column:
-    """First run of ASCII digits as an integer, ``default`` when there is none.
+def lenient_int(col, default: int) -> Column:
+    """First run of ASCII digits as a ``decimal(38,0)``, ``default`` when there
+    is none.
 
-    ``"?8" -> 8``, ``"YP" -> default``, ``"-5" -> 5`` (sign ignored).  Runs too
-    long for an int are returned as ``cap`` so that clamping still works.
+    ``"?8" -> 8``, ``"YP" -> default``, ``"-5" -> 5`` (sign ignored).  A run that
+    the type cannot hold gives its largest value.
     """
     digits = F.regexp_extract(F.coalesce(_c(col).cast("string"), F.lit("")), "[0-9]+", 0)
     significant = F.ltrim(digits, F.lit("0"))
     return (F.when(digits == "", F.lit(default))
             .when(significant == "", F.lit(0))
-            .when(F.length(significant) > 9, F.lit(cap))
-            .otherwise(significant.cast("int")))
+            .otherwise(F.coalesce(significant.try_cast("decimal(38,0)"), F.lit("9" * 38).cast("decimal(38,0)")))
+            .cast("decimal(38,0)"))
 
 
 def clamp(col, lo, hi) -> Column:

@@ -17,6 +17,11 @@ from stratus.session import fence
 _P = "_prep_"
 
 
+def _within(col, low: int, high: int):
+    """A wide integer clamped into a range that fits an int."""
+    return F.greatest(F.lit(low), F.least(F.lit(high), col)).cast("int")
+
+
 def prepare_records(df: DataFrame) -> DataFrame:
     """Add ``station_id date time decode_error`` and the cleaned ``REPORT``.
 
@@ -30,15 +35,15 @@ def prepare_records(df: DataFrame) -> DataFrame:
     out = df.withColumns({
         "station_id": strip_ws(F.coalesce(F.col("WMOIND").cast("string"), F.lit(""))),
         _P + "y": lenient_int("YEAR", 2000),
-        _P + "mo": F.greatest(F.lit(1), F.least(F.lit(12), lenient_int("MONTH", 1))),
-        _P + "d": lenient_int("DAY", 1),
-        _P + "hh": F.greatest(F.lit(0), F.least(F.lit(23), lenient_int("HOUR", 0))),
-        _P + "mi": F.greatest(F.lit(0), F.least(F.lit(59), lenient_int("MIN", 0))),
+        _P + "mo": _within(lenient_int("MONTH", 1), 1, 12),
+        _P + "d": _within(lenient_int("DAY", 1), 0, 99),
+        _P + "hh": _within(lenient_int("HOUR", 0), 0, 23),
+        _P + "mi": _within(lenient_int("MIN", 0), 0, 59),
     })
     out = out.withColumns({
         "decode_error": (F.col(_P + "y") < 1) | (F.col(_P + "y") > 9999),
     })
-    safe_year = F.greatest(F.lit(1), F.least(F.lit(9999), F.col(_P + "y")))
+    safe_year = _within(F.col(_P + "y"), 1, 9999)
     month_start = F.make_date(safe_year, F.col(_P + "mo"), F.lit(1))
     out = out.withColumns({
         _P + "day": F.greatest(F.lit(1), F.least(F.dayofmonth(F.last_day(month_start)),
@@ -65,15 +70,13 @@ def builtin_coordinates(station_col: str = "station_id"):
 
 
 def attach_coordinates(df: DataFrame, stations: DataFrame | None = None,
-                       station_col: str = "station_id",
-                       broadcast_max_rows: int = 200_000) -> DataFrame:
+                       station_col: str = "station_id") -> DataFrame:
     """Add ``lat lon``: the external station table first, then the built-in one.
 
     The pair is taken as a whole.  ``stations`` must already be one row per
-    ``wmo_id`` (``sources.stations.read_station_table`` does that).  It is
-    broadcast only after its row count is checked against
-    ``broadcast_max_rows``; a bigger table goes through a shuffle join, which
-    adaptive execution may still turn into a broadcast at run time.
+    ``wmo_id`` (``sources.stations.station_table`` does that).  Spark's byte
+    threshold decides, from the sizes it sees at run time, whether the table is
+    broadcast; no job runs while the plan is built.
     """
     builtin = builtin_coordinates(station_col)
     if stations is None:
@@ -82,9 +85,6 @@ def attach_coordinates(df: DataFrame, stations: DataFrame | None = None,
         F.col("wmo_id").alias(_P + "wmo"),
         F.struct(F.col("lat").cast("double").alias("lat"),
                  F.col("lon").cast("double").alias("lon")).alias(_P + "ext"))
-    n = ext.count()
-    if n <= broadcast_max_rows:
-        ext = F.broadcast(ext)
     joined = df.join(ext, F.col(station_col) == F.col(_P + "wmo"), "left")
     pair = F.coalesce(F.col(_P + "ext"), builtin)
     return joined.withColumns({"lat": pair["lat"], "lon": pair["lon"]}) \

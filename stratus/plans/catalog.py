@@ -100,7 +100,7 @@ def _station_obs(spark: SparkSession, sf: str) -> DataFrame:
 def q_synop_decode(spark, sf):
     cols = ["report_id", "temp", "pressure", "humidity", "wind_speed", "wind_dir",
             "cloud_cover", "visibility_m", "rain_3h"]
-    return decode_reports(spread(fixtures.view(spark, sf, "synop")), "REPORT").select(*cols)
+    return decode_reports(spread(fixtures.view(spark, sf, "synop"), spark.sparkContext.defaultParallelism), "REPORT").select(*cols)
 
 
 O_SYNOP_DECODE = with_views(f"SELECT {READING_SQL} FROM synop_expected", "synop_expected")
@@ -572,7 +572,7 @@ O_RAW_RECORD_COUNTS = with_views(
 def q_synop_decode_extras(spark, sf):
     """The optional decode outputs: dew point, cloud base, rain duration and
     the unphysical-dew-point flag."""
-    raw = spread(fixtures.view(spark, sf, "synop"))
+    raw = spread(fixtures.view(spark, sf, "synop"), spark.sparkContext.defaultParallelism)
     return decode_reports(raw, "REPORT", extras=True).select(
         "report_id", "dewpoint", "cloud_base_m", "rain_duration_h", "dewpoint_gt_temp")
 

@@ -18,14 +18,15 @@ from stratus.session import spread
 
 def decode_raw(raw: DataFrame, stations: DataFrame | None = None,
                extras: bool = False, keep: list[str] | None = None,
-               parallel: bool = True) -> DataFrame:
-    """Decoded observations, one output row per input row.
+               partitions: int | None = None) -> DataFrame:
+    """Decoded observations, one output row per input row.  ``partitions``
+    deals the input out first (for inputs of fewer partitions than cores).
 
     ``keep`` names input columns to carry along (e.g. a report id).  Rows
     with an impossible year keep their station id; their date and time are
     ``''`` and every number is NULL, flagged by ``decode_error``.
     """
-    prepared = prepare_records(spread(raw) if parallel else raw)
+    prepared = prepare_records(spread(raw, partitions))
     located = attach_coordinates(prepared, stations)
     decoded = decode_reports(located, "REPORT", extras=extras)
     err = F.col("decode_error")

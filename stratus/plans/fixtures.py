@@ -96,7 +96,7 @@ def register_tables(spark: SparkSession, sf_dir: str, tables, spread_input: bool
 
     for t in tables:
         df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
-        (spread(df) if spread_input else df).createOrReplaceTempView(t)
+        spread(df, spark.sparkContext.defaultParallelism if spread_input else None).createOrReplaceTempView(t)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

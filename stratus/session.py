@@ -83,43 +83,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/stratus/{name}-{uuid.uuid4().hex}"
 
 
-# Logical operators that keep the input's partitions (no shuffle below them).
-_NARROW_NODES = {"Project", "Filter", "Relation", "LocalRelation", "LogicalRDD", "Generate",
-                 "Range", "Union", "SubqueryAlias", "View"}
-
-
-def _is_narrow(df) -> bool:
-    """True if the optimized plan has no shuffle: only projections, filters,
-    generators and unions over scans."""
-    text = df._jdf.queryExecution().optimizedPlan().toString()
-    for line in text.splitlines():
-        name = line.lstrip(" :+-").split(" ", 1)[0].split("[", 1)[0]
-        if name and name not in _NARROW_NODES:
-            return False
-    return True
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin an input that arrives in fewer partitions than the cluster
-    has cores (e.g. one large row group) so CPU-heavy row-wise work runs in
-    parallel.  Inputs that already have enough partitions are returned as is,
-    so at scale this adds no shuffle.
-
-    Only a narrow plan (scans with projections and filters) is probed: asking
-    a plan with a shuffle for its partitions would run that shuffle now, and
-    its output is already spread over the shuffle partitions anyway.
-    """
-    try:
-        if not _is_narrow(df):
-            return df
-        sc = df.sparkSession.sparkContext
-        want = min_partitions or sc.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no plan or RDD access (remote session): leave it alone
-        return df
-    if have < want:
-        return df.repartition(want)
-    return df
+def spread(df, partitions: int | None):
+    """``df`` dealt over ``partitions``, for CPU-heavy row-wise work on an input
+    that arrives in too few (one large row group); unchanged for ``None``."""
+    return df.repartition(partitions) if partitions else df
 
 
 def fence(df, columns: list[str]):

@@ -36,7 +36,9 @@ def read_observations(spark: SparkSession, folder: str, check_header: bool = Tru
     df = (spark.read.option("header", True).option("nullValue", "")
           .option("enforceSchema", not check_header)
           .schema(OBSERVATION_SCHEMA).csv(pattern))
-    return df.select("*", F.col("_metadata.file_name").alias("file_name")) \
+    # File names in the metadata are percent-encoded; a plus sign is not.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return df.select("*", name.alias("file_name")) \
         .withColumn("location", location_from_file("file_name"))
 
 

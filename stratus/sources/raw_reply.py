@@ -31,10 +31,9 @@ from stratus.functions.scalars import strip_ws
 from stratus.schemas import RAW_COLUMNS
 from stratus.session import fence
 
-# Header lines are parsed as CSV into this many fields; a named column further
-# right than this is read as missing.
-MAX_HEADER_FIELDS = 64
-_FIELDS_DDL = ", ".join(f"f{i} STRING" for i in range(MAX_HEADER_FIELDS))
+# One CSV field with the separator before it: quoted with doubled quotes (to the
+# end of the line where the quote stays open), or plain.
+_FIELD = r',("(?:[^"]++|"")*+"?[^,]*|[^,]*)'
 
 
 def read_reply_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -54,16 +53,12 @@ def read_reply_lines(spark: SparkSession, path: str) -> DataFrame:
                     F.col("value").alias("line")))
 
 
-# ``from_csv`` starts a parser per line, and the parser allocates its input
-# buffer each time (1M characters by default); a small buffer is refilled as
-# needed, so long lines still parse, without megabytes of garbage per line.
-_CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE",
-                "inputBufferSize": "1024"}
-
-
-def _csv_fields(col) -> F.Column:
-    parsed = F.from_csv(col, _FIELDS_DDL, _CSV_OPTIONS)
-    return F.array(*[parsed[f"f{i}"] for i in range(MAX_HEADER_FIELDS)])
+def _csv_fields(line) -> F.Column:
+    """The fields of a CSV line, as many as it has, without their quotes."""
+    fields = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
+    return F.transform(fields, lambda x: F.when(
+        x.startswith('"'), F.replace(F.regexp_replace(x, r'(?s)^"(.*?)"?$', "$1"), F.lit('""'), F.lit('"')))
+        .otherwise(x))
 
 
 def _last_index(arr, value: str) -> F.Column:
@@ -118,17 +113,12 @@ def parse_replies(lines: DataFrame, stations=None, station_pattern: str | None =
     # name; other replies: every non-blank line split into at most 7 parts
     # (the report keeps its commas), lines with fewer than 6 parts skipped.
     # One projection for both, so the lines are read once.
-    # The CSV parse runs once per line in its own projection, and the field
-    # array leaves through a fence: otherwise the parse would be copied into
-    # each of the 7 lookups (no common-subexpression elimination inside CASE
-    # branches) and into the station filter pushed down from above.
+    # The field array is made once per line and leaves through a fence:
+    # otherwise it would be copied into each of the 7 lookups and into the
+    # station filter pushed down from above.
     header = F.col("_header")
-    joined = joined.withColumn("_parsed", F.when(header, F.from_csv(
-        F.col("line"), _FIELDS_DDL, _CSV_OPTIONS)))
-    joined = joined.withColumn(
-        "_fields", F.when(header, F.array(*[F.col("_parsed")[f"f{i}"]
-                                            for i in range(MAX_HEADER_FIELDS)]))
-        .otherwise(F.split(F.col("line"), ",", 7))).drop("_parsed")
+    joined = joined.withColumn("_fields", F.when(header, _csv_fields(F.col("line")))
+                               .otherwise(F.split(F.col("line"), ",", 7)))
     joined = fence(joined, ["_fields"])
     keep = F.when(header, F.col("line_order") != F.col("_first_order")) \
         .otherwise(F.size("_fields") >= 6)

@@ -12,6 +12,10 @@
 
 from __future__ import annotations
 
+import csv
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,7 +47,7 @@ def detect_separators(spark: SparkSession, path: str) -> DataFrame:
         .where(F.col("offset") < SAMPLE_CHARS) \
         .withColumn("part", F.expr(f"substring(value, 1, {SAMPLE_CHARS} - offset)"))
     counts = head.groupBy("file_path").agg(
-        F.max(F.when(F.col("offset") == 0, F.col("value"))).alias("header"),
+        F.min_by("value", F.when(strip_ws(F.col("value")) != "", F.col("pos"))).alias("header"),
         *[F.sum(F.length("part") - F.length(F.replace(F.col("part"), F.lit(s), F.lit(""))))
           .alias(f"n{i}") for i, s in enumerate(SEPARATORS)])
     best = F.greatest(*[F.col(f"n{i}") for i in range(len(SEPARATORS))])
@@ -53,35 +57,57 @@ def detect_separators(spark: SparkSession, path: str) -> DataFrame:
     return counts.select("file_path", choice.alias("sep"), "header")
 
 
-def _pick(df: DataFrame, name: str) -> F.Column:
+def first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file_path header``: every file's first non-blank line, in one pass.
+    Only the first split of a file can hold it unless that split is blank."""
+    lines = (spark.read.text(path).where(strip_ws(F.col("value")) != "")
+             .select(F.col("_metadata.file_path").alias("file_path"), "value",
+                     F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")))
+    return lines.groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+
+
+def _pick(names: list[str], name: str) -> F.Column:
+    """The last column of that upper-case, else lower-case, name."""
     for candidate in (name.upper(), name.lower()):
-        if candidate in df.columns:
-            return strip_ws(F.coalesce(F.col(f"`{candidate}`"), F.lit("")))
+        if candidate in names:
+            at = len(names) - 1 - names[::-1].index(candidate)
+            return strip_ws(F.coalesce(F.col(f"c{at}"), F.lit("")))
     return F.lit("")
 
 
+def _as_path(file_path: str) -> str:
+    """A file's metadata path as a path to read: percent-decoded, with the
+    characters that a glob would take as its own escaped."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(file_path))
+
+
 def read_undecoded_csv(spark: SparkSession, path, sep: str = "auto",
-                       keep_file: bool = False) -> DataFrame:
+                       keep_file: bool = False, multiline: bool = False) -> DataFrame:
     """The raw report table from one or more CSV files (all strings).
 
-    Files are grouped by separator (detected with ``sep='auto'``) and header
-    line, and each group is read once: Spark's CSV reader takes one header for
-    all files it reads together, while each file here is read by its own
-    column names.  The per-file list (path, separator, header) is file
-    metadata of the same size as the file listing the driver holds anyway.
+    Files are grouped by separator (detected with ``sep='auto'`` only) and
+    header line, and each group is read once, its columns taken by position:
+    the header, the first non-blank line, names them.  The per-file list (path,
+    separator, header) is file metadata of the same size as the file listing the
+    driver holds anyway.  ``multiline=True`` lets quoted values hold line
+    breaks; a file is then read by one task.
     """
     paths = [path] if isinstance(path, str) else list(path)
     groups = {}
     for p in paths:
-        for row in detect_separators(spark, p).collect():
-            s = sep if sep != "auto" else row["sep"]
-            groups.setdefault((s, row["header"]), []).append(row["file_path"])
+        heads = detect_separators(spark, p) if sep == "auto" else first_lines(spark, p)
+        for row in heads.collect():
+            s = row["sep"] if sep == "auto" else sep
+            groups.setdefault((s, row["header"]), []).append(_as_path(row["file_path"]))
     frames = []
-    for (s, _header), files in groups.items():
-        df = (spark.read.option("header", True).option("sep", s).option("quote", '"')
+    for (s, header), files in groups.items():
+        names = next(csv.reader([header or ""], delimiter=s), [])
+        names = [n.lstrip("\ufeff") if k == 0 else n for k, n in enumerate(names)]
+        df = (spark.read.schema(", ".join(f"c{k} STRING" for k in range(max(1, len(names)))))
+              .option("header", True).option("enforceSchema", True).option("sep", s).option("quote", '"')
               .option("escape", '"').option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-              .csv(files))
-        cols = [_pick(df, c).alias(c) for c in RAW_COLUMNS]
+              .option("multiLine", multiline).csv(files))
+        cols = [_pick(names, c).alias(c) for c in RAW_COLUMNS]
         if keep_file:
             cols.append(F.col("_metadata.file_path").alias("file_path"))
         frames.append(df.select(*cols))

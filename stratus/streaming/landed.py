@@ -31,7 +31,7 @@ def decode_stream(spark: SparkSession, input_dir: str, sep: str = ",",
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(input_dir)
-    return decode_raw(raw, stations, extras=extras, parallel=False)
+    return decode_raw(raw, stations, extras=extras)
 
 
 def start_decode_stream(spark: SparkSession, input_dir: str, output_dir: str,

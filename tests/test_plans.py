@@ -35,11 +35,11 @@ def test_no_python_and_no_cross_join_in_any_registered_query(spark):
 def test_decode_plan_is_small_and_narrow(spark):
     fixtures.register_tables(spark, SF, ["events"])      # one partition, not spread
     raw = spark.sql(fixtures.SYNOP_SQL)
-    dec = decode_raw(raw, keep=["report_id"], parallel=False)
+    dec = decode_raw(raw, keep=["report_id"])
     assert len(optimized(dec)) < 20000
     assert "Exchange" not in physical(dec)
-    # a one-partition input is spread round-robin; that is the only exchange
-    spread = physical(decode_raw(raw, keep=["report_id"]))
+    # an input that is dealt out first: that is the only exchange
+    spread = physical(decode_raw(raw, keep=["report_id"], partitions=4))
     assert spread.count("Exchange") == 1 and "RoundRobinPartitioning" in spread
 
 
@@ -70,14 +70,19 @@ def test_pushdown_into_parquet(spark, tmp_dir):
     assert read_schema == "struct<location:string,ts:timestamp_ntz,temp:double>"
 
 
-def test_spread_never_runs_a_job(spark):
+def test_spread_is_explicit(spark):
     from stratus.session import spread
 
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id")
+    assert spread(ev, None) is ev
+    assert "RoundRobinPartitioning(6)" in physical(spread(ev, 6))
+
+
+def test_coordinates_need_no_job_to_build(spark):
+    from stratus.operators.prepare import attach_coordinates
+
     sc = spark.sparkContext._jsc.sc()
-    ev = spark.read.parquet(f"{SF}/events.parquet")
-    shuffled = ev.groupBy("user_id").count()
+    ext = spark.range(5).selectExpr("cast(id as string) wmo_id", "1.0 lat", "2.0 lon").repartition(3)
     before = sc.dagScheduler().nextJobId()
-    assert spread(shuffled) is shuffled                 # a plan with a shuffle is left alone
-    narrow = spread(ev.select("event_id"))              # a one-partition scan is spread
+    attach_coordinates(ext.select(ext.wmo_id.alias("station_id")), ext)
     assert sc.dagScheduler().nextJobId() == before
-    assert "RoundRobinPartitioning" in physical(narrow)

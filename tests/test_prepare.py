@@ -68,9 +68,11 @@ def test_coordinates_shuffle_join_fallback_with_hot_station(spark):
         [(1, "98444", "1.5", "2.5"), (2, "90007", "3", "4")], "line int, wmo_id string, lat string, lon string"),
         "line")
     prepared = prepare_records(raw(spark, rows).repartition(8))
-    for bound in (200_000, 0):           # broadcast, then the shuffle join beyond the bound
-        out = attach_coordinates(prepared, ext, broadcast_max_rows=bound)
+    for bound in ("10m", "-1"):          # Spark's byte threshold: broadcast, then the shuffle join
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+        out = attach_coordinates(prepared, ext)
         got = {(r.station_id, r.lat, r.lon, r.n) for r in
                out.groupBy("station_id", "lat", "lon").count().withColumnRenamed("count", "n").collect()}
         assert ("98444", 1.5, 2.5, 900) in got and ("90007", 3.0, 4.0, 1) in got
         assert sum(n for *_, n in got) == 1000
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

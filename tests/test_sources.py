@@ -196,3 +196,56 @@ def test_package_level_usage(spark, tmp_dir):
     assert [r.lat for r in clean.collect()] == [1.0, 1.0]
     assert sorted(r.temp for r in clean.collect()) == [25.5, 27.5]
 
+
+
+def test_wide_reply_header(spark, tmp_dir):
+    """The seven names far to the right, and quoted commas, keep every field."""
+    names = [f"X{i}" for i in range(60)] + ["WMOIND", "YEAR", "MONTH", "DAY", "HOUR", "MIN", "REPORT"]
+    values = ["" if i % 2 else f'"a,{i}"' for i in range(60)] + ["98444", "2024", "1", "2", "3", "0", '"AAXX, ""x"" ="']
+    with open(os.path.join(tmp_dir, "r.txt"), "w") as f:
+        f.write(",".join(names) + "\n" + ",".join(values) + "\n,,\n")
+    rows = [tuple(r) for r in read_replies(spark, tmp_dir).collect()]
+    assert ("98444", "2024", "1", "2", "3", "0", 'AAXX, "x" =') in rows and len(rows) == 2
+
+
+def test_undecoded_file_names_blank_lines_and_cases(spark, tmp_dir):
+    from stratus.sources.undecoded import read_undecoded_csv
+
+    files = {"a b.csv": "\nWMOIND;YEAR;REPORT\n1;2024;x y\n", "a[1].csv": "\nREPORT;WMOIND;YEAR\nz;2;2023\n",
+             "50%+é.csv": "WMOIND;report;REPORT\n3;low;UP\n"}
+    for name, text in files.items():
+        with open(os.path.join(tmp_dir, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    want = {("1", "2024", "x y"), ("2", "2023", "z"), ("3", "", "UP")}
+    for sep in (";", "auto"):
+        got = read_undecoded_csv(spark, os.path.join(tmp_dir, "*.csv"), sep=sep)
+        assert {(r.WMOIND, r.YEAR, r.REPORT) for r in got.collect()} == want
+
+
+def test_undecoded_quoted_line_break(spark, tmp_dir):
+    from stratus.sources.undecoded import read_undecoded_csv
+
+    with open(os.path.join(tmp_dir, "q.csv"), "w") as f:
+        f.write('WMOIND,YEAR,MONTH,DAY,HOUR,MIN,REPORT\n1,2024,1,1,0,0,"R1\nR2="\n2,2024,1,1,0,0,R3=\n')
+    got = read_undecoded_csv(spark, os.path.join(tmp_dir, "q.csv"), sep=",", multiline=True).collect()
+    assert [(r.WMOIND, r.REPORT) for r in got] == [("1", "R1\nR2="), ("2", "R3=")]
+
+
+def test_station_numbers(spark):
+    from stratus.sources.stations import station_table
+
+    texts = ["13.5", " 1_0 ", "nan", "-inf", "13.5D", "2f", "1__0", "", "0x1", ".5e1", "abc", None]
+    df = spark.createDataFrame([(f"s{i}", t, "1") for i, t in enumerate(texts)], "wmo_id string, lat string, lon string")
+    got = {r.wmo_id: str(r.lat) for r in station_table(df).collect()}
+    assert got == {"s0": "13.5", "s1": "10.0", "s2": "nan", "s3": "-inf", "s9": "5.0"}
+
+
+def test_location_of_a_name_with_spaces(spark, tmp_dir):
+    from stratus.schemas import OBSERVATION_SCHEMA
+    from stratus.sources.observations import read_observations, rows_per_file
+
+    for name in ("Decoded Cam Norte.csv", "DecodedA+B 50%.csv"):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(",".join(OBSERVATION_SCHEMA.fieldNames()) + "\n" + "," * (len(OBSERVATION_SCHEMA) - 1) + "\n")
+    got = {(r.file_name, r.location.strip()) for r in rows_per_file(read_observations(spark, tmp_dir)).collect()}
+    assert got == {("Decoded Cam Norte.csv", "Cam Norte"), ("DecodedA+B 50%.csv", "A+B 50%")}
