@@ -22,6 +22,7 @@ _EXPORTS = {
     "decode_raw": "stratus.plans.decode_job",
     "run_decode": "stratus.plans.decode_job",
     "run_analysis": "stratus.plans.analysis_job",
+    "analyse_decoded": "stratus.plans.analysis_job",
     "read_replies": "stratus.sources.raw_reply",
     "read_undecoded_csv": "stratus.sources.undecoded",
     "read_station_csv": "stratus.sources.stations",

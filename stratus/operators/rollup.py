@@ -1,10 +1,12 @@
-"""Daily rollup: one pass over cleaned observations feeds the five per-location
-results.
-
-Each (location, day) row carries counts, sums, minima and maxima; monthly,
-daily and per-location results are exact re-aggregations of it (an average is
-a sum over a count).  At scale this replaces one scan per result with one scan
-and a shuffle of one row per location and day.
+"""The per-location results from one pass over cleaned observations.
+
+``statistics`` groups the observations by several grouping sets at once (day,
+month, whole location).  Rows are summed up map-side, so the shuffle carries one
+row per group and task; each result then reads its own level.  Averages are
+Spark's own at every level, not averages of averages, so a result does not
+depend on which others are asked for.  Results are sorted as the original lists
+them; ``ordered=False`` skips the global sort where a result only feeds another
+computation.
 """
 
 from __future__ import annotations
@@ -14,66 +16,72 @@ from pyspark.sql import functions as F
 
 from stratus.functions import codes
 
+#: Level -> its keys and the grouping id over (location, date, month).
+LEVELS = {"day": (["location", "date"], 1), "month": (["location", "month"], 2), "location": (["location"], 3)}
+
+
+def statistics(clean: DataFrame, *levels: str) -> DataFrame:
+    """``location date month level`` and the statistics of every group of the
+    ``levels`` (all by default).  Statistics of absent columns are left out."""
+    low, high = codes.TEMP_RANGE
+    month = F.date_trunc("month", "ts").cast(clean.schema["ts"].dataType)
+    plausible = F.when(F.col("temp").between(low, high), F.col("temp"))
+    rows = clean.withColumns({"month": month, "temp": plausible})
+    stats = [F.count(F.lit(1)).alias("n_rows"), F.avg("temp").alias("avg_temp"), F.min("temp").alias("min_temp"),
+             F.max("temp").alias("max_temp")]
+    for name, how in (("humidity", F.avg), ("rain_3h", F.sum), ("wind_speed", F.avg)):
+        if name in clean.columns:
+            stats.append(how(name).alias(name))
+    keys = [LEVELS[k][0] for k in levels or LEVELS]
+    return rows.groupingSets([[F.col(c) for c in k] for k in keys], "location", "date", "month").agg(
+        F.grouping_id().alias("level"), *stats)
+
 
-def daily_rollup(clean: DataFrame) -> DataFrame:
-    """``location date month`` + partial statistics, one row per location and day
-    (a NULL day for observations without a timestamp).  Statistics of absent
-    columns are left out."""
-    lo, hi = codes.TEMP_RANGE
-    ok = (F.col("temp") >= lo) & (F.col("temp") <= hi)
-    t = F.when(ok, F.col("temp"))
-    month = F.date_trunc("month", F.col("date")).cast(clean.schema["ts"].dataType)
-    have = set(clean.columns)
-    stats = [F.count(F.lit(1)).alias("n_rows"), F.count(t).alias("n_temp"), F.sum(t).alias("s_temp"),
-             F.min(t).alias("min_temp"), F.max(t).alias("max_temp")]
-    if "humidity" in have:
-        stats += [F.count("humidity").alias("n_humidity"), F.sum("humidity").alias("s_humidity")]
-    if "rain_3h" in have:
-        stats += [F.sum("rain_3h").alias("s_rain")]
-    if "wind_speed" in have:
-        stats += [F.count("wind_speed").alias("n_wind"), F.sum("wind_speed").alias("s_wind")]
-    return clean.groupBy("location", "date").agg(*stats).withColumn("month", month)
+def _level(stats: DataFrame, name: str) -> DataFrame:
+    return stats.where(F.col("level") == LEVELS[name][1])
 
 
-def _ratio(s, n):
-    return F.round(F.try_divide(F.sum(s), F.sum(n)), 2)
+def _listed(df: DataFrame, ordered: bool, *keys) -> DataFrame:
+    return df.orderBy(*keys) if ordered else df
 
 
-def monthly_temperature(rollup: DataFrame) -> DataFrame:
-    return (rollup.where(F.col("n_temp") > 0).groupBy("location", "month")
-            .agg(_ratio("s_temp", "n_temp").alias("avg_temp"),
-                 F.round(F.min("min_temp"), 2).alias("min_temp"),
-                 F.round(F.max("max_temp"), 2).alias("max_temp"))
-            .orderBy("location", "month"))
+def monthly_temperature(stats: DataFrame, ordered: bool = True) -> DataFrame:
+    """Average, lowest and highest plausible temperature per location and month
+    that has one (2 dp)."""
+    names = ("avg_temp", "min_temp", "max_temp")
+    out = _level(stats, "month").where("avg_temp is not null").select(
+        "location", "month", *[F.round(n, 2).alias(n) for n in names])
+    return _listed(out, ordered, "location", "month")
 
 
-def daily_temperature(rollup: DataFrame) -> DataFrame:
-    return (rollup.where(F.col("n_temp") > 0)
-            .select("location", "date",
-                    F.round(F.col("s_temp") / F.col("n_temp"), 2).alias("avg_temp"))
-            .orderBy("location", "date"))
+def daily_temperature(stats: DataFrame, ordered: bool = True) -> DataFrame:
+    """Average plausible temperature per location and day that has one (2 dp)."""
+    out = _level(stats, "day").where("avg_temp is not null").select(
+        "location", "date", F.round("avg_temp", 2).alias("avg_temp"))
+    return _listed(out, ordered, "location", "date")
 
 
-def average_humidity(rollup: DataFrame) -> DataFrame:
-    return (rollup.groupBy("location").agg(_ratio("s_humidity", "n_humidity").alias("avg_humidity"))
-            .orderBy(F.col("avg_humidity").desc()))
+def daily_wind(stats: DataFrame, ordered: bool = True) -> DataFrame:
+    """Average wind speed per location and day (2 dp)."""
+    out = _level(stats, "day").select("location", "date", F.round("wind_speed", 2).alias("avg_wind_speed"))
+    return _listed(out, ordered, "location", "date")
 
 
-def total_rain(rollup: DataFrame) -> DataFrame:
-    return (rollup.groupBy("location").agg(F.round(F.sum("s_rain"), 2).alias("total_rain_mm"))
-            .orderBy(F.col("total_rain_mm").desc()))
+def average_humidity(stats: DataFrame, ordered: bool = True) -> DataFrame:
+    """Average relative humidity per location (2 dp), most humid first."""
+    out = _level(stats, "location").select("location", F.round("humidity", 2).alias("avg_humidity"))
+    return _listed(out, ordered, F.desc("avg_humidity"))
 
 
-def daily_wind(rollup: DataFrame) -> DataFrame:
-    return (rollup.select("location", "date",
-                          F.round(F.try_divide(F.col("s_wind"), F.col("n_wind")), 2)
-                          .alias("avg_wind_speed"))
-            .orderBy("location", "date"))
+def total_rain(stats: DataFrame, ordered: bool = True) -> DataFrame:
+    """Total rain per location in mm (2 dp), wettest first."""
+    out = _level(stats, "location").select("location", F.round("rain_3h", 2).alias("total_rain_mm"))
+    return _listed(out, ordered, F.desc("total_rain_mm"))
 
 
-def location_counts(rollup: DataFrame, name: str = "rows") -> DataFrame:
-    return rollup.groupBy("location").agg(F.sum("n_rows").alias(name))
+def location_counts(stats: DataFrame, name: str = "rows") -> DataFrame:
+    return _level(stats, "location").select("location", F.col("n_rows").alias(name))
 
 
-def row_count(rollup: DataFrame) -> DataFrame:
-    return rollup.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows"))
+def row_count(stats: DataFrame) -> DataFrame:
+    return _level(stats, "location").agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows"))

@@ -9,12 +9,13 @@ result read only the columns it needs.
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.operators import aggregates as agg
 from stratus.operators import chartdata as chart
-from stratus.operators.clean import clean_observations
+from stratus.operators import rollup
+from stratus.operators.clean import clean_observations, decoded_to_observations
 from stratus.session import checkpoint_dir, scratch_path
 from stratus.sinks import write_result_csv
 from stratus.sources.observations import read_observations
@@ -40,65 +41,56 @@ def materialize(df: DataFrame, mode: str = "parquet", name: str = "clean") -> Da
     return df
 
 
-def results(clean: DataFrame, one_pass: bool = False) -> dict[str, DataFrame]:
-    """Every result of the analysis from the cleaned observations.
-
-    ``one_pass=True`` derives the five per-location results from one daily
-    rollup (one scan and a small shuffle instead of one scan each).  Averages
-    are then sums over counts added in another order, which can move a
-    result that sits exactly on a rounding tie by 0.01.
-    """
-    if one_pass:
-        from stratus.operators import rollup
-
-        daily = rollup.daily_rollup(clean).persist()
-        monthly = rollup.monthly_temperature(daily)
-        humidity = rollup.average_humidity(daily)
-        monthly_unordered, humidity_unordered = monthly, humidity
-        firsts = {"daily_avg_temp": rollup.daily_temperature(daily),
-                  "total_rain": rollup.total_rain(daily),
-                  "wind_trend": rollup.daily_wind(daily),
-                  "rows_per_location": rollup.location_counts(daily, "rows"),
-                  "rows_after_cleaning": rollup.row_count(daily)}
-    else:
-        monthly = agg.monthly_temperature(clean)
-        humidity = agg.average_humidity(clean)
-        monthly_unordered = agg.monthly_temperature(clean, ordered=False)
-        humidity_unordered = agg.average_humidity(clean, ordered=False)
-        firsts = {"daily_avg_temp": agg.daily_temperature(clean),
-                  "total_rain": agg.total_rain(clean),
-                  "wind_trend": agg.daily_wind(clean),
-                  "rows_per_location": agg.location_counts(clean, "rows"),
-                  "rows_after_cleaning": clean_row_count(clean)}
-    bins = chart.wind_temperature_bins(clean)
+def results(clean: DataFrame, materialize_mode: str = "parquet") -> dict[str, DataFrame]:
+    """Every result of the analysis from the cleaned observations, in three
+    scans of them: the statistics by day, month and location, and the wind bins, each written once, and
+    the correlations.  All other results are derived from the first two."""
+    stats = materialize(rollup.statistics(clean), materialize_mode, "statistics")
+    bins = materialize(chart.wind_temperature_bins(clean), materialize_mode, "bins")
+    monthly = rollup.monthly_temperature(stats, ordered=False)
+    humidity = rollup.average_humidity(stats, ordered=False)
     trend = chart.wind_temperature_trend(bins)
     return {
-        "monthly_avg_temp": monthly,
-        "daily_avg_temp": firsts["daily_avg_temp"],
-        "avg_humidity": humidity,
-        "total_rain": firsts["total_rain"],
-        "wind_trend": firsts["wind_trend"],
+        "monthly_avg_temp": rollup.monthly_temperature(stats),
+        "daily_avg_temp": rollup.daily_temperature(stats),
+        "avg_humidity": rollup.average_humidity(stats),
+        "total_rain": rollup.total_rain(stats),
+        "wind_trend": rollup.daily_wind(stats),
         "wind_temp_bins": chart.bin_weights(bins),
         "wind_temp_fit": trend,
         "wind_temp_fit_line": chart.trend_line(trend),
         "correlation": agg.correlation_lower_triangle(clean),
-        "month_extremes": chart.monthly_extremes(monthly_unordered),
-        "month_axis_ranges": chart.monthly_ranges(monthly_unordered),
-        "humidity_ranks": chart.humidity_ranks(humidity_unordered),
+        "month_extremes": chart.monthly_extremes(monthly),
+        "month_axis_ranges": chart.monthly_ranges(monthly),
+        "humidity_ranks": chart.humidity_ranks(humidity),
         # same location set as the cleaned table, from a small result
-        "palette": chart.palette_slots(humidity_unordered),
-        "rows_per_location": firsts["rows_per_location"],
-        "rows_after_cleaning": firsts["rows_after_cleaning"],
+        "palette": chart.palette_slots(humidity),
+        "rows_per_location": rollup.location_counts(stats, "rows"),
+        "rows_after_cleaning": rollup.row_count(stats),
     }
 
 
 def run_analysis(spark: SparkSession, folder: str, out_dir: str | None = None,
-                 materialize_mode: str = "parquet", one_pass: bool = False) -> dict[str, DataFrame]:
+                 materialize_mode: str = "parquet") -> dict[str, DataFrame]:
     """Read, clean, materialise, compute and (optionally) write every result
     as CSV under ``out_dir/<name>``.  Returns the result frames."""
     obs = read_observations(spark, folder)
     clean = materialize(clean_observations(obs), materialize_mode)
-    out = results(clean, one_pass=one_pass)
+    return write_results(results(clean, materialize_mode), out_dir)
+
+
+def analyse_decoded(spark: SparkSession, decoded_path: str, location: Column | str,
+                    out_dir: str | None = None, materialize_mode: str = "parquet") -> dict[str, DataFrame]:
+    """The same from decoded observations (``run_decode``'s Parquet): adapt,
+    clean, compute.  ``location`` names or builds the location of a row, e.g.
+    ``station_id``."""
+    place = F.col(location) if isinstance(location, str) else location
+    decoded = spark.read.parquet(decoded_path).withColumn("location", place)
+    clean = clean_observations(decoded_to_observations(decoded))
+    return write_results(results(materialize(clean, materialize_mode), materialize_mode), out_dir)
+
+
+def write_results(out: dict[str, DataFrame], out_dir: str | None) -> dict[str, DataFrame]:
     if out_dir:
         for name, df in out.items():
             write_result_csv(df, f"{out_dir.rstrip('/')}/{name}")

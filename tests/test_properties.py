@@ -6,7 +6,7 @@ import random
 import re
 
 from stratus.functions.scalars import lenient_int
-from stratus.operators import aggregates as agg
+from stratus.operators import rollup
 from stratus.operators.clean import clean_observations
 from stratus.operators.coverage import period_bounds
 from stratus.sinks import write_result_csv
@@ -52,10 +52,10 @@ def test_result_csv_keeps_order_across_parts(spark, tmp_dir):
         rows, "location string, datetime string, temp double, pressure double, humidity double, "
               "wind_speed double, wind_dir double, cloud_cover double, visibility double, rain_3h double"))
     out = os.path.join(tmp_dir, "daily")
-    write_result_csv(agg.daily_temperature(df), out)
+    write_result_csv(rollup.daily_temperature(rollup.statistics(df, "day")), out)
     lines = []
     for f in sorted(os.listdir(out)):
         if f.endswith(".csv"):
             lines += open(os.path.join(out, f)).read().splitlines()[1:]
     keys = [tuple(line.split(",")[:2]) for line in lines]
-    assert len(keys) == agg.daily_temperature(df).count() and keys == sorted(keys)
+    assert len(keys) == rollup.daily_temperature(rollup.statistics(df, "day")).count() and keys == sorted(keys)

@@ -126,7 +126,7 @@ def test_observation_folder_and_analysis(spark, tmp_dir):
     assert daily == [("A", "None", 26.0), ("A", "2024-01-01", 26.0), ("B", "2024-02-01", 30.0)]
     assert os.path.isdir(os.path.join(tmp_dir, "out", "monthly_avg_temp"))
     assert res["rows_after_cleaning"].collect()[0].rows == 5
-    one = run_analysis(spark, d, one_pass=True, materialize_mode="cache")
+    one = run_analysis(spark, d, materialize_mode="cache")
     assert {r.location: r.avg_humidity for r in one["avg_humidity"].collect()} == hum
     assert {r.location: r.total_rain_mm for r in one["total_rain"].collect()} == rain
     assert [(r.location, str(r.date), r.avg_temp) for r in one["daily_avg_temp"].collect()] == daily
@@ -249,3 +249,17 @@ def test_location_of_a_name_with_spaces(spark, tmp_dir):
             f.write(",".join(OBSERVATION_SCHEMA.fieldNames()) + "\n" + "," * (len(OBSERVATION_SCHEMA) - 1) + "\n")
     got = {(r.file_name, r.location.strip()) for r in rows_per_file(read_observations(spark, tmp_dir)).collect()}
     assert got == {("Decoded Cam Norte.csv", "Cam Norte"), ("DecodedA+B 50%.csv", "A+B 50%")}
+
+
+def test_raw_files_to_results(spark, tmp_dir):
+    from stratus.plans.analysis_job import analyse_decoded
+    from stratus.plans.decode_job import run_decode
+
+    with open(os.path.join(tmp_dir, "raw.csv"), "w") as f:
+        f.write("WMOIND,YEAR,MONTH,DAY,HOUR,MIN,REPORT\n"
+                + "".join(f"9844{k},2024,1,{d},6,0,AAXX 01061 9844{k} 32470 81204 10255 20220 60012=\n" for k in (4, 6) for d in (1, 2)))
+    decoded = os.path.join(tmp_dir, "decoded.parquet")
+    run_decode(spark, os.path.join(tmp_dir, "raw.csv"), decoded, sep=",")
+    out = analyse_decoded(spark, decoded, "station_id", out_dir=os.path.join(tmp_dir, "out"))
+    assert [(r.location, r.total_rain_mm) for r in sorted(out["total_rain"].collect())] == [("98444", 2.0), ("98446", 2.0)]
+    assert out["rows_after_cleaning"].first().rows == 4 and len(os.listdir(os.path.join(tmp_dir, "out"))) == len(out)
