@@ -7,6 +7,8 @@ never start a Python worker.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,6 +37,28 @@ def split_ws(col) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
+def csv_fields(line, sep: str = ",") -> Column:
+    """The fields of a CSV line, as many as it has, without their quotes.
+
+    ``"`` quotes a field that starts with it, doubled quotes stand for one; a
+    quote left open reaches to the end of the line.  ``sep`` is one character.
+    A line without any quote is split plainly.
+    """
+    c, e = _c(line), re.escape(sep)
+    field = rf'{e}("(?:[^"]++|"")*+"?[^{e}]*|[^{e}]*)'
+    quoted = F.transform(
+        F.regexp_extract_all(F.concat(F.lit(sep), c), F.lit(field), F.lit(1)),
+        lambda x: F.when(x.startswith('"'), F.replace(F.regexp_replace(x, r'(?s)^"(.*?)"?$', "$1"),
+                                                      F.lit('""'), F.lit('"'))).otherwise(x))
+    return F.when(c.contains('"'), quoted).otherwise(F.split(c, e, -1))
+
+
+def last_index(arr, value: str) -> Column:
+    """0-based index of the last element equal to ``value`` (NULL if none):
+    a repeated header name takes the right-most column."""
+    return F.array_max(F.transform(arr, lambda x, i: F.when(x == value, i)))
+
+
 def nan_to_null(col) -> Column:
     """One missing value: NaN becomes NULL."""
     c = _c(col)

@@ -11,13 +11,13 @@ from stratus.schemas import DECODED_COLUMNS, RAW_COLUMNS
 def write_raw_csv(raw: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
     """Raw report table as CSV with header, fixed column order."""
     (raw.select(*RAW_COLUMNS).write.mode(mode)
-     .option("header", True).option("sep", sep).option("emptyValue", "").csv(path))
+     .option("header", True).option("sep", sep).option("escape", '"').option("emptyValue", "").csv(path))
 
 
 def write_decoded_csv(decoded: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Decoded observations as CSV text: 13 columns, missing numbers as ``NaN``."""
     (decoded.select(*DECODED_COLUMNS).write.mode(mode)
-     .option("header", True).option("nullValue", "NaN").option("emptyValue", "")
+     .option("header", True).option("nullValue", "NaN").option("escape", '"').option("emptyValue", "")
      .csv(path))
 
 
@@ -39,7 +39,7 @@ def write_result_csv(result: DataFrame, path: str, mode: str = "overwrite",
     into one part and is meant for results known to be small.
     """
     df = result.coalesce(1) if single_file else result
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def preview(df: DataFrame, n: int = 30, order_by: list[str] | None = None) -> DataFrame:

@@ -27,14 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.functions import codes
-from stratus.functions.scalars import strip_ws
+from stratus.functions.scalars import csv_fields, last_index, strip_ws
 from stratus.schemas import RAW_COLUMNS
 from stratus.session import fence
 
-# One CSV field with the separator before it: quoted with doubled quotes (to the
-# end of the line where the quote stays open), or plain.
-_FIELD = r',("(?:[^"]++|"")*+"?[^,]*|[^,]*)'
-
 
 def read_reply_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of the landed reply files: ``reply line_order line``.
@@ -53,20 +49,6 @@ def read_reply_lines(spark: SparkSession, path: str) -> DataFrame:
                     F.col("value").alias("line")))
 
 
-def _csv_fields(line) -> F.Column:
-    """The fields of a CSV line, as many as it has, without their quotes."""
-    fields = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
-    return F.transform(fields, lambda x: F.when(
-        x.startswith('"'), F.replace(F.regexp_replace(x, r'(?s)^"(.*?)"?$', "$1"), F.lit('""'), F.lit('"')))
-        .otherwise(x))
-
-
-def _last_index(arr, value: str) -> F.Column:
-    """0-based index of the last element equal to ``value`` (NULL if none):
-    a repeated header name takes the right-most column."""
-    return F.array_max(F.transform(arr, lambda x, i: F.when(x == value, i)))
-
-
 def parse_replies(lines: DataFrame, stations=None, station_pattern: str | None = None,
                   keep_reply: bool = False) -> DataFrame:
     """Raw report rows (``WMOIND YEAR MONTH DAY HOUR MIN REPORT``) from reply lines.
@@ -92,7 +74,7 @@ def parse_replies(lines: DataFrame, stations=None, station_pattern: str | None =
                   F.max(F.when(F.col("line_order") == F.col("_text_order"), F.col("line")))
                   .alias("_first_text")))
     upper = F.upper(F.col("_first_text"))
-    names = F.transform(_csv_fields(F.col("_first_line")),
+    names = F.transform(csv_fields(F.col("_first_line")),
                         lambda x: strip_ws(F.coalesce(x, F.lit(""))))
     # header names are resolved to field positions once per reply
     info = heads.select(
@@ -104,7 +86,7 @@ def parse_replies(lines: DataFrame, stations=None, station_pattern: str | None =
         names.alias("_names"),
     ).where(~F.col("_error"))
     info = info.select("reply", "_first_order", "_header",
-                       *[(_last_index(F.col("_names"), c) + 1).alias(f"_at_{c}")
+                       *[(last_index(F.col("_names"), c) + 1).alias(f"_at_{c}")
                          for c in RAW_COLUMNS])
 
     joined = lines.join(info, "reply").where(nonblank)
@@ -117,7 +99,7 @@ def parse_replies(lines: DataFrame, stations=None, station_pattern: str | None =
     # otherwise it would be copied into each of the 7 lookups and into the
     # station filter pushed down from above.
     header = F.col("_header")
-    joined = joined.withColumn("_fields", F.when(header, _csv_fields(F.col("line")))
+    joined = joined.withColumn("_fields", F.when(header, csv_fields(F.col("line")))
                                .otherwise(F.split(F.col("line"), ",", 7)))
     joined = fence(joined, ["_fields"])
     keep = F.when(header, F.col("line_order") != F.col("_first_order")) \

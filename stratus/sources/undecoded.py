@@ -19,11 +19,14 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratus.functions.scalars import strip_ws
+from stratus.functions.scalars import csv_fields, last_index, strip_ws
 from stratus.schemas import RAW_COLUMNS
+from stratus.session import fence, scratch_path
 
 SEPARATORS = [",", ";", "\t", "|"]
 SAMPLE_CHARS = 4096
+#: A code point that Unicode keeps out of text.
+NO_CHARACTER = "\uffff"
 
 
 def detect_separators(spark: SparkSession, path: str) -> DataFrame:
@@ -81,40 +84,87 @@ def _as_path(file_path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(file_path))
 
 
-def read_undecoded_csv(spark: SparkSession, path, sep: str = "auto",
-                       keep_file: bool = False, multiline: bool = False) -> DataFrame:
-    """The raw report table from one or more CSV files (all strings).
+def _heads(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """``file_path sep header`` of every file under ``path``."""
+    if sep == "auto":
+        return detect_separators(spark, path)
+    return first_lines(spark, path).withColumn("sep", F.lit(sep))
 
-    Files are grouped by separator (detected with ``sep='auto'`` only) and
-    header line, and each group is read once, its columns taken by position:
-    the header, the first non-blank line, names them.  The per-file list (path,
-    separator, header) is file metadata of the same size as the file listing the
-    driver holds anyway.  ``multiline=True`` lets quoted values hold line
-    breaks; a file is then read by one task.
-    """
-    paths = [path] if isinstance(path, str) else list(path)
+
+def _by_separator(line: str, sep: str):
+    """The fields of ``line`` by its row's separator."""
+    if sep != "auto":
+        return csv_fields(line, sep)
+    out = csv_fields(line, SEPARATORS[0])
+    for s in SEPARATORS[1:]:
+        out = F.when(F.col("sep") == s, csv_fields(line, s)).otherwise(out)
+    return out
+
+
+def _layouts(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """Per file its separator and the position (from 1) of every raw column."""
+    names = F.transform(_by_separator("header", sep), lambda x, i: F.when(i == 0, F.ltrim(x, F.lit("\ufeff"))).otherwise(x))
+    heads = fence(_heads(spark, path, sep).withColumn("names", names), ["names"])
+    at = [(F.coalesce(last_index(F.col("names"), c.upper()), last_index(F.col("names"), c.lower())) + 1)
+          .alias(f"at_{c}") for c in RAW_COLUMNS]
+    return heads.select("file_path", "sep", *at)
+
+
+def _data_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file_path line``: every non-blank line but each file's header, which
+    the CSV source leaves out itself.  Its separator is a character that no
+    text holds and quoting is off, so a line stays whole."""
+    return (spark.read.schema("line STRING").option("header", True).option("enforceSchema", True)
+            .option("sep", NO_CHARACTER).option("quote", "").option("escape", "").option("encoding", "UTF-8")
+            .csv(path).select("line", F.col("_metadata.file_path").alias("file_path")))
+
+
+def _read_lines(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """One scan of the lines, joined to the small table of layouts.  That table
+    is written first (one narrow row per file), so Spark knows its size when it
+    chooses the join and the lines are not shuffled while it is small."""
+    where = scratch_path(spark, "layouts")
+    layouts = _layouts(spark, path, sep)
+    layouts.write.parquet(where)
+    rows = _data_lines(spark, path).join(spark.read.schema(layouts.schema).parquet(where), "file_path")
+    rows = fence(rows.withColumn("fields", _by_separator("line", sep)), ["fields"])
+    return rows.select(*[strip_ws(F.coalesce(F.try_element_at("fields", F.col(f"at_{c}")), F.lit(""))).alias(c)
+                         for c in RAW_COLUMNS], "file_path")
+
+
+def _read_records(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """Files whose quoted values hold line breaks: one task reads a file, and
+    files of one separator and header are read together, by position."""
     groups = {}
-    for p in paths:
-        heads = detect_separators(spark, p) if sep == "auto" else first_lines(spark, p)
-        for row in heads.collect():
-            s = row["sep"] if sep == "auto" else sep
-            groups.setdefault((s, row["header"]), []).append(_as_path(row["file_path"]))
-    frames = []
+    for row in _heads(spark, path, sep).collect():
+        groups.setdefault((row["sep"], row["header"]), []).append(_as_path(row["file_path"]))
+    out = spark.createDataFrame([], ", ".join(f"{c} STRING" for c in [*RAW_COLUMNS, "file_path"]))
     for (s, header), files in groups.items():
         names = next(csv.reader([header or ""], delimiter=s), [])
         names = [n.lstrip("\ufeff") if k == 0 else n for k, n in enumerate(names)]
         df = (spark.read.schema(", ".join(f"c{k} STRING" for k in range(max(1, len(names)))))
               .option("header", True).option("enforceSchema", True).option("sep", s).option("quote", '"')
               .option("escape", '"').option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-              .option("multiLine", multiline).csv(files))
-        cols = [_pick(names, c).alias(c) for c in RAW_COLUMNS]
-        if keep_file:
-            cols.append(F.col("_metadata.file_path").alias("file_path"))
-        frames.append(df.select(*cols))
-    if not frames:
-        schema = ", ".join(f"{c} STRING" for c in RAW_COLUMNS)
-        return spark.createDataFrame([], schema)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+              .option("multiLine", True).csv(files))
+        out = out.unionByName(df.select(*[_pick(names, c).alias(c) for c in RAW_COLUMNS],
+                                        F.col("_metadata.file_path").alias("file_path")))
     return out
+
+
+def read_undecoded_csv(spark: SparkSession, path, sep: str = "auto",
+                       keep_file: bool = False, multiline: bool = False) -> DataFrame:
+    """The raw report table from one or more CSV files (all strings).
+
+    The header, a file's first non-blank line, names its columns; separator
+    (detected with ``sep='auto'`` only) and column positions are found per file
+    and joined to the lines, so files of any layouts are read by one scan.
+    ``multiline=True`` lets quoted values hold line breaks; a file is then read
+    by one task, and the list of files (path, separator, header) passes through
+    the driver, which holds the file listing anyway.
+    """
+    read = _read_records if multiline else _read_lines
+    paths = [path] if isinstance(path, str) else list(path)
+    out = read(spark, paths[0], sep)
+    for p in paths[1:]:
+        out = out.unionByName(read(spark, p, sep))
+    return out if keep_file else out.drop("file_path")
