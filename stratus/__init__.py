@@ -23,6 +23,8 @@ _EXPORTS = {
     "run_decode": "stratus.plans.decode_job",
     "run_analysis": "stratus.plans.analysis_job",
     "analyse_decoded": "stratus.plans.analysis_job",
+    "analyse_decoded_csv": "stratus.plans.analysis_job",
+    "analyse_raw": "stratus.plans.analysis_job",
     "read_replies": "stratus.sources.raw_reply",
     "read_undecoded_csv": "stratus.sources.undecoded",
     "read_station_csv": "stratus.sources.stations",

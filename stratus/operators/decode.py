@@ -74,23 +74,34 @@ def _tail(arr: Column, start: Column) -> Column:
     return F.slice(arr, start, F.greatest(F.size(arr), F.lit(1)))
 
 
+def cleaned_report(report: Column) -> Column:
+    """Stripped, without trailing ``=``, stripped again; NULL as empty."""
+    return F.rtrim(F.rtrim(strip_ws(F.coalesce(report, F.lit(""))), F.lit("=")), F.lit(WHITESPACE))
+
+
+def without_report(report: Column) -> Column:
+    """Whether a report is empty or NIL."""
+    text = cleaned_report(report)
+    return (text == "") | F.upper(text).endswith("NIL")
+
+
 def decode_reports(df: DataFrame, report_col: str = "REPORT",
-                   extras: bool = False, keep_helpers: bool = False) -> DataFrame:
+                   extras: bool = False, keep_helpers: bool = False,
+                   columns: list[str] | None = None) -> DataFrame:
     """Add the eight decoded readings to ``df``.
 
     Output columns (double): ``temp pressure humidity wind_speed wind_dir
     cloud_cover visibility_m rain_3h``.  A NIL report has all of them NULL.
     With ``extras=True`` also ``dewpoint cloud_base_m rain_duration_h`` and the
     flag ``dewpoint_gt_temp`` (unphysical dew point, still clamped to 100 %).
+    ``columns`` names the readings to compute; the layers that only the others
+    need are then pruned.
     Row-wise only: no shuffle, works on streaming frames too.
     """
     empty = F.array().cast("array<string>")
 
     # (1) cleaned text: strip, drop trailing '=', strip again
-    out = df.withColumns({
-        _P + "c": F.rtrim(F.rtrim(strip_ws(F.coalesce(F.col(report_col), F.lit(""))),
-                                  F.lit("=")), F.lit(WHITESPACE)),
-    })
+    out = df.withColumns({_P + "c": cleaned_report(F.col(report_col))})
     # (2) tokens and NIL flag
     out = out.withColumns({
         _P + "nil": F.upper(_h("c")).endswith("NIL"),
@@ -190,9 +201,11 @@ def decode_reports(df: DataFrame, report_col: str = "REPORT",
                 {k: float(v) for k, v in codes.RAIN_DURATION_H.items()},
                 _h("rg").substr(5, 1)),
         })
+    if columns is not None:
+        values = {k: v for k, v in values.items() if k in columns}
     final = {k: F.when(_h("nil"), F.lit(None).cast("double")).otherwise(v.cast("double"))
              for k, v in values.items()}
-    if extras:
+    if extras and (columns is None or "dewpoint_gt_temp" in columns):
         final["dewpoint_gt_temp"] = F.coalesce(~_h("nil") & (_h("td") > _h("t")), F.lit(False))
     if keep_helpers:
         return out.withColumns(final)

@@ -16,6 +16,8 @@ from stratus.operators import aggregates as agg
 from stratus.operators import chartdata as chart
 from stratus.operators import rollup
 from stratus.operators.clean import clean_observations, decoded_to_observations
+from stratus.plans.decode_job import run_decode
+from stratus.schemas import DECODED_SCHEMA
 from stratus.session import checkpoint_dir, scratch_path
 from stratus.sinks import write_result_csv
 from stratus.sources.observations import read_observations
@@ -84,8 +86,33 @@ def analyse_decoded(spark: SparkSession, decoded_path: str, location: Column | s
     """The same from decoded observations (``run_decode``'s Parquet): adapt,
     clean, compute.  ``location`` names or builds the location of a row, e.g.
     ``station_id``."""
+    return _analysed(spark.read.parquet(decoded_path), location, out_dir, materialize_mode)
+
+
+def analyse_decoded_csv(spark: SparkSession, decoded_path: str, location: Column | str,
+                        out_dir: str | None = None, materialize_mode: str = "parquet") -> dict[str, DataFrame]:
+    """The same from the decoder's CSV text form (13 columns, ``NaN`` where a
+    number is missing)."""
+    decoded = (spark.read.schema(DECODED_SCHEMA).option("header", True).option("enforceSchema", False)
+               .option("escape", '"').csv(decoded_path))
+    return _analysed(decoded, location, out_dir, materialize_mode)
+
+
+def analyse_raw(spark: SparkSession, raw_path, location: Column | str, sep: str = "auto",
+                stations_path: str | None = None, out_dir: str | None = None,
+                csv_text: bool = False) -> dict[str, DataFrame]:
+    """Raw report CSVs -> decoded observations (written once in the shared
+    checkpoint folder, as Parquet or as CSV text) -> every result."""
+    decoded = scratch_path(spark, "decoded")
+    run_decode(spark, raw_path, decoded, sep=sep, stations_path=stations_path, csv_output=csv_text)
+    analyse = analyse_decoded_csv if csv_text else analyse_decoded
+    return analyse(spark, decoded, location, out_dir)
+
+
+def _analysed(decoded: DataFrame, location: Column | str, out_dir: str | None,
+              materialize_mode: str) -> dict[str, DataFrame]:
     place = F.col(location) if isinstance(location, str) else location
-    decoded = spark.read.parquet(decoded_path).withColumn("location", place)
+    decoded = decoded.withColumn("location", place)
     clean = clean_observations(decoded_to_observations(decoded))
     return write_results(results(materialize(clean, materialize_mode), materialize_mode), out_dir)
 

@@ -70,6 +70,7 @@ READING_SQL = ("report_id, t AS temp, p AS pressure, h AS humidity, ws AS wind_s
 # "now" inside the data so the last period is cut short.
 COVERAGE_START, COVERAGE_END, COVERAGE_DAYS = 2024, 2024, 7
 COVERAGE_NOW = _dt.datetime(2024, 1, 20, 12, 0)
+COVERAGE_YEAR_NOW = _dt.datetime(2024, 12, 31, 23, 59)
 
 
 # --------------------------------------------------------------------------
@@ -411,7 +412,10 @@ FROM {_DEC_OBS} d GROUP BY location ORDER BY location""", "synop_expected")
 
 
 def q_station_daily_temp(spark, sf):
-    return rollup.daily_temperature(rollup.statistics(_station_obs(spark, sf), "day"))
+    """Only the temperature is decoded; rows without it play no part."""
+    dec = decoded_to_observations(decode_raw(fixtures.view(spark, sf, "synop"), columns=["temp"]))
+    clean = clean_observations(dec.withColumn("location", F.col("station_id")))
+    return rollup.daily_temperature(rollup.statistics(clean, "day"))
 
 
 O_STATION_DAILY_TEMP = with_views(f"""
@@ -427,9 +431,17 @@ def q_report_coverage(spark, sf):
                            now=COVERAGE_NOW, station_col="station_id", ts_col="ts")
 
 
-def _coverage_sql() -> str:
+def q_report_coverage_year(spark, sf):
+    """The same over the whole year, so that every report is counted."""
+    prepared = decoded_to_observations(prepare_records(fixtures.view(spark, sf, "synop")))
+    reports = prepared.withColumn("ts", F.to_timestamp_ntz(F.col("datetime")))
+    return period_coverage(reports, COVERAGE_START, COVERAGE_END, COVERAGE_DAYS,
+                           now=COVERAGE_YEAR_NOW, station_col="station_id", ts_col="ts")
+
+
+def _coverage_sql(now: _dt.datetime) -> str:
     start = f"TIMESTAMP '{COVERAGE_START}-01-01 00:00:00'"
-    stop = f"TIMESTAMP '{COVERAGE_NOW:%Y-%m-%d %H:%M:%S}'"
+    stop = f"TIMESTAMP '{now:%Y-%m-%d %H:%M:%S}'"
     step = COVERAGE_DAYS * 1440
     return f"""
 WITH r AS (
@@ -448,7 +460,8 @@ SELECT g.station, g.period, {start} + to_minutes(CAST(g.period * {step} AS BIGIN
 FROM g LEFT JOIN c USING (station, period)"""
 
 
-O_REPORT_COVERAGE = _coverage_sql()
+O_REPORT_COVERAGE = _coverage_sql(COVERAGE_NOW)
+O_REPORT_COVERAGE_YEAR = _coverage_sql(COVERAGE_YEAR_NOW)
 
 
 def q_raw_reply_parse(spark, sf):
@@ -685,6 +698,147 @@ SELECT location AS station_id, count(*) AS rows, round(avg(humidity), 2) AS avg_
 FROM {_CLEAN} c GROUP BY location""", "obs")
 
 
+# --------------------------------------------------------------------------
+# seldom report branches and whole jobs over landed files
+# --------------------------------------------------------------------------
+
+def q_synop_hard(spark, sf):
+    return decode_reports(fixtures.view(spark, sf, "synop_hard"), "REPORT").drop("REPORT")
+
+
+O_SYNOP_HARD = with_views("""
+SELECT e AS report_id, t AS temp, CASE WHEN e%2=0 THEN (e%300)/10e0 + 1000e0 ELSE 990e0 END AS pressure,
+  greatest(0e0, least(100e0, round(100e0*exp(17.625e0*td/(243.04e0+td)-17.625e0*t/(243.04e0+t)),1))) AS humidity,
+  CASE WHEN e%5 IN (2,3) THEN round(ff*0.514444e0,1) ELSE ff END AS wind_speed,
+  CASE WHEN wind AND e%13>1 THEN e%37*10e0 END AS wind_dir,
+  CASE WHEN wind AND e%10<>9 THEN e%9*1e0 ELSE 4e0 END AS cloud_cover,
+  CASE WHEN index AND e%9<>0 THEN e%51*100e0 END AS visibility_m,
+  CASE WHEN e%3=0 THEN e%989*1e0 WHEN index AND e%6 IN (0,2) AND e%19%4=1 THEN e%500*1e0
+       WHEN index AND e%6=3 THEN 0e0 END AS rain_3h
+FROM (SELECT *, CASE WHEN wind AND e%17>2 THEN e%60*1e0 WHEN wind AND e%17=2 THEN (100+e%50)*1e0 END AS ff
+      FROM (SELECT event_id AS e, event_id%7<>0 AS index, event_id%7<>0 AND event_id%11<>0 AS wind,
+                   (event_id%300)/10e0 AS t, (event_id%250)/10e0 AS td FROM events) a) b""")
+
+_MARKED = """REPORT || ', "q" ; | end'"""
+
+
+def q_undecoded_mixed_files(spark, sf):
+    """Files of four separators and two column orders, values with quotes and
+    separators, read in one scan with detection."""
+    from stratus.schemas import RAW_COLUMNS
+    from stratus.session import scratch_path
+    from stratus.sources.undecoded import SEPARATORS, read_undecoded_csv
+
+    raw = fixtures.view(spark, sf, "synop").withColumn("REPORT", F.expr(_MARKED))
+    base = scratch_path(spark, "landed-mixed")
+    for k, sep in enumerate(SEPARATORS):
+        order = RAW_COLUMNS[::-1] if k % 2 else RAW_COLUMNS
+        (raw.where(F.col("report_id") % len(SEPARATORS) == k).select(*order).write.option("header", True)
+         .option("sep", sep).option("escape", '"').option("emptyValue", "").csv(f"{base}/{k}"))
+    return read_undecoded_csv(spark, f"{base}/*")
+
+
+O_UNDECODED_MIXED_FILES = with_views(
+    f"SELECT WMOIND, YEAR, MONTH, DAY, HOUR, MIN, {_MARKED} AS REPORT FROM synop", "synop")
+
+_BROKEN = "CASE WHEN report_id%5=0 THEN replace(REPORT, ' 333 ', chr(10) || '333 ') ELSE REPORT END"
+
+
+def q_undecoded_multiline(spark, sf):
+    """A fifth of the reports holds a quoted line break."""
+    from stratus.session import scratch_path
+    from stratus.sinks import write_raw_csv
+    from stratus.sources.undecoded import read_undecoded_csv
+
+    path = scratch_path(spark, "landed-multiline")
+    write_raw_csv(fixtures.view(spark, sf, "synop").withColumn("REPORT", F.expr(_BROKEN)), path)
+    return read_undecoded_csv(spark, path, sep=",", multiline=True)
+
+
+O_UNDECODED_MULTILINE = with_views(
+    f"SELECT WMOIND, YEAR, MONTH, DAY, HOUR, MIN, {_BROKEN} AS REPORT FROM synop", "synop")
+
+
+def q_reply_files(spark, sf):
+    """Reply files, one per station and day, through the reply reader."""
+    from stratus.session import scratch_path
+    from stratus.sources.raw_reply import read_replies
+
+    path = scratch_path(spark, "landed-replies")
+    (fixtures.reply_lines(spark, sf).repartition("reply").sortWithinPartitions("reply", "line_no")
+     .select("reply", "line").write.partitionBy("reply").text(path))
+    return read_replies(spark, f"{path}/*", station_pattern="reply=([0-9]+)")
+
+
+_TEXT_LAT = "CASE line_no%5 WHEN 1 THEN lat || 'D' WHEN 2 THEN '1_0.5' ELSE lat END"
+
+
+def q_station_csv_files(spark, sf):
+    """The station CSV reader: repeated ids, numbers that are none, underscores."""
+    from stratus.session import scratch_path
+    from stratus.sources.stations import read_station_csv
+
+    path = scratch_path(spark, "landed-stations")
+    (fixtures.view(spark, sf, "stations_ext").withColumn("lat", F.expr(_TEXT_LAT)).orderBy("line_no")
+     .select("wmo_id", "lat", "lon").write.option("header", True).csv(path))
+    return read_station_csv(spark, path)
+
+
+O_STATION_CSV_FILES = with_views("""
+SELECT wmo_id, arg_max(number, line_no) AS lat, arg_max(CAST(lon AS DOUBLE), line_no) AS lon
+FROM (SELECT *, CASE line_no%5 WHEN 1 THEN NULL WHEN 2 THEN 10.5e0 ELSE TRY_CAST(lat AS DOUBLE) END AS number
+      FROM stations_ext) s
+WHERE number IS NOT NULL GROUP BY wmo_id""", "stations_ext")
+
+
+def q_observation_files(spark, sf):
+    """One CSV per location, its name with spaces and signs: rows per file."""
+    from stratus.schemas import OBSERVATION_COLUMNS
+    from stratus.sources.observations import read_observations, rows_per_file
+
+    cols = {"station_id": F.col("location"), "datetime": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+            "lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double")}
+    obs = fixtures.view(spark, sf, "obs").select(
+        *[(cols[c] if c in cols else F.col(c)).alias(c) for c in OBSERVATION_COLUMNS])
+    folder = fixtures.land_one_file_per_location(obs, "station_id", lambda place: f"Decoded {place} +50%.csv")
+    return rows_per_file(read_observations(spark, folder))
+
+
+O_OBSERVATION_FILES = with_views("""
+SELECT 'Decoded ' || location || ' +50%.csv' AS file_name, ' ' || location || ' +50%' AS location, count(*) AS rows
+FROM obs GROUP BY ALL""", "obs")
+
+
+def q_decode_files_counts(spark, sf):
+    """The run counts that the decode job observes while it writes CSV text."""
+    from stratus.plans.decode_job import run_decode
+    from stratus.session import scratch_path
+
+    return run_decode(spark, _landed(spark, sf, "\t"), scratch_path(spark, "decoded-text"), csv_output=True)
+
+
+O_DECODE_FILES_COUNTS = """
+SELECT count(*) AS rows_decoded, CAST(0 AS BIGINT) AS errors, count(*) FILTER (WHERE event_id%41=0) AS nil_or_empty
+FROM events"""
+
+
+def q_raw_to_results(spark, sf):
+    """Raw CSVs to results in one job, by way of the decoder's CSV text with
+    ``NaN`` for missing numbers."""
+    from stratus.plans.analysis_job import analyse_raw
+
+    out = analyse_raw(spark, _landed(spark, sf, ";"), "station_id", csv_text=True)
+    return (out["rows_per_location"].join(out["avg_humidity"], "location").join(out["total_rain"], "location")
+            .select("location", "rows", "avg_humidity", "total_rain_mm"))
+
+
+def q_raw_to_daily_temp(spark, sf):
+    """Raw CSVs to the daily temperatures in one job, by way of Parquet."""
+    from stratus.plans.analysis_job import analyse_raw
+
+    return analyse_raw(spark, _landed(spark, sf, ","), "station_id", sep=",")["daily_avg_temp"]
+
+
 QUERIES = {
     "synop_decode": (q_synop_decode, O_SYNOP_DECODE),
     "synop_decoded_table": (q_synop_decoded_table, O_SYNOP_DECODED_TABLE),
@@ -723,4 +877,14 @@ QUERIES = {
     "location_from_file_names": (q_location_from_file_names, O_LOCATION_FROM_FILE_NAMES),
     "result_csv_roundtrip": (q_result_csv_roundtrip, O_TOTAL_RAIN),
     "observation_folder_summary": (q_observation_folder_summary, O_OBSERVATION_FOLDER_SUMMARY),
+    "report_coverage_year": (q_report_coverage_year, O_REPORT_COVERAGE_YEAR),
+    "synop_hard": (q_synop_hard, O_SYNOP_HARD),
+    "undecoded_mixed_files": (q_undecoded_mixed_files, O_UNDECODED_MIXED_FILES),
+    "undecoded_multiline": (q_undecoded_multiline, O_UNDECODED_MULTILINE),
+    "reply_files": (q_reply_files, O_RAW_REPLY_PARSE),
+    "station_csv_files": (q_station_csv_files, O_STATION_CSV_FILES),
+    "observation_files": (q_observation_files, O_OBSERVATION_FILES),
+    "decode_files_counts": (q_decode_files_counts, O_DECODE_FILES_COUNTS),
+    "raw_to_results": (q_raw_to_results, O_STATION_SUMMARY),
+    "raw_to_daily_temp": (q_raw_to_daily_temp, O_STATION_DAILY_TEMP),
 }

@@ -9,6 +9,7 @@ tables for the analysis.  Their size grows with the driver tables.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SYNOP_SQL = """
 WITH k AS (SELECT event_id AS e, user_id AS u, ts, (event_id*37)%500 AS ttt,
@@ -153,8 +154,6 @@ def reply_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines of ``REPLY_LINES_SQL``, with each report's lines made by one
     ``explode`` so the report text is built twice (lines, reply heads)
     rather than three times."""
-    from pyspark.sql import functions as F
-
     syn = view(spark, sf_dir, "synop")
     s = syn.select(
         "report_id", "WMOIND", "YEAR", "MONTH", "DAY", "HOUR", "MIN", "REPORT",
@@ -199,3 +198,56 @@ FROM events
 """
 
 VIEWS["lenient"] = (LENIENT_SQL, ("events",))
+
+# Reports with the seldom branches, built from ``events``: every message type
+# and none, a four-character index group, a wind group that is none, 99 without
+# its extension, slashes, repeated groups, 222 before 333, and 444 or 555 where
+# section 3 would hold rain.
+SYNOP_HARD_SQL = """
+SELECT event_id AS report_id,
+ CASE event_id%4 WHEN 0 THEN 'AAXX ' WHEN 1 THEN 'BBXX ' WHEN 2 THEN 'OOXX ' ELSE '' END
+  || '0106' || CASE event_id%5 WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THEN '3' WHEN 3 THEN '4' ELSE '/' END || ' 98444 '
+  || CASE WHEN event_id%7=0 THEN '1234' ELSE
+     CASE event_id%6 WHEN 5 THEN '/' ELSE cast(event_id%6 AS string) END || '15'
+     || CASE WHEN event_id%9=0 THEN '//' ELSE lpad(cast(event_id%51 AS string),2,'0') END END || ' '
+  || CASE WHEN event_id%11=0 THEN '9' WHEN event_id%7=0 THEN '5' WHEN event_id%10=9 THEN '/' ELSE cast(event_id%9 AS string) END
+  || CASE event_id%13 WHEN 0 THEN '//' WHEN 1 THEN '99' ELSE lpad(cast(event_id%37 AS string),2,'0') END
+  || CASE event_id%17 WHEN 0 THEN '//' WHEN 1 THEN '99' WHEN 2 THEN '99 00' || cast(100+event_id%50 AS string)
+     ELSE lpad(cast(event_id%60 AS string),2,'0') END
+  || ' 11050 10' || lpad(cast(event_id%300 AS string),3,'0') || ' 1//// 123'
+  || ' 20010 20' || lpad(cast(event_id%250 AS string),3,'0')
+  || ' 39900 30010' || CASE WHEN event_id%2=0 THEN ' 41000 4' || lpad(cast(event_id%300 AS string),4,'0') ELSE '' END
+  || ' 5/abc' || CASE WHEN event_id%3=0 THEN ' 60011 6' || lpad(cast(event_id%989 AS string),3,'0') || '2' ELSE '' END
+  || ' 8/500 84500 86500'
+  || CASE event_id%19%4 WHEN 0 THEN ' 222 00 61234 333 60505'
+     WHEN 1 THEN ' 333 10999 6' || lpad(cast(event_id%500 AS string),3,'0') || '1 60991 444 60999'
+     WHEN 2 THEN ' 333 555 60771' ELSE ' 444 60771 333 60505' END
+  || CASE WHEN event_id%23=0 THEN '== ' ELSE '=' END AS REPORT
+FROM events
+"""
+
+VIEWS["synop_hard"] = (SYNOP_HARD_SQL, ("events",))
+SPREAD_VIEWS.add("synop_hard")
+
+
+def land_one_file_per_location(df: DataFrame, location: str, name) -> str:
+    """``df`` as one CSV per value of ``location`` in a folder under the shared
+    checkpoint folder, each named ``name(value)``; returns the folder.  Spark
+    writes them, then the files (one per location) are renamed."""
+    from stratus.session import scratch_path
+    from stratus.sources.files import _fs_and_path
+
+    spark = df.sparkSession
+    parts, folder = scratch_path(spark, "by-location"), scratch_path(spark, "observation-files")
+    (df.withColumn("__loc", F.col(location)).repartition("__loc").write.partitionBy("__loc")
+     .option("header", True).csv(parts))
+    fs, root = _fs_and_path(spark, parts)
+    target = _fs_and_path(spark, folder)[1]
+    fs.mkdirs(target)
+    for entry in fs.listStatus(root):
+        label = entry.getPath().getName()
+        if label.startswith("__loc="):
+            for part in fs.listStatus(entry.getPath()):
+                if part.getPath().getName().startswith("part-"):
+                    fs.rename(part.getPath(), _fs_and_path(spark, f"{folder}/{name(label[len('__loc='):])}")[1])
+    return folder

@@ -97,3 +97,22 @@ def test_all_results_scan_the_observations_three_times(spark, tmp_dir):
     out = results(spark.read.parquet(path))
     scans = [name for name, df in out.items() if path in physical(df)]
     assert scans == ["correlation"]
+
+
+def test_only_the_readings_asked_for_are_computed(spark):
+    raw = spark.range(10).selectExpr("'AAXX 01031 98444 32970 81204 10255 20220 30085=' AS REPORT")
+    assert "EXP(" in physical(decode_reports(raw))
+    temp = decode_reports(raw, columns=["temp"])
+    assert temp.columns == ["REPORT", "temp"] and "EXP(" not in physical(temp)
+
+
+def test_undecoded_files_are_read_by_one_scan_without_shuffling_lines(spark, tmp_dir):
+    from stratus.sources.undecoded import read_undecoded_csv
+
+    for k, (sep, names) in enumerate([(",", "WMOIND,REPORT"), (";", "REPORT;WMOIND"), ("|", "YEAR|WMOIND|REPORT")]):
+        with open(os.path.join(tmp_dir, f"{k}.csv"), "w") as f:
+            f.write(names + "\n" + sep.join(str(k) for _ in names.split(sep)) + "\n")
+    for sep in ("auto", ","):
+        plan = physical(read_undecoded_csv(spark, tmp_dir, sep=sep))
+        assert plan.count("Scan csv") == 1 and plan.count("Scan text") == 0
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
