@@ -34,7 +34,8 @@ DIM = 1 << DIM_BITS
 PER_LANGUAGE = 600
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.02, 0.001, 4
 UNKNOWN = "und"
-_STRETCH = 1 << 20
+#: N-grams hashed at a time: bounds the working arrays of a long text.
+_STRETCH = 1 << 17
 
 
 def held_out(doc_id: Column) -> Column:
@@ -57,13 +58,13 @@ def gram_counts(text: str, letters: np.ndarray) -> np.ndarray | None:
         return None
     keep = known.copy()
     keep[1:] |= known[:-1]
-    points = np.where(known, points, 32)[keep].astype(np.uint64)
-    points = np.concatenate([[np.uint64(32)], points, [np.uint64(32)]])
+    blank = np.array([32], np.uint32)
+    points = np.concatenate([blank, np.where(known, points, blank)[keep], blank])
     counts = np.zeros(DIM, np.int64)
     overlap = max(ORDERS) - 1
     with np.errstate(over="ignore"):
         for lo in range(0, len(points), _STRETCH):
-            part = points[lo:lo + _STRETCH + overlap]
+            part = points[lo:lo + _STRETCH + overlap].astype(np.uint64)
             for order in ORDERS:
                 n = min(len(part) - order + 1, _STRETCH)
                 if n <= 0:
