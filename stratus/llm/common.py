@@ -47,6 +47,9 @@ def byte_table(separators: bytes, lower: bool = True) -> np.ndarray:
     return t
 
 
+#: Bytes hashed at a time.
+STRETCH = 1 << 18
+
 SPACE_TABLE = byte_table(bytes([32, 9, 10, 11, 12, 13]))
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -56,7 +59,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "p" not in _POWERS or len(_POWERS["p"]) < n:
-        m = max(n, 1 << 19)
+        m = max(n, 2 * STRETCH)
         for name, base in (("p", _P), ("i", _PINV)):
             a = np.full(m, base, dtype=np.uint64)
             a[0] = 1
@@ -74,17 +77,9 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def hash_words(data: np.ndarray, doc_starts: np.ndarray, table_: np.ndarray):
-    """Words of one byte buffer that holds documents back to back.
-
-    Returns (word_start, word_end, hash, first): byte positions of every word,
-    a 64-bit hash per word, and per document the index of its first word (one
-    more entry at the end).  A word never crosses a document boundary.
-    """
+def _hash_stretch(data: np.ndarray, doc_starts: np.ndarray, table_: np.ndarray):
+    """Start, end and hash of every word in a stretch of bytes."""
     n = len(data)
-    if n == 0:
-        z = np.zeros(0, np.int64)
-        return z, z, np.zeros(0, np.uint64), np.zeros(len(doc_starts) + 1, np.int64)
     v = table_[data]
     inside = v != 0
     edge = np.zeros(n + 1, bool)
@@ -99,8 +94,37 @@ def hash_words(data: np.ndarray, doc_starts: np.ndarray, table_: np.ndarray):
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(v * p, out=total[1:])
         h = (total[end] - total[start]) * inv[start]
-    first = np.searchsorted(start, np.append(doc_starts, n))
-    return start, end, mix(h), first
+    return start, end, mix(h)
+
+
+def hash_words(data: np.ndarray, doc_starts: np.ndarray, table_: np.ndarray):
+    """Words of one byte buffer that holds documents back to back.
+
+    Returns (word_start, word_end, hash, first): byte positions of every word,
+    a 64-bit hash per word, and per document the index of its first word (one
+    more entry at the end).  A word never crosses a document boundary.  A long
+    buffer is hashed in stretches that end at a separator or a document's end,
+    so the working arrays stay small (only one huge word makes them longer).
+    """
+    n, lo = len(data), 0
+    parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    while lo < n:
+        hi = min(n, lo + STRETCH)
+        while hi < n:
+            block = data[hi:hi + STRETCH]
+            gaps = np.flatnonzero(table_[block] == 0)
+            cuts = doc_starts[np.searchsorted(doc_starts, hi):]
+            ends = ([hi + int(gaps[0])] if len(gaps) else []) + ([int(cuts[0])] if len(cuts) else [])
+            if ends and min(ends) <= hi + len(block):
+                hi = min(ends)
+                break
+            hi += len(block)
+        a, b = np.searchsorted(doc_starts, [lo, hi])
+        start, end, h = _hash_stretch(data[lo:hi], doc_starts[a:b] - lo, table_)
+        parts.append((start + lo, end + lo, h))
+        lo = hi
+    start, end, h = (np.concatenate(x) for x in zip(*parts))
+    return start, end, h, np.searchsorted(start, np.append(doc_starts, n))
 
 
 def text_chunks(column: pa.Array, max_bytes: int = 1 << 19):
