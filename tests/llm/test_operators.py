@@ -363,3 +363,20 @@ def test_embedding_near_dedup(spark):
         if r.vec_id == 1006:
             assert r.component_id == 0 and r.n_links == want[0][0]
     assert len(got) == len(rows) and embedding_caps.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_words_are_the_same_in_stretches_of_any_length(monkeypatch):
+    import numpy as np
+
+    from stratus.llm import common
+
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        data = rng.choice(np.frombuffer(b"ab \nC", np.uint8), int(rng.integers(0, 60)))
+        starts = np.sort(np.append([0], rng.integers(0, len(data) + 1, 2)))
+        whole = common.hash_words(data, starts, common.SPACE_TABLE)
+        for stretch in (1, 3, 7):
+            monkeypatch.setattr(common, "STRETCH", stretch)
+            cut = common.hash_words(data, starts, common.SPACE_TABLE)
+            monkeypatch.undo()
+            assert all(np.array_equal(a, b) for a, b in zip(whole, cut))
