@@ -15,9 +15,10 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.
 4. *Skipping by position*: only lists that still hold several groups are
    probed, in blocks of one size band, against blocks of the own and the next
    band, and only at positions where a first common shingle of a linked pair
-   can stand (``min(nx - i, ny - j) >= need``).  The pairs met are then held to
-   the number of prefix shingles that a linked pair has in common at least,
-   before any set is fetched.
+   can stand (``min(nx - i, ny - j) >= need``).  Lists of up to three sets are
+   not probed: their pairs, known from step 3, are added.  The pairs met are
+   then held to the number of prefix shingles that a linked pair has in common
+   at least, before any set is fetched.
 5. Candidates are verified on the whole sets, made again from the texts.
 
 Groups are exact: a pair of sets in different groups has been verified or
@@ -294,7 +295,13 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     met = probe.join(listed, ["h", "band"]).where(
         (F.col("gx") != F.col("gy")) & _first(F.col("px"), F.col("py"), percent)
         & (F.struct(_n(F.col("px")), F.col("x")) < F.struct(_n(F.col("py")), F.col("y"))))
-    met = written(_ordered(met, "x", "px", "y", "py").distinct(), "met")
+    # The first common shingle may also stand in a list too short to be probed.
+    grouped = left.select("node", "group").distinct()
+    short = (pairs.where((F.col("short") > 0) & ~_enough(F.col("c"), F.col("na"), F.col("nb"), percent))
+             .join(grouped.select(F.col("node").alias("a"), F.col("group").alias("ga")), "a")
+             .join(grouped.select(F.col("node").alias("b"), F.col("group").alias("gb")), "b")
+             .where("ga <> gb").select("a", "b", "na", "nb"))
+    met = written(_ordered(met, "x", "px", "y", "py").unionByName(short).distinct(), "met")
     prefixes = left.groupBy("node").agg(F.collect_list("h").alias("hs"))
     met = (met.join(prefixes.select(F.col("node").alias("a"), F.col("hs").alias("ha")), "a")
            .join(prefixes.select(F.col("node").alias("b"), F.col("hs").alias("hb")), "b")

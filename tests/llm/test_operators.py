@@ -100,6 +100,22 @@ def test_one_large_group_of_near_copies(spark):
     assert got == dict(enumerate(label))
 
 
+def test_link_first_met_in_a_short_list(spark):
+    """A frequent passage in all texts, a short rarer one in two each: only the rarer
+    one's shingles, in lists of two sets, stand where a first common one can."""
+    common, rows = ["c%d" % k for k in range(87)], []
+    for k in range(300):
+        own = ["o%d_%d" % (k, j) for j in range(8)]
+        rare = ["r%d_%d" % (k // 2, j) for j in range(9)]
+        rows.append((k, " ".join(common + own[:4] + rare + own[4:]), "en", "s"))
+    got = dict((r[0], r[2]) for r in ngram_jaccard.jaccard_groups(docs(spark, rows)).collect())
+    sets = [shingles(t) for _, t, _, _ in rows]
+    linked = {(a, b) for a in range(300) for b in range(a)
+              if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert {len(s) for s in sets} == {100} and linked == {(k + 1, k) for k in range(0, 300, 2)}
+    assert got == {k: k - k % 2 for k in range(300)}
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 103), (7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
