@@ -9,7 +9,7 @@ from stratus.llm.common import table, written
 from stratus.llm.decontaminate import clean_documents
 from stratus.llm.language_id import known_language
 from stratus.llm.mixing import mix
-from stratus.llm.ngram_jaccard import jaccard_groups
+from stratus.llm.ngram_jaccard import one_per_group
 from stratus.llm.sharding import shard_documents
 
 
@@ -18,10 +18,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document that names its group stays; of rows with its id, one."""
-    groups = written(jaccard_groups(docs), "groups")
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    """One row of every group stays, with the smallest id; null ids come last.
+    Groups are of texts: an id with several texts can stay with some of them."""
+    return one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

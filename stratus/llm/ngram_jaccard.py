@@ -27,8 +27,9 @@ two different shingles moves an intersection by one.)
 
 Defined cases: null or empty text, or text without words: empty set, linked
 with nothing, its own group.  One to four words: the whole sequence is one
-shingle.  Repeated rows are returned once each with the same group.  A row
-with a null id shares the group of its set, whose id comes from other rows.
+shingle.  Repeated rows are returned once each with the same group.  An id with
+several texts has a group for each.  A row with a null id shares the group of
+its set, whose id comes from other rows; it is null if all ids of the group are.
 An empty table gives no rows.  Other columns are ignored, whatever their names.
 """
 
@@ -105,18 +106,19 @@ def _describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
         v, c = _flush(parts, 4)
         k = len(v)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(c.astype(np.int64)), pa.array(v)],
-            names=["kind", "doc_id", "n", "node"])
+            [pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
+             pa.array(c.astype(np.int64)), pa.array(v)],
+            names=["kind", "doc_id", "key", "n", "node"])
 
     for batch in batches:
-        ids = batch.column(0)
+        ids, keys = batch.column(0), batch.column(2)
         for lo, hi, data, starts in text_chunks(batch.column(1)):
             sets = shingle_sets(data, starts, words)
             nodes = [node_of(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(hi - lo, np.int32)), ids.slice(lo, hi - lo).cast(pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64())],
-                names=["kind", "doc_id", "n", "node"])
+                 keys.slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64())],
+                names=["kind", "doc_id", "key", "n", "node"])
             for s, node in zip(sets, nodes):
                 if node is not None and node not in seen:
                     seen.add(node)
@@ -212,17 +214,44 @@ def _enough(c, p, q, percent: int):
     return c >= F.least(of(p), of(q))
 
 
+def row_key(doc_id, text):
+    """A hash of id and text, also where the id is null: what tells rows apart."""
+    return F.xxhash64(doc_id.cast("long"), text)
+
+
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    words: int = 5, percent: int = 75) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest
     id reachable by links, itself included)."""
+    return grouped_rows(docs, id_col, text_col, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def one_per_group(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text, ...)`` with one row of every group: of the rows with
+    the group's smallest id (null if it has no other) that of the smallest key.
+    Rows with an empty set stay, repeated ones once."""
+    rows = written(grouped_rows(docs).where("root is not null").select("doc_id", "key", "root", "component_id"), "groups")
+    first = F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("key"))
+    stay = rows.groupBy("root").agg(F.min(first).alias("key")).select("key")
+    gone = rows.select("key").distinct().join(stay, "key", "left_anti")
+    return (docs.join(gone, row_key(docs["doc_id"], docs["text"]) == gone["key"], "left_anti")
+            .select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+
+
+def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 words: int = 5, percent: int = 75) -> DataFrame:
+    """``jaccard_groups`` with the row's key and its group's root, a set (null
+    for an empty set)."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.withColumn("key", row_key(F.col("doc_id"), F.col("text")))
 
     described = written(docs.mapInArrow(
-        lambda it: _describe(it, words), "kind int, doc_id long, n long, node long"), "sets")
-    sig = described.where("kind = 0").select("doc_id", "n", "node")
-    nodes = sig.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
+        lambda it: _describe(it, words), "kind int, doc_id long, key long, n long, node long"), "sets")
+    sig = described.where("kind = 0").select("doc_id", "key", "n", "node")
+    # A set's text is fetched by the key of one of its rows.
+    nodes = sig.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("key").alias("key"))
+    repeated = not sig.where("node is not null").groupBy("key").count().where("count > 1").isEmpty()
 
     # Frequent shingles: a bounded list that only sets the global order.
     top = (described.where("kind = 1").groupBy("node").agg(F.sum("n").alias("n"))
@@ -265,7 +294,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _ordered(led, "node", "np", "other", "other_np", (F.col("size") <= 3).cast("long").alias("short"))
         .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"), F.sum("short").alias("short")), "pairs")
     tried = pairs.where(_enough(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b")
-    linked = _linked(docs, nodes, tried, words, percent)
+    linked = _linked(docs, nodes, repeated, tried, words, percent)
     groups = components(linked)
 
     # Lists that still hold several groups: once more with several leaders each,
@@ -283,7 +312,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
            .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
            .where(_enough(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b"))
     again = written(led.exceptAll(tried), "tried")
-    merged = _merge(_linked(docs, nodes, again, words, percent), groups)
+    merged = _merge(_linked(docs, nodes, repeated, again, words, percent), groups)
 
     # What still differs is probed in blocks of one size band.
     mixed = _mixed(written(mixed.withColumnRenamed("group", "component").join(merged, "component", "left")
@@ -309,15 +338,15 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
            .join(pairs.select("a", "b", "short"), ["a", "b"], "left")
            .where(_enough(F.col("c") + F.coalesce("short", F.lit(0)), F.col("na"), F.col("nb"), percent))
            .select("a", "b").exceptAll(tried).exceptAll(again))
-    links = _linked(docs, nodes, written(met, "last"), words, percent)
+    links = _linked(docs, nodes, repeated, written(met, "last"), words, percent)
     last = _merge(links, groups, merged)
 
     # Smallest document id of every group, then back to the documents.
     rooted = written(_rooted(nodes, groups, merged, last), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(written(smallest, "smallest"), "root").select("node", "component_id")
+    named = rooted.join(written(smallest, "smallest"), "root").select("node", "root", "component_id")
     return sig.join(named, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "key", F.col("n").alias("n_shingles"), "root", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def _ordered(df: DataFrame, x: str, px: str, y: str, py: str, *more) -> DataFrame:
@@ -351,11 +380,13 @@ def _merge(links: DataFrame, groups: DataFrame, *merges: DataFrame) -> DataFrame
     return components(both).select(F.col("node").alias("component"), F.col("component").alias("merged"))
 
 
-def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The ``pairs(a, b)`` of nodes that reach the similarity, on whole sets."""
+def _linked(docs: DataFrame, nodes: DataFrame, repeated: bool, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The ``pairs(a, b)`` of nodes that reach the similarity, on whole sets.
+    Only where rows are ``repeated`` can a key fetch a text several times."""
     used = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-                   .join(nodes, "node"), "candidates")
-    texts = docs.join(small_side(used.withColumnRenamed("rep", "doc_id"), BROADCAST_ROWS), "doc_id").select("node", "text")
+                   .join(nodes.select("node", "key"), "node"), "candidates")
+    texts = docs.join(small_side(used, BROADCAST_ROWS), "key").select("node", "text")
+    texts = texts.dropDuplicates(["node"]) if repeated else texts
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
             .select("a", "b", "text_a", "text_b"))
