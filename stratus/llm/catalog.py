@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratus.llm import (decontaminate, embedding_caps, filter_audit, language_id, line_dedup, mixing, secret_scan, sharding,
-                         span_dedup, url_templates)
+from stratus.llm import (decontaminate, embedding_caps, filter_audit, language_id, line_dedup, mixing, prefix_trie, secret_scan,
+                         sharding, span_dedup, url_templates)
 from stratus.llm.common import table
 from stratus.llm.ngram_jaccard import jaccard_groups
 
@@ -51,6 +51,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,10 +62,11 @@ def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_secret_scan, op3_line_dedup, op4_sharding, op5_mixing,
     op6_benchmark_decontamination, op7_language_id, op8_substring_dedup, op9_url_filters,
-    op10_embedding_near_dedup, op12_filter_interaction_audit)}
+    op10_embedding_near_dedup, op11_conversation_prefix_trie, op12_filter_interaction_audit)}
 ORACLES: dict[str, str] = {
     "op3_line_dedup": line_dedup.SQL,
     "op5_mixing": mixing.SQL,
     "op6_benchmark_decontamination": decontaminate.SQL,
+    "op11_conversation_prefix_trie": prefix_trie.SQL,
     "op12_filter_interaction_audit": filter_audit.SQL,
 }

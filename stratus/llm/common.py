@@ -36,6 +36,22 @@ def small_side(df: DataFrame, max_rows: int, persist: bool = True) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+#: Share of all rows beyond which a key counts as hot.
+HOT_SHARE = 4096
+
+
+def split_join(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """``rows`` left-joined with ``facts``, one row a key whose ``weight`` says
+    how many rows have it.  Keys that hold more than 1/4096 of all rows, so fewer
+    than 4096, are broadcast; the others are shuffled, and none of them is hot.
+    Both sides are read twice: hand over written tables."""
+    total = facts.agg(F.sum(weight)).first()[0] or 0
+    hot = F.col(weight) * HOT_SHARE > total
+    first = rows.join(F.broadcast(facts.where(hot)), keys, "left")
+    return first.where(F.col(weight).isNotNull()).unionByName(
+        first.where(F.col(weight).isNull()).select(*rows.columns).join(facts.where(~hot), keys, "left"))
+
+
 # ---------------------------------------------------------------- word hashes
 
 def byte_table(separators: bytes, lower: bool = True) -> np.ndarray:
@@ -185,5 +201,5 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         roots.select(F.col("v").alias("node"), F.col("v").alias("component")))
 
 
-__all__ = ["table", "written", "small_side", "hash_words", "text_chunks", "components", "mix",
+__all__ = ["table", "written", "small_side", "split_join", "hash_words", "text_chunks", "components", "mix",
            "byte_table", "SPACE_TABLE", "SPACE_CLASS", "UPPER", "LOWER", "StorageLevel"]

@@ -45,7 +45,7 @@ from stratus.llm.common import written
 FILTERS = "ABCDE"
 MIN_WORDS, MIN_DISTINCT, MAX_UPPER, MARKS = 100, 80, 10, "[#$%&*|]"
 #: Text bytes that a shard holds, and that a piece of a row holds at most.
-SHARD_BYTES, PIECE_BYTES = 8 << 20, 1 << 20
+SHARD_BYTES, PIECE_BYTES = 16 << 20, 1 << 20
 #: Words of all shards that one bucket of the dictionary ranks.
 BUCKET_WORDS = 100_000
 
