@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratus.llm import (decontaminate, embedding_caps, filter_audit, language_id, line_dedup, mixing, prefix_trie, secret_scan,
-                         sharding, span_dedup, url_templates)
+from stratus.llm import (decontaminate, embedding_caps, filter_audit, language_id, line_dedup, mixing, pii, prefix_trie,
+                         secret_scan, sharding, span_dedup, url_templates)
 from stratus.llm.common import table
 from stratus.llm.ngram_jaccard import jaccard_groups
 
@@ -59,10 +59,15 @@ def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_secret_scan, op3_line_dedup, op4_sharding, op5_mixing,
     op6_benchmark_decontamination, op7_language_id, op8_substring_dedup, op9_url_filters,
-    op10_embedding_near_dedup, op11_conversation_prefix_trie, op12_filter_interaction_audit)}
+    op10_embedding_near_dedup, op11_conversation_prefix_trie, op12_filter_interaction_audit,
+    op13_personal_data)}
 ORACLES: dict[str, str] = {
     "op3_line_dedup": line_dedup.SQL,
     "op5_mixing": mixing.SQL,

@@ -21,7 +21,7 @@ def test_query_matches_sql(spark, name):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
 
 
 def test_stages_follow_their_operators(spark):
