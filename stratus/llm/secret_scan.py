@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stratus.llm.common import written
+from stratus.llm.spans import LISTED, in_order, listed, outside, spans_of
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: A whole run is one match, so the least length can stand in the pattern.
@@ -52,36 +53,6 @@ FALSE_SHARE, RANDOM_P, FULL_LENGTH, GRID = 0.01, 0.001, 64, 50
 #: Coincidence rate of text where the documents hold no letters-only candidate.
 TEXT_RATE = 0.065
 
-_SPAN = "array<struct<start:int,end:int,kind:string,rank:int,found:string>>"
-
-
-def _spans(text: Column, pattern: str, kind: str, rank: int) -> Column:
-    """All matches of ``pattern`` with their places: the pieces between matches
-    and the matches' lengths add up to them."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
-    walked = F.aggregate(
-        F.zip_with(hits, F.slice(pieces, 1, F.size(hits)), lambda h, p: F.struct(h.alias("hit"), p.alias("gap"))),
-        F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + x["gap"] + F.length(x["hit"])).alias("at"),
-            F.concat(a["out"], F.array(F.struct(
-                (a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + F.length(x["hit"])).alias("end"),
-                F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), x["hit"].alias("found")))).cast(_SPAN).alias("out")))
-    return F.when(F.regexp_like(text, F.lit(pattern)), walked["out"]).otherwise(F.array().cast(_SPAN))
-
-
-def _listed(spans: Column) -> Column:
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
-        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-
-
-def _in_order(spans: Column) -> Column:
-    """By start, then kind as listed."""
-    keyed = F.transform(spans, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"]))
-    return F.array_sort(keyed)
-
-
 def _upper_tail(z: Column) -> Column:
     """P(Z > z) of a normal variable (logistic form, within 0.0002)."""
     return 1 / (1 + F.exp(F.least(F.lit(300.0), 1.5976 * z + 0.07056 * z * z * z)))
@@ -90,16 +61,15 @@ def _upper_tail(z: Column) -> Column:
 def scan_known(docs: DataFrame) -> DataFrame:
     """doc_id, the known spans in order, their counts, and the candidates."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    assign = F.filter(_spans(text, ASSIGN, "assign", 0),
+    assign = F.filter(spans_of(text, ASSIGN, "assign", 0),
                       lambda s: F.length(F.regexp_extract(s["found"], "^" + ASSIGN + "$", 2)) >= MIN_VALUE)
     out = docs.select("doc_id", text.alias("text")).select(
-        "doc_id", assign.alias("assign"), _spans(F.col("text"), ACCESS, "access", 1).alias("access"),
-        _spans(F.col("text"), HEX, "hex", 2).alias("hex"), _spans(F.col("text"), CANDIDATE, "random", 3).alias("near"))
+        "doc_id", assign.alias("assign"), spans_of(F.col("text"), ACCESS, "access", 1).alias("access"),
+        spans_of(F.col("text"), HEX, "hex", 2).alias("hex"), spans_of(F.col("text"), CANDIDATE, "random", 3).alias("near"))
     known = F.concat("assign", "access", "hex")
     return out.select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
-        _in_order(known).alias("known"), F.filter("near", lambda c: ~F.exists(
-            known, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))).alias("near"))
+        in_order(known).alias("known"), outside(F.col("near"), known).alias("near"))
 
 
 def _tests(token: Column) -> Column:
@@ -182,7 +152,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
              .groupBy(F.col("doc_id").alias("id"), "same").agg(F.collect_set("near").alias("random")))
     rows = found.withColumn("same", F.xxhash64("known", "near"))
     rows = (rows.join(named.withColumnRenamed("same", "as"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("same") == F.col("as")), "left")
-            .withColumn("random", F.coalesce(_in_order(F.col("random")), F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>"))))
-    return rows.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(_listed(F.col("known")), 256).alias("base_sha256"),
-                       _listed(F.array_sort(F.concat("known", "random"))).alias("spans"),
+            .withColumn("random", F.coalesce(in_order(F.col("random")), F.array().cast(LISTED))))
+    return rows.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(listed(F.col("known")), 256).alias("base_sha256"),
+                       listed(F.array_sort(F.concat("known", "random"))).alias("spans"),
                        F.size("random").cast("long").alias("n_random"))
