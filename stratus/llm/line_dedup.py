@@ -21,12 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratus.llm.common import small_side, written
+from stratus.llm.spans import let
 
 #: A line shown by at least so many sites is boilerplate.
 MIN_SITES = 8
 #: Sketch size (log2 of registers) and how far, relative to the threshold and
-#: in sites at least, an estimate may be off: three standard errors.
-LOG_K, SLACK = 12, 0.05
+#: two sites at least, an estimate may be off: six standard errors.
+LOG_K, SLACK = 12, 0.1
 #: As many line hashes (one long each) are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -42,7 +43,7 @@ def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     lines = docs.select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("site"),
                         F.explode(_hashes(F.col("text"))).alias("line")).where("line is not null")
     spread = lines.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_K))).alias("sites"))
-    slack = max(1.0, SLACK * min_sites)
+    slack = max(2.0, SLACK * min_sites)
     wide = written(spread.where(F.col("sites") >= min_sites - slack), "spread")
     near = small_side(wide.where(F.col("sites") <= min_sites + slack).select("line"), BROADCAST_ROWS)
     exact = (lines.join(near, "line").groupBy("line").agg(F.countDistinct("site").alias("sites"))
@@ -58,9 +59,13 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
     found = (keyed.select("doc_id", "content", F.posexplode(_hashes(F.col("text"))).alias("at", "line"))
              .where("line is not null").join(bad, "line")
              .groupBy("doc_id", "content").agg(F.collect_set("at").alias("drop")))
-    found = found.select(F.col("doc_id").alias("id"), F.col("content").alias("same"), "drop")
+    found = found.select(F.col("doc_id").alias("id"), F.col("content").alias("same"), F.array_sort("drop").alias("drop"))
     lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda _, k: ~F.coalesce(F.array_contains("drop", k), F.lit(False)))
+    # What stands between one dropped line and the next is taken as a slice.
+    edges = F.concat(F.array(F.lit(-1)), "drop", F.array(F.size(lines)))
+    kept = let(F.struct(lines.alias("lines"), edges.alias("edges")), lambda s: F.flatten(F.zip_with(
+        F.slice(s["edges"], F.lit(1), F.size(s["edges"]) - 1), F.slice(s["edges"], F.lit(2), F.size(s["edges"]) - 1),
+        lambda a, b: F.slice(s["lines"], a + 2, b - a - 1))))
     return (keyed.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("content") == F.col("same")), "left")
             .select("doc_id", F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
                     F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long").alias("n_removed"),
