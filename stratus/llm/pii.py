@@ -15,8 +15,8 @@ passage are one) and discloses it by ``DISCLOSED`` or more is taken out wherever
 it occurs: *generalised* to its first ``PREFIX`` letters where the words with
 these letters together disclose no entity that much, *removed* otherwise.
 
-Statistics are of documents told apart by a hash of id and text; terms, prefixes
-and entities are counted by 64-bit hashes.  Where spans of several kinds
+Every row is a document; terms, prefixes and entities are counted by 64-bit
+hashes.  A term that is nowhere a word of its own is none.  Where spans of several kinds
 overlap, the statistics take the entity of the first in the order e-mail, phone,
 card, IP.
 
@@ -136,33 +136,36 @@ _WINDOW = "array<struct<entity:long,context:long,terms:array<struct<term:long,cl
 
 
 def scan_known(docs: DataFrame) -> DataFrame:
-    """key, doc_id, the known spans by kind, and the windows of the entities."""
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.select("key", "doc_id", "text", *[v.alias(k) for k, v in known_spans(F.col("text")).items()])
+    """row, key, doc_id, counts, the known spans, and the windows of the entities."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.xxhash64("doc_id", "text").alias("key"), "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = rows.select("row", "key", "doc_id", "text", *[v.alias(k) for k, v in known_spans(F.col("text")).items()])
     some = F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0
     rows = _tagged(rows.withColumn("tagged", F.when(some, F.translate("text", _MARK, " "))))
-    return rows.select("key", "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
+    return rows.select("row", "key", "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
                        in_order(F.concat(*KINDS)).alias("known"),
                        F.coalesce(_windows(F.col("tagged")), F.array().cast(_WINDOW)).alias("windows"))
 
 
+def _words(text: Column) -> Column:
+    return F.filter(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TERM), F.lit(0)), _is_term)
+
+
 def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
     """(term, general): hashes of the terms that disclose an entity, and whether
     their general form discloses none."""
-    near = found.where(F.size("windows") > 0).select("key", F.inline("windows"))
-    pairs = near.select("key", "entity", "context", F.inline("terms"))
+    near = found.where(F.size("windows") > 0).select("row", F.inline("windows"))
+    pairs = near.select("row", "entity", "context", F.inline("terms"))
     support = written(pairs.groupBy("entity", "term", "class").agg(
-        F.count_distinct("key").alias("both"), F.count_distinct("context").alias("contexts")).where(F.col("contexts") >= MIN_CONTEXTS), "support")
+        F.count_distinct("row").alias("both"), F.count_distinct("context").alias("contexts")).where(F.col("contexts") >= MIN_CONTEXTS), "support")
     wanted = support.select(F.explode(F.array("term", "class")).alias("word")).distinct()
-    many = found.select("key").distinct().count()
-    words = F.filter(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TERM), F.lit(0)), _is_term)
-    hashed = docs.select(F.xxhash64("doc_id", "text").alias("key"), words.alias("words")).select("key", F.explode(F.array_distinct(F.concat(
+    many = found.count()
+    # All words are counted before any is picked: what a task sends is bounded by its vocabulary.
+    hashed = docs.select(_words(F.col("text")).alias("words")).select(F.explode(F.array_distinct(F.concat(
         F.transform("words", _term), F.transform("words", _class)))).alias("word"))
-    held = written(hashed.join(small_side(wanted, BROADCAST_ROWS), "word").groupBy("word").agg(
-        F.count_distinct("key").alias("docs")), "held")
-    of_entity = near.groupBy("entity").agg(F.count_distinct("key").alias("of"))
+    held = written(hashed.groupBy("word").agg(F.count(F.lit(1)).alias("docs")).join(small_side(wanted, BROADCAST_ROWS), "word"), "held")
+    of_entity = near.groupBy("entity").agg(F.count_distinct("row").alias("of"))
     classes = (pairs.join(support.select("entity", "class").distinct(), ["entity", "class"])
-               .groupBy("entity", "class").agg(F.count_distinct("key").alias("class_both")))
+               .groupBy("entity", "class").agg(F.count_distinct("row").alias("class_both")))
     told = F.log(F.lit(float(many or 1)) / F.col("of"))
 
     def disclosure(both: str, docs_with: str) -> Column:
@@ -177,11 +180,16 @@ def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _marks(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(key, marks): where the terms occur in the documents that hold any."""
-    words = F.filter(spans_of(F.coalesce("text", F.lit("")), TERM, "", 0), lambda s: _is_term(s["found"]))
-    placed = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.inline(F.transform(words, lambda s: F.struct(
+    """(key, marks): where the terms occur.  Which documents hold any is found
+    first; only in these the words are placed."""
+    terms = small_side(terms, BROADCAST_ROWS)
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), "text")
+    having = written(keyed.select("key", F.explode(F.array_distinct(F.transform(_words(F.col("text")), _term))).alias("term"))
+                     .join(terms, "term", "leftsemi").select("key").distinct(), "having")
+    words = F.filter(spans_of(F.col("text"), TERM, "", 0), lambda s: _is_term(s["found"]))
+    placed = keyed.join(small_side(having, BROADCAST_ROWS), "key", "leftsemi").select("key", F.inline(F.transform(words, lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), _term(s["found"]).alias("term")))))
-    held = placed.join(small_side(terms, BROADCAST_ROWS), "term").select("key", F.struct(
+    held = placed.join(terms, "term").select("key", F.struct(
         "start", F.when(F.col("general"), 4).otherwise(5).alias("rank"), "end",
         F.when(F.col("general"), "general").otherwise("remove").alias("kind")).alias("mark"))
     return held.groupBy("key").agg(F.array_sort(F.collect_set("mark")).alias("marks"))
@@ -192,7 +200,7 @@ def personal_spans(docs: DataFrame) -> DataFrame:
     spans in order), one row per row of ``docs``."""
     found = written(scan_known(docs), "found")
     terms = written(disclosing_terms(found, docs), "terms")
-    rows = found.drop("windows")
+    rows = found.drop("row", "windows")
     nothing = F.array().cast(LISTED)
     if terms.isEmpty():
         return rows.withColumn("marks", nothing)

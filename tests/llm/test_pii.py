@@ -38,7 +38,7 @@ def base(text):
 
 def terms_of(rows):
     """Plain statistics: the disclosing terms and whether they are generalised."""
-    docs = {(d, t): t or "" for d, t in rows}
+    docs = {row: t or "" for row, (_, t) in enumerate(rows)}
     near = []
     for key, text in docs.items():
         if not base(text):
