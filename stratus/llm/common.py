@@ -52,6 +52,13 @@ def split_join(rows: DataFrame, facts: DataFrame, keys: list[str], weight: str)
         first.where(F.col(weight).isNull()).select(*rows.columns).join(facts.where(~hot), keys, "left"))
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+    """Smaller Arrow batches for the session's Python stages: the JVM and the
+    worker each hold a batch of whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 # ---------------------------------------------------------------- word hashes
 
 def byte_table(separators: bytes, lower: bool = True) -> np.ndarray:
@@ -201,5 +208,5 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         roots.select(F.col("v").alias("node"), F.col("v").alias("component")))
 
 
-__all__ = ["table", "written", "small_side", "split_join", "hash_words", "text_chunks", "components", "mix",
+__all__ = ["table", "written", "small_side", "split_join", "bounded_batches", "hash_words", "text_chunks", "components", "mix",
            "byte_table", "SPACE_TABLE", "SPACE_CLASS", "UPPER", "LOWER", "StorageLevel"]

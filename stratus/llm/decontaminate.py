@@ -15,7 +15,7 @@ Defined cases: a null or empty text has no words and is clean; null or wordless
 items match nothing; items with a null id are ignored; an item id counts once
 however often it occurs; repeated documents are searched alike; an empty
 benchmark leaves everything clean; an empty table gives no rows.  Carried
-columns keep their names; result columns are added under the given prefix.
+columns keep their names; the results come after them.
 """
 
 from __future__ import annotations
@@ -24,11 +24,10 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from stratus.llm.common import written
+from stratus.llm.common import bounded_batches, written
 
 WINDOW = 10
 #: Most bytes of benchmark text whose tables one pass holds.
@@ -84,68 +83,78 @@ def build_tables(items: list[tuple[object, bytes]], window: int = WINDOW) -> lis
     return [window_table(n, w) for n, w in sorted(by_length.items())]
 
 
-def _search(batches: Iterator[pa.RecordBatch], tables, carry: list[str], again: bool) -> Iterator[pa.RecordBatch]:
-    tables = tables.value
-    for batch in batches:
-        text = batch.column(batch.schema.get_field_index("__text"))
-        before = [batch.column(batch.schema.get_field_index(c)) if again else None for c in ("__marks", "__items")]
-        out = {k: [] for k in ("n_words", "n_hit", "n_items", "sha", "marks", "items")}
-        for k in range(batch.num_rows):
-            words = words_of(text[k].as_buffer().to_pybytes()) if text[k].is_valid else []
-            marks = bytearray(before[0][k].as_py()) if again else None
-            items = set(before[1][k].as_py()) if again else set()
-            for t in tables:
-                for start, ids in occurrences(t, words):
-                    marks = marks or bytearray(len(words))
-                    marks[start:start + t["length"]] = b"\x01" * t["length"]
-                    items |= ids
-            named = sorted(items)
-            out["n_words"].append(len(words))
-            out["n_hit"].append(marks.count(1) if marks else 0)
-            out["n_items"].append(len(named))
-            out["sha"].append(hashlib.sha256(",".join(named).encode()).hexdigest())
-            out["marks"].append(bytes(marks or b""))
-            out["items"].append(named)
-        hit = [n > 0 for n in out["n_hit"]]
-        columns = [batch.column(batch.schema.get_field_index(c)) for c in carry]
-        columns += [pa.array(out["n_words"], pa.int64()), pa.array(out["n_hit"], pa.int64()),
-                    pa.array(out["n_items"], pa.int64()), pa.array(out["sha"], pa.string()), pa.array(hit, pa.bool_()),
-                    pa.array(out["marks"], pa.binary()), pa.array(out["items"], pa.list_(pa.string()))]
-        yield pa.RecordBatch.from_arrays(columns, names=[*carry, "n_words", "n_hit", "n_items", "items_sha256",
-                                                         "contaminated", "__marks", "__items"])
-
-
-def search_benchmark(docs: DataFrame, benchmark: DataFrame, carry: list[str] | None = None,
-                     text_col: str = "text", block_bytes: int = BLOCK_BYTES, prefix: str = "") -> DataFrame:
-    """The ``carry`` columns of ``docs`` (all by default) with n_words, n_hit,
-    n_items, items_sha256 and contaminated, named with ``prefix``."""
+_FOUND = ("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
+          "marks binary, items array<string>")
+
+
+def _searcher(tables):
+    """Column function of a text and what earlier blocks have found in it.  Only
+    these go to Python; the rows stay where they are."""
+    @F.arrow_udf(_FOUND)
+    def found(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        held = tables.value
+        for text, marked, named in batches:
+            out = {k: [] for k in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "marks", "items")}
+            for k in range(len(text)):
+                words = words_of(text[k].as_buffer().to_pybytes()) if text[k].is_valid else []
+                marks, items = bytearray(marked[k].as_py() or b""), set(named[k].as_py() or [])
+                for t in held:
+                    for start, ids in occurrences(t, words):
+                        marks = marks or bytearray(len(words))
+                        marks[start:start + t["length"]] = b"\x01" * t["length"]
+                        items |= ids
+                ids = sorted(items)
+                out["n_words"].append(len(words))
+                out["n_hit"].append(marks.count(1))
+                out["n_items"].append(len(ids))
+                out["items_sha256"].append(hashlib.sha256(",".join(ids).encode()).hexdigest())
+                out["contaminated"].append(marks.count(1) > 0)
+                out["marks"].append(bytes(marks))
+                out["items"].append(ids)
+            types = [pa.int64()] * 3 + [pa.string(), pa.bool_(), pa.binary(), pa.list_(pa.string())]
+            yield pa.StructArray.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
+        pa.default_memory_pool().release_unused()
+
+    return found
+
+
+def _searched(docs: DataFrame, benchmark: DataFrame, text: str, block_bytes: int) -> tuple[DataFrame, Column]:
+    """``docs`` and the struct column of what its texts hold."""
     spark = docs.sparkSession
-    carry = docs.columns if carry is None else carry
+    bounded_batches(spark)
     items = benchmark.select(F.col("item_id").alias("item"), F.encode("text", "UTF-8").alias("text")).where(
         "item is not null and text is not null")
     held = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-held // block_bytes))
-    inner = {c: f"__c{k}" for k, c in enumerate(carry)}  # carried names may clash with any of ours
-    state = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()], F.encode(text_col, "UTF-8").alias("__text"))
+    marks, named = F.lit(None).cast("binary"), F.lit(None).cast("array<string>")
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
         tables = spark.sparkContext.broadcast(build_tables([(r[0], bytes(r[1])) for r in part]))
-        last = block == blocks - 1
-        kept = list(inner.values()) + ([] if last else ["__text"])
-        schema = T.StructType([f for f in state.schema.fields if f.name in kept]
-                              + T._parse_datatype_string("n_words long, n_hit long, n_items long, items_sha256 string, "
-                                                         "contaminated boolean, __marks binary, __items array<string>").fields)
-        state = state.mapInArrow(
-            lambda it, t=tables, k=kept, a=block > 0: _search(it, t, k, a), schema)
-        state = state if last else written(state, "searched")
-    return state.select(*[F.col(n).alias(c) for c, n in inner.items()],
-                        *[F.col(c).alias(prefix + c) for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")])
-
-
-def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+        found = _searcher(tables)(F.col(text), marks, named)
+        if block < blocks - 1:
+            docs = written(docs.withColumn("__found", found), "searched")
+            marks, named = F.col("__found.marks"), F.col("__found.items")
+    return docs, found
+
+
+def search_benchmark(docs: DataFrame, benchmark: DataFrame, carry: list[str] | None = None,
+                     text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The ``carry`` columns of ``docs`` (all by default) with n_words, n_hit,
+    n_items, items_sha256 and contaminated."""
+    inner = {c: f"__c{k}" for k, c in enumerate(docs.columns if carry is None else carry)}
+    state = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()], F.col(f"`{text_col}`").alias("__text"))
+    state, found = _searched(state, benchmark, "__text", block_bytes)
+    out = state.select(*inner.values(), found.alias("__found"))
+    return out.select(*[F.col(n).alias(c) for c, n in inner.items()],
+                      *[F.col(f"__found.{c}").alias(c) for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")])
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without the contaminated ones, columns as they were."""
-    found = search_benchmark(docs, benchmark, prefix="__")
-    return found.where("not __contaminated").select(*[F.col(f"`{c}`") for c in docs.columns])
+    inner = {c: f"__c{k}" for k, c in enumerate(docs.columns)}
+    state = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
+    state, found = _searched(state, benchmark, inner["text"], block_bytes)
+    return state.where(~found["contaminated"]).select(*[F.col(n).alias(c) for c, n in inner.items()])
 
 
 SQL = r"""

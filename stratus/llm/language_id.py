@@ -24,9 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from stratus.llm.common import mix
+from stratus.llm.common import bounded_batches, mix
 
 DIM_BITS, ORDERS = 15, (1, 2, 3)
 DIM = 1 << DIM_BITS
@@ -105,7 +104,7 @@ def _vectors(batches: Iterator[pa.RecordBatch], idf) -> Iterator[pa.RecordBatch]
                 at, v = weigh(counts, idf)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, 1), batch.column(1).slice(row, 1),
-                     pa.array([at.astype(np.int32)], pa.list_(pa.int32())), pa.array([v.astype(np.float32)], pa.list_(pa.float32()))],
+                     pa.array([at.astype(np.int32).tobytes()]), pa.array([v.astype(np.float32).tobytes()])],
                     names=["doc_id", "lang", "at", "v"])
 
 
@@ -136,9 +135,10 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def fit(sample: list[tuple], classes: list[str]) -> tuple[np.ndarray, float]:
-    """Weights and temperature from (doc_id, lang, columns, values) rows."""
-    sample = sorted(sample, key=lambda r: (mix(np.array([r[0]], np.int64).view(np.uint64))[0], r[1]))
-    rows = [(np.asarray(a), np.asarray(v, np.float64), classes.index(c)) for _, c, a, v in sample]
+    """Weights and temperature from (doc_id, lang, columns, values) rows, the
+    last two as packed 32-bit numbers."""
+    sample = sorted(sample, key=lambda r: (mix(np.array([r[0]], np.int64).view(np.uint64))[0], *map(bytes, (r[1].encode(), *r[2:]))))
+    rows = [(np.frombuffer(a, np.int32), np.frombuffer(v, np.float32).astype(np.float64), classes.index(c)) for _, c, a, v in sample]
     kept_back = rows[::5] if len(rows) >= 10 else []
     learned = [r for k, r in enumerate(rows) if k % 5] if kept_back else rows
     model = FtrlSoftmax(len(classes))
@@ -160,24 +160,30 @@ def fit(sample: list[tuple], classes: list[str]) -> tuple[np.ndarray, float]:
     return w, float(min(np.geomspace(0.05, 5, 61), key=loss))
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    classes, weights, idf, temperature = model.value
-    letters = letter_table()
-    for batch in batches:
-        names, scores = [], []
-        for text in batch.column(batch.num_columns - 1):
-            counts = gram_counts(text.as_py() or "", letters) if classes else None
-            if counts is None:
-                names.append(UNKNOWN)
-                scores.append(0.0)
-                continue
-            at, v = weigh(counts, idf)
-            p = softmax(v @ weights[at] / temperature)
-            names.append(classes[int(p.argmax())])
-            scores.append(float(p.max()))
-        columns = [batch.column(k) for k in range(batch.num_columns - 1)]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                                         names=[*batch.schema.names[:-1], "lang_pred", "score"])
+def _predictor(model):
+    """Column function of a text: lang_pred and score.  Only the texts go to
+    Python and only these two come back; the rows stay where they are."""
+    @F.arrow_udf("lang_pred string, score double")
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        classes, weights, idf, temperature = model.value
+        letters = letter_table()
+        for batch in batches:
+            names, scores = [], []
+            for text in batch:
+                counts = gram_counts(text.as_py() or "", letters) if classes else None
+                if counts is None:
+                    names.append(UNKNOWN)
+                    scores.append(0.0)
+                    continue
+                at, v = weigh(counts, idf)
+                p = softmax(v @ weights[at] / temperature)
+                names.append(classes[int(p.argmax())])
+                scores.append(float(p.max()))
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                                             names=["lang_pred", "score"])
+        pa.default_memory_pool().release_unused()
+
+    return predicted
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE):
@@ -197,7 +203,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE):
         F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.lit(float(per_language << 40)) / F.col("count"))
         .select("doc_id", "lang", "text"))
     sample = [tuple(r) for r in drawn.mapInArrow(
-        lambda it: _vectors(it, held), "doc_id long, lang string, at array<int>, v array<float>").collect()]
+        lambda it: _vectors(it, held), "doc_id long, lang string, at binary, v binary").collect()]
     classes = sorted({r[1] for r in sample})
     if not classes:
         return [], np.zeros((DIM, 0)), idf, 1.0
@@ -205,25 +211,20 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE):
     return classes, weights, idf, temperature
 
 
-def predict(docs: DataFrame, model, carry: list[str], text_col: str = "text", prefix: str = "") -> DataFrame:
-    """The ``carry`` columns of ``docs`` with lang_pred and score."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    inner = {c: f"__c{k}" for k, c in enumerate(carry)}
-    given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()], F.col(text_col).alias("__text"))
-    schema = T.StructType(given.schema.fields[:-1] + T._parse_datatype_string("lang_pred string, score double").fields)
-    out = given.mapInArrow(lambda it: _predict(it, held), schema)
-    return out.select(*[F.col(n).alias(c) for c, n in inner.items()],
-                      *[F.col(c).alias(prefix + c) for c in ("lang_pred", "score")])
+def predict(docs: DataFrame, model, text_col: str = "text"):
+    """A column of ``docs``: struct of lang_pred and score."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    return _predictor(spark.sparkContext.broadcast(model))(F.col(f"`{text_col}`"))
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every document."""
-    out = predict(docs, train(docs), ["doc_id"])
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    out = docs.select("doc_id", predict(docs, train(docs)).alias("found"))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "found.lang_pred", "found.score")
 
 
 def known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` without those whose language is unknown or unsure."""
-    out = predict(docs, train(docs), docs.columns, prefix="__")
-    return out.where((F.col("__lang_pred") != UNKNOWN) & (F.col("__score") >= least)).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    found = predict(docs, train(docs))
+    return docs.where((found["lang_pred"] != UNKNOWN) & (found["score"] >= least))
