@@ -11,14 +11,15 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.
 3. *Answers from a highly similar set*: in each list the sets are first only
    compared with up to three leaders.  A set that links with a leader joins the
    leader's group, and all it could add inside that group is already answered.
-   Lists that then hold several groups get eight leaders more.
+   Lists that then hold several groups get six new leaders a round, until a
+   round joins next to none of the groups.
 4. *Skipping by position*: only lists that still hold several groups are
-   probed, in blocks of one size band, against blocks of the own and the next
-   band, and only at positions where a first common shingle of a linked pair
-   can stand (``min(nx - i, ny - j) >= need``).  Lists of up to three sets are
-   not probed: their pairs, known from step 3, are added.  The pairs met are
+   probed, dealt by list and size band, and a set is entered only where a first
+   common shingle with a set of the band can stand.  Lists of up to three sets
+   are not probed: their pairs, known from step 3, are added.  The pairs met are
    then held to the number of prefix shingles that a linked pair has in common
-   at least, before any set is fetched.
+   at least, before any set is fetched.  Of every pair of groups a few are
+   verified at a time: what these join needs no further answers.
 5. Candidates are verified on the whole sets, made again from the texts.
 
 Groups are exact: a pair of sets in different groups has been verified or
@@ -54,8 +55,9 @@ FREQUENT = 65_536
 BROADCAST_ROWS = 1_000_000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _XOR = 0x5DEECE66D1234567
-#: Each mask orders the sets of a list anew; the first in each order leads.
-_MASKS = [(k * 0x1F83D9ABFB41BD6B + 0x3C6EF372FE94F82B) % (1 << 63) for k in range(8)]
+#: Leaders of a list in every later round; size bands between a size and the
+#: least one that a set of it can link with.
+LEADERS, BANDS = 6, 8
 
 
 def shingle_sets(data: np.ndarray, starts: np.ndarray, words: int = 5) -> list[np.ndarray]:
@@ -164,17 +166,18 @@ def _postings(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequ
 
 
 def _verify(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, text_a, text_b) whose sets reach the similarity."""
+    """The groups of the pairs (a, b, text_a, text_b, g0, g1) whose sets reach
+    the similarity."""
     for batch in batches:
         a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        keep_a, keep_b = [], []
+        keep = []
         right = _each_set(batch.column(3), words)
-        for x, y, s, t in zip(a, b, _each_set(batch.column(2), words), right):
+        for k, (x, y, s, t) in enumerate(zip(a, b, _each_set(batch.column(2), words), right)):
             both = np.intersect1d(s, t, assume_unique=True).size
             if 100 * both >= percent * (len(s) + len(t) - both) and node_of(s) == x and node_of(t) == y:
-                keep_a.append(x)
-                keep_b.append(y)
-        yield pa.RecordBatch.from_arrays([pa.array(keep_a, pa.int64()), pa.array(keep_b, pa.int64())], names=["a", "b"])
+                keep.append(k)
+        yield pa.RecordBatch.from_arrays([batch.column(4).take(pa.array(keep, pa.int64())), batch.column(5).take(pa.array(keep, pa.int64()))],
+                                         names=["a", "b"])
 
 
 def _each_set(column: pa.Array, words: int):
@@ -293,62 +296,115 @@ def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pairs = written(
         _ordered(led, "node", "np", "other", "other_np", (F.col("size") <= 3).cast("long").alias("short"))
         .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"), F.sum("short").alias("short")), "pairs")
-    tried = pairs.where(_enough(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b")
-    linked = _linked(docs, nodes, repeated, tried, words, percent)
+    tried = written(pairs.where(_enough(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b"), "tried")
+    linked = _linked(_texts(docs, nodes, tried, repeated), tried, words, percent, picked=True)
     groups = components(linked)
 
-    # Lists that still hold several groups: once more with several leaders each,
-    # since a set that misses one leader of its group seldom misses all.
-    labelled = (live.where("size > 3").select("h", "node", "np").distinct().join(groups, "node", "left")
+    # Lists that still hold several groups: rounds with several new leaders
+    # each, since a set that misses one leader of its group seldom misses all.
+    # The groups are named anew after every round, until one joins next to none.
+    labelled = (live.where("size > 3").select("h", "node", "np").join(small_side(groups, BROADCAST_ROWS), "node", "left")
                 .select("h", "node", "np", F.coalesce("component", "node").alias("group")))
-    mixed = _mixed(written(labelled, "labelled"))
-    lead = mixed.groupBy("h").agg(*[
-        F.min(F.struct(F.col("node").bitwiseXOR(F.lit(mask)).alias("key"), "node", "np", "group")).alias(f"l{k}")
-        for k, mask in enumerate(_MASKS)])
-    led = mixed.join(lead, "h").select("node", "np", "group", F.inline(F.filter(
-        F.array_distinct(F.array(*[f"l{k}" for k in range(len(_MASKS))])), lambda x: x["group"] != F.col("group")))
-        .alias("key", "other", "other_np", "other_group"))
-    led = (_ordered(led.where(_possible(F.col("np"), F.col("other_np"), percent)), "node", "np", "other", "other_np")
-           .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
-           .where(_enough(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b"))
-    again = written(led.exceptAll(tried), "tried")
-    merged = _merge(_linked(docs, nodes, repeated, again, words, percent), groups)
-
-    # What still differs is probed in blocks of one size band.
-    mixed = _mixed(written(mixed.withColumnRenamed("group", "component").join(merged, "component", "left")
-                           .select("h", "node", "np", F.coalesce("merged", "component").alias("group")), "relabelled"))
-    left = mixed.withColumn("band", F.floor(F.log(_n(F.col("np"))) / F.log(F.lit(100 / percent)) + 1e-9))
-    probe = left.select("h", F.col("node").alias("x"), F.col("np").alias("px"), F.col("group").alias("gx"), "band")
-    listed = left.select("h", F.col("node").alias("y"), F.col("np").alias("py"), F.col("group").alias("gy"),
-                         F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"))
-    met = probe.join(listed, ["h", "band"]).where(
-        (F.col("gx") != F.col("gy")) & _first(F.col("px"), F.col("py"), percent)
-        & (F.struct(_n(F.col("px")), F.col("x")) < F.struct(_n(F.col("py")), F.col("y"))))
-    # The first common shingle may also stand in a list too short to be probed.
-    grouped = left.select("node", "group").distinct()
-    short = (pairs.where((F.col("short") > 0) & ~_enough(F.col("c"), F.col("na"), F.col("nb"), percent))
-             .join(grouped.select(F.col("node").alias("a"), F.col("group").alias("ga")), "a")
-             .join(grouped.select(F.col("node").alias("b"), F.col("group").alias("gb")), "b")
-             .where("ga <> gb").select("a", "b", "na", "nb"))
-    met = written(_ordered(met, "x", "px", "y", "py").unionByName(short).distinct(), "met")
-    prefixes = left.groupBy("node").agg(F.collect_list("h").alias("hs"))
-    met = (met.join(prefixes.select(F.col("node").alias("a"), F.col("hs").alias("ha")), "a")
-           .join(prefixes.select(F.col("node").alias("b"), F.col("hs").alias("hb")), "b")
-           .select("a", "b", "na", "nb", F.size(F.array_intersect("ha", "hb")).alias("c"))
-           .join(pairs.select("a", "b", "short"), ["a", "b"], "left")
-           .where(_enough(F.col("c") + F.coalesce("short", F.lit(0)), F.col("na"), F.col("nb"), percent))
-           .select("a", "b").exceptAll(tried).exceptAll(again))
-    links = _linked(docs, nodes, repeated, written(met, "last"), words, percent)
-    last = _merge(links, groups, merged)
+    mixed = written(_mixed(written(labelled, "labelled")).distinct(), "mixed")
+    universe = mixed.select(F.col("group").alias("component"), F.col("group").alias("root")).distinct()
+    universe = universe.union(groups.select("component", F.col("component").alias("root"))).distinct()
+    pool = _texts(docs, nodes, mixed.select(F.col("node").alias("a"), F.col("node").alias("b")), repeated)
+    many, turn = mixed.select("group").distinct().count(), 0
+    while many > 1:
+        lead = mixed.groupBy("h").agg(*[
+            F.min(F.struct(F.col("node").bitwiseXOR(F.lit(mask)).alias("key"), "node", "np", "group")).alias(f"l{k}")
+            for k, mask in enumerate(_masks(turn))])
+        led = mixed.join(lead, "h").select("node", "np", "group", F.inline(F.filter(
+            F.array_distinct(F.array(*[f"l{k}" for k in range(LEADERS)])), lambda x: x["group"] != F.col("group")))
+            .alias("key", "other", "other_np", "other_group"))
+        led = led.where(_possible(F.col("np"), F.col("other_np"), percent))
+        # A pair of sets always has the same groups, so either order of them does.
+        named = [F.least("group", "other_group").alias("ga"), F.greatest("group", "other_group").alias("gb")]
+        led = (_ordered(led, "node", "np", "other", "other_np", *named)
+               .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"), F.min("ga").alias("ga"), F.min("gb").alias("gb"))
+               .where(_enough(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b", "ga", "gb"))
+        again = written(led.join(tried, ["a", "b"], "left_anti"), "again")
+        tried = tried.unionByName(again.select("a", "b"))
+        links = _linked(pool, again, words, percent)
+        joined = links.count()
+        if joined:
+            merged = _merged(links)
+            universe = _renamed(universe, merged, "root")
+            mixed = written(_mixed(written(_renamed(mixed, merged, "group"), "relabelled")), "mixed")
+        turn += 1
+        if joined * 20 < many:
+            break
+        many = mixed.select("group").distinct().count()
+
+    met = written(_probe(mixed, pairs, percent).join(tried, ["a", "b"], "left_anti"), "met")
+    # Of every pair of groups a few pairs of sets at a time, more each time: what
+    # these join needs no further answers.
+    some = 2
+    while not met.isEmpty():
+        among = Window.partitionBy("ga", "gb").orderBy(F.xxhash64("a", "b"), "a", "b")
+        ranked = written(met.withColumn("rank", F.row_number().over(among)), "ranked")
+        links = _linked(pool, ranked.where(F.col("rank") <= some).drop("rank"), words, percent)
+        met = ranked.where(F.col("rank") > some).drop("rank")
+        if not links.isEmpty():
+            merged = _merged(links)
+            universe = _renamed(universe, merged, "root")
+            met = _renamed(_renamed(met, merged, "ga"), merged, "gb").where("ga <> gb").select(
+                "a", "b", F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb"))
+        met, some = written(met, "left"), some * 16
 
     # Smallest document id of every group, then back to the documents.
-    rooted = written(_rooted(nodes, groups, merged, last), "rooted")
+    rooted = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rooted = written(rooted.join(universe, "component", "left").select("node", "rep", F.coalesce("root", "component").alias("root")), "rooted")
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = rooted.join(written(smallest, "smallest"), "root").select("node", "root", "component_id")
     return sig.join(named, "node", "left").select(
         "doc_id", "key", F.col("n").alias("n_shingles"), "root", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _probe(mixed: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, ga, gb) of sets of different groups that may link and that
+    no leader has answered.
+
+    Sets are dealt by list and size band.  A set is entered only where a first
+    common shingle with a set of that band can stand: as the smaller one in its
+    own band, up to the position that leaves the overlap two sets of its size
+    need; as the larger one in each lower band, up to the position that leaves
+    the overlap with the band's least size.  All other entries are skipped
+    before the join.
+    """
+    step = (100 / percent) ** (1 / BANDS)
+    n, at = _n(F.col("np")), _pos(F.col("np"))
+    banded = mixed.withColumn("band", F.floor(F.log(n) / F.log(F.lit(step)) + 1e-9))
+    probe = banded.where((n - at) * (100 + percent) >= 2 * n * percent).select(
+        "h", F.col("node").alias("x"), F.col("np").alias("px"), F.col("group").alias("gx"), "band")
+    bands = F.filter(F.sequence(F.col("band") - BANDS - 1, F.col("band")), lambda b: (n - at) * (100 + percent) >= (
+        n + F.ceil(F.pow(F.lit(step), b) - 1e-6)) * percent)
+    listed = banded.select("h", F.col("node").alias("y"), F.col("np").alias("py"), F.col("group").alias("gy"), F.explode(bands).alias("band"))
+    met = probe.join(listed, ["h", "band"]).where(
+        (F.col("gx") != F.col("gy")) & _first(F.col("px"), F.col("py"), percent)
+        & (F.struct(_n(F.col("px")), F.col("x")) < F.struct(_n(F.col("py")), F.col("y"))))
+    named = [F.least("gx", "gy").alias("ga"), F.greatest("gx", "gy").alias("gb")]
+    # The first common shingle may also stand in a list too short to be probed.
+    grouped = mixed.select("node", "group").distinct()
+    short = (pairs.where((F.col("short") > 0) & ~_enough(F.col("c"), F.col("na"), F.col("nb"), percent))
+             .join(grouped.select(F.col("node").alias("a"), F.col("group").alias("gx")), "a")
+             .join(grouped.select(F.col("node").alias("b"), F.col("group").alias("gy")), "b")
+             .where("gx <> gy").select("a", "b", "na", "nb", *named))
+    met = written(_ordered(met, "x", "px", "y", "py", *named).unionByName(short).distinct(), "met")
+    prefixes = mixed.groupBy("node").agg(F.collect_list("h").alias("hs"))
+    return (met.join(prefixes.select(F.col("node").alias("a"), F.col("hs").alias("ha")), "a")
+            .join(prefixes.select(F.col("node").alias("b"), F.col("hs").alias("hb")), "b")
+            .select("a", "b", "na", "nb", "ga", "gb", F.size(F.array_intersect("ha", "hb")).alias("c"))
+            .join(pairs.select("a", "b", "short"), ["a", "b"], "left")
+            .where(_enough(F.col("c") + F.coalesce("short", F.lit(0)), F.col("na"), F.col("nb"), percent))
+            .select("a", "b", "ga", "gb"))
+
+
+def _masks(turn: int) -> list[int]:
+    """Each mask orders the sets of a list anew; the first in each order leads."""
+    return [((turn * LEADERS + k) * 0x1F83D9ABFB41BD6B + 0x3C6EF372FE94F82B) % (1 << 63) for k in range(LEADERS)]
+
+
 def _ordered(df: DataFrame, x: str, px: str, y: str, py: str, *more) -> DataFrame:
     """Pairs as (a, b, na, nb) with a < b."""
     low = F.col(x) < F.col(y)
@@ -358,36 +414,43 @@ def _ordered(df: DataFrame, x: str, px: str, y: str, py: str, *more) -> DataFram
 
 
 def _mixed(lists: DataFrame) -> DataFrame:
-    """The entries of the lists that hold more than one group."""
-    several = (lists.groupBy("h").agg(F.min("group").alias("g1"), F.max("group").alias("g2"))
-               .where("g1 <> g2").select("h"))
-    return lists.join(several, "h")
-
-
-def _rooted(nodes: DataFrame, groups: DataFrame, *merges: DataFrame) -> DataFrame:
-    """``nodes`` with the column root: its group after all merges of groups."""
-    out = nodes.join(groups, "node", "left").withColumn("root", F.coalesce("component", "node")).drop("component")
-    for m in merges:
-        out = (out.join(m.withColumnRenamed("component", "root"), "root", "left")
-               .withColumn("root", F.coalesce("merged", "root")).drop("merged"))
-    return out
+    """The entries of the (written) lists that hold more than one group."""
+    several = written(lists.groupBy("h").agg(F.min("group").alias("g1"), F.max("group").alias("g2"))
+                      .where("g1 <> g2").select("h"), "several")
+    return lists.join(small_side(several, BROADCAST_ROWS), "h")
+
+
+def _merged(links: DataFrame) -> DataFrame:
+    """Groups that ``links(ga, gb)`` joins, as (component, merged)."""
+    return components(links.select(F.col("ga").alias("a"), F.col("gb").alias("b"))).select(
+        F.col("node").alias("component"), F.col("component").alias("merged"))
 
 
-def _merge(links: DataFrame, groups: DataFrame, *merges: DataFrame) -> DataFrame:
-    """Groups that ``links(a, b)`` joins, as (component, merged)."""
-    left = _rooted(links.withColumnRenamed("a", "node"), groups, *merges).select("b", F.col("root").alias("a"))
-    both = _rooted(left.withColumnRenamed("b", "node"), groups, *merges).select("a", F.col("root").alias("b"))
-    return components(both).select(F.col("node").alias("component"), F.col("component").alias("merged"))
+def _renamed(df: DataFrame, merged: DataFrame, column: str) -> DataFrame:
+    """``df`` with the groups in ``column`` under their new names."""
+    return (df.join(small_side(merged.withColumnRenamed("component", column), BROADCAST_ROWS), column, "left")
+            .withColumn(column, F.coalesce("merged", column)).select(*df.columns))
 
 
-def _linked(docs: DataFrame, nodes: DataFrame, repeated: bool, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The ``pairs(a, b)`` of nodes that reach the similarity, on whole sets.
-    Only where rows are ``repeated`` can a key fetch a text several times."""
+def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, repeated: bool) -> DataFrame:
+    """(node, text) of the nodes in ``pairs(a, b)``.  Only where rows are
+    ``repeated`` can a key fetch a text several times."""
     used = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
                    .join(nodes.select("node", "key"), "node"), "candidates")
     texts = docs.join(small_side(used, BROADCAST_ROWS), "key").select("node", "text")
-    texts = texts.dropDuplicates(["node"]) if repeated else texts
-    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    return written(texts.dropDuplicates(["node"]) if repeated else texts, "texts")
+
+
+def _linked(texts: DataFrame, pairs: DataFrame, words: int, percent: int, picked: bool = False) -> DataFrame:
+    """Of ``pairs(a, b, ...)`` of nodes those that reach the similarity, on whole
+    sets: their groups (ga, gb), or a and b where pairs name none.  ``picked``:
+    texts holds no others."""
+    groups = ["ga", "gb"] if "ga" in pairs.columns else ["a", "b"]
+    if not picked:
+        used = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "used")
+        texts = texts.join(small_side(used, BROADCAST_ROWS), "node", "leftsemi")
+    both = (pairs.select("a", "b", *[F.col(c).alias(f"g{k}") for k, c in enumerate(groups)])
+            .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-            .select("a", "b", "text_a", "text_b"))
-    return written(both.mapInArrow(lambda it: _verify(it, words, percent), "a long, b long").distinct(), "links")
+            .select("a", "b", "text_a", "text_b", "g0", "g1"))
+    return written(both.mapInArrow(lambda it: _verify(it, words, percent), f"{groups[0]} long, {groups[1]} long").distinct(), "links")

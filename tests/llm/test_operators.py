@@ -396,3 +396,40 @@ def test_words_are_the_same_in_stretches_of_any_length(monkeypatch):
             cut = common.hash_words(data, starts, common.SPACE_TABLE)
             monkeypatch.undo()
             assert all(np.array_equal(a, b) for a, b in zip(whole, cut))
+
+
+def test_jaccard_verifies_in_proportion(spark, monkeypatch):
+    """One group of near copies at two sizes: no more than a few pairs a document are fetched and verified."""
+    counts, plain = [], ngram_jaccard._linked
+
+    def counted(texts, pairs, *rest, **more):
+        counts[-1] += pairs.count()
+        return plain(texts, pairs, *rest, **more)
+
+    monkeypatch.setattr(ngram_jaccard, "_linked", counted)
+    base = words(60, 5, 10 ** 6)
+    for n in (200, 600):
+        rng, rows = random.Random(n), []
+        for k in range(n):
+            copy = list(base)
+            for at in rng.sample(range(60), rng.randrange(1, 5)):
+                copy[at] = f"e{k}x{at}"
+            rows.append((k, " ".join(copy), "en", "s"))
+        rows += [(10 ** 6 + k, " ".join(words(60, 1000 + k, 10 ** 6)), "en", "s") for k in range(n)]
+        counts.append(0)
+        got = {r.doc_id: r.component_id for r in ngram_jaccard.jaccard_groups(docs(spark, rows)).collect()}
+        sets, parent = [shingles(t) for _, t, _, _ in rows[:n]], list(range(n))
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for i in range(n):
+            for j in range(i):
+                both = len(sets[i] & sets[j])
+                if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                    a, b = sorted((root(i), root(j)))
+                    parent[b] = a
+        assert all(got[k] == root(k) for k in range(n)) and all(got[k] == k for k in got if k >= n)
+    assert counts[0] <= 6 * 200 and counts[1] <= 6 * 600, counts
