@@ -18,7 +18,7 @@ from stratus.operators import rollup
 from stratus.operators.clean import clean_observations, decoded_to_observations
 from stratus.plans.decode_job import run_decode
 from stratus.schemas import DECODED_SCHEMA
-from stratus.session import checkpoint_dir, scratch_path
+from stratus.session import checkpoint_dir, job, scratch_path, track
 from stratus.sinks import write_result_csv
 from stratus.sources.observations import read_observations
 
@@ -39,7 +39,7 @@ def materialize(df: DataFrame, mode: str = "parquet", name: str = "clean") -> Da
         checkpoint_dir(spark)
         return df.checkpoint(eager=True)
     if mode == "cache":
-        return df.persist()
+        return track(df.persist())
     return df
 
 
@@ -73,9 +73,19 @@ def results(clean: DataFrame, materialize_mode: str = "parquet") -> dict[str, Da
 
 
 def run_analysis(spark: SparkSession, folder: str, out_dir: str | None = None,
-                 materialize_mode: str = "parquet") -> dict[str, DataFrame]:
+                 materialize_mode: str = "parquet", release: bool = False) -> dict[str, DataFrame]:
     """Read, clean, materialise, compute and (optionally) write every result
-    as CSV under ``out_dir/<name>``.  Returns the result frames."""
+    as CSV under ``out_dir/<name>``.  Returns the result frames.  With
+    ``release`` what the job put aside is removed once the results are written,
+    and the frames read the written results."""
+    if release:
+        if not out_dir:
+            raise ValueError("release needs out_dir: the results are read from there")
+        with job(spark):
+            out = run_analysis(spark, folder, out_dir, materialize_mode)
+            schemas = {name: df.schema for name, df in out.items()}
+        return {name: spark.read.schema(schema).option("header", True).option("escape", '"').csv(f"{out_dir.rstrip('/')}/{name}")
+                for name, schema in schemas.items()}
     obs = read_observations(spark, folder)
     clean = materialize(clean_observations(obs), materialize_mode)
     return write_results(results(clean, materialize_mode), out_dir)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings every job relies on.  Adaptive execution re-plans joins and
 # coalesces small shuffle partitions at run time; skew handling splits hot keys.
@@ -76,11 +79,71 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+class Job:
+    """What a job has put aside: scratch tables and persisted frames."""
+
+    def __init__(self, spark: SparkSession, outer: Job | None):
+        self.spark, self.outer = spark, outer
+        self.paths: list[str] = []
+        self.frames: list[DataFrame] = []
+
+    def hand_over(self) -> None:
+        """The table written last outlives this job: it passes to the job
+        around it, or to nobody."""
+        if self.paths:
+            path = self.paths.pop()
+            if self.outer:
+                self.outer.paths.append(path)
+
+    def release(self) -> None:
+        for df in self.frames:
+            df.unpersist()
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        self.frames, self.paths = [], []
+
+
+_JOB: contextvars.ContextVar[Job | None] = contextvars.ContextVar("stratus_job", default=None)
+
+
+@contextlib.contextmanager
+def job(spark: SparkSession) -> Iterator[Job]:
+    """A scope at whose end the scratch tables written and the frames persisted
+    inside are removed.  Frames that read them end with it: write or collect
+    results inside.  Outside any scope nothing is removed."""
+    here = Job(spark, _JOB.get())
+    token = _JOB.set(here)
+    try:
+        yield here
+    finally:
+        _JOB.reset(token)
+        here.release()
+
+
+def track(df: DataFrame) -> DataFrame:
+    """A persisted frame, released with the job around it."""
+    if _JOB.get():
+        _JOB.get().frames.append(df)
+    return df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written
-    intermediate table."""
+    intermediate table; removed with the job around it, if there is one."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/stratus/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/stratus/{name}-{uuid.uuid4().hex}"
+    if _JOB.get():
+        _JOB.get().paths.append(path)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a scratch table and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df, partitions: int | None):

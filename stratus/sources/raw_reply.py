@@ -56,8 +56,13 @@ def parse_replies(lines: DataFrame, stations=None, station_pattern: str | None =
     ``lines`` has ``reply line_order line`` (see ``read_reply_lines``);
     ``line_order`` is numeric and orders the lines of a reply.  The
     requested station is ``stations`` (one id or a list; rows must match one)
-    or the first group of ``station_pattern`` applied to the reply name.
+    or the first group of ``station_pattern`` applied to the reply name.  With
+    both, only replies named after one of ``stations`` are looked at: the reply
+    is a file's path, so other files are not opened.
     """
+    if stations is not None and station_pattern is not None:
+        wanted = [stations] if isinstance(stations, str) else list(stations)
+        lines = lines.where(F.regexp_extract(F.col("reply"), station_pattern, 1).isin(wanted))
     nonblank = strip_ws(F.col("line")) != ""
     # per reply: order of the first line and of the first non-blank line
     # (numeric minima: a hash aggregation with map-side combine) ...

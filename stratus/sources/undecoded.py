@@ -5,6 +5,9 @@
   later (lenient parse);
 * ``"`` quoting with doubled quotes; malformed UTF-8 replaced; blank lines
   skipped;
+* a quoted value may hold line breaks, also where a file is read in several
+  splits (see ``_records``); a quote that no later line closes reaches to the
+  end of its own line;
 * separator per file: ``sep='auto'`` picks, among ``, ; TAB |``, the one
   that occurs most in the first 4,096 characters of the file (ties go to the
   first in that order).
@@ -12,14 +15,12 @@
 
 from __future__ import annotations
 
-import csv
 import re
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratus.functions.scalars import csv_fields, last_index, strip_ws
+from stratus.functions.scalars import _c, csv_fields, last_index, strip_ws
 from stratus.schemas import RAW_COLUMNS
 from stratus.session import fence, scratch_path
 
@@ -60,35 +61,33 @@ def detect_separators(spark: SparkSession, path: str) -> DataFrame:
     return counts.select("file_path", choice.alias("sep"), "header")
 
 
-def first_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file_path header``: every file's first non-blank line, in one pass.
-    Only the first split of a file can hold it unless that split is blank."""
+def first_lines(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """``file_path header opens``: every file's first non-blank line and whether
+    a line of it leaves a quote open, in one pass."""
     lines = (spark.read.text(path).where(strip_ws(F.col("value")) != "")
              .select(F.col("_metadata.file_path").alias("file_path"), "value",
                      F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")))
-    return lines.groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+    return lines.groupBy("file_path").agg(F.min_by("value", "at").alias("header"), F.max(_opens("value", sep)).alias("opens"))
 
 
-def _pick(names: list[str], name: str) -> F.Column:
-    """The last column of that upper-case, else lower-case, name."""
-    for candidate in (name.upper(), name.lower()):
-        if candidate in names:
-            at = len(names) - 1 - names[::-1].index(candidate)
-            return strip_ws(F.coalesce(F.col(f"c{at}"), F.lit("")))
-    return F.lit("")
-
-
-def _as_path(file_path: str) -> str:
-    """A file's metadata path as a path to read: percent-decoded, with the
-    characters that a glob would take as its own escaped."""
-    return re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(file_path))
+def _opens(line, sep: str) -> Column:
+    """Whether a line that starts outside quotes ends inside: after fields that
+    are closed (quoted, or not starting with a quote) comes one that is not."""
+    c, e = _c(line), re.escape(sep)
+    field = rf'(?:"(?:[^"]++|"")*+"[^{e}]*+|[^"{e}][^{e}]*+)?+'
+    return c.contains('"') & F.regexp_like(c, F.lit(rf'^(?:{field}{e})*+"(?:[^"]++|"")*+$'))
 
 
 def _heads(spark: SparkSession, path: str, sep: str) -> DataFrame:
-    """``file_path sep header`` of every file under ``path``."""
-    if sep == "auto":
-        return detect_separators(spark, path)
-    return first_lines(spark, path).withColumn("sep", F.lit(sep))
+    """``file_path sep header opens`` of every file under ``path``."""
+    if sep != "auto":
+        return first_lines(spark, path, sep).withColumn("sep", F.lit(sep))
+    opens = (spark.read.text(path).where(F.col("value").contains('"'))
+             .groupBy(F.col("_metadata.file_path").alias("file_path"))
+             .agg(F.array(*[F.max(_opens("value", s)) for s in SEPARATORS]).alias("by_sep")))
+    at = F.array_position(F.array(*map(F.lit, SEPARATORS)), F.col("sep")).cast("int")
+    return (detect_separators(spark, path).join(opens, "file_path", "left")
+            .select("file_path", "sep", "header", F.coalesce(F.try_element_at("by_sep", at), F.lit(False)).alias("opens")))
 
 
 def _by_separator(line: str, sep: str):
@@ -107,7 +106,7 @@ def _layouts(spark: SparkSession, path: str, sep: str) -> DataFrame:
     heads = fence(_heads(spark, path, sep).withColumn("names", names), ["names"])
     at = [(F.coalesce(last_index(F.col("names"), c.upper()), last_index(F.col("names"), c.lower())) + 1)
           .alias(f"at_{c}") for c in RAW_COLUMNS]
-    return heads.select("file_path", "sep", *at)
+    return heads.select("file_path", "sep", "opens", *at)
 
 
 def _data_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -119,52 +118,111 @@ def _data_lines(spark: SparkSession, path: str) -> DataFrame:
             .csv(path).select("line", F.col("_metadata.file_path").alias("file_path")))
 
 
-def _read_lines(spark: SparkSession, path: str, sep: str) -> DataFrame:
+def _walk(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """``df`` with ``before`` and ``after``: whether a quote is open there, as
+    far as it is known inside a group, and ``flips`` to add to what is not.
+
+    Column ``fixed`` is the state a row leaves behind whatever came before it
+    (null if that matters) and ``flip`` whether it then turns the state round.
+    States compose: the last fixed one, turned by the flips after it.
+    """
+    upto = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("turned", F.sum("flip").over(upto))
+    df = df.withColumn("base", F.when(F.col("fixed").isNotNull(), (F.col("fixed") + F.col("turned")) % 2))
+    return df.select("*", F.last("base", True).over(ahead).alias("base_before"), F.last("base", True).over(upto).alias("base_after"),
+                     (F.col("turned") - F.col("flip")).alias("turned_before"))
+
+
+def _records(spark: SparkSession, path: str, layouts: DataFrame) -> DataFrame:
+    """``file_path line`` of the files in which some line leaves a quote open:
+    lines, and the lines of a record that a quoted line break parts joined again.
+
+    Whether a line starts inside quotes depends on all lines before it in the
+    file.  Every split is walked by one task, as a function of the state it
+    starts in; the splits of a file, one row each, are then put in order, which
+    gives every split its state and the record that reaches into it.  Only lines
+    of parted records are brought together.
+    """
+    lines = (spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("pos"), F.make_valid_utf8("value").alias("line"))
+        .join(layouts.where("opens").select("file_path", "sep"), "file_path"))
+    outside, inside = F.lit(False), F.lit(False)
+    for s in SEPARATORS:
+        mine = F.col("sep") == s
+        outside = F.when(mine, _opens("line", s)).otherwise(outside)
+        inside = F.when(mine, _opens(F.concat(F.lit('"'), "line"), s)).otherwise(inside)
+    lines = lines.select("file_path", "split", "pos", "line", outside.alias("out"), inside.alias("in"))
+    lines = lines.select("*", F.when(F.col("out") == F.col("in"), F.col("out").cast("int")).alias("fixed"),
+                         (F.col("out") & ~F.col("in")).cast("int").alias("flip"))
+    walked = _walk(lines, ["file_path", "split"], "pos")
+
+    # One row a split: what it makes of the state it starts in.
+    ends = walked.groupBy("file_path", "split").agg(F.max_by(F.struct("base_after", "turned"), "pos").alias("end"))
+    ends = ends.select("file_path", "split", ((F.col("end.base_after") + F.col("end.turned")) % 2).alias("fixed"),
+                       F.when(F.col("end.base_after").isNull(), F.col("end.turned") % 2).otherwise(0).alias("flip"))
+    ends = _walk(ends, ["file_path"], "split")
+    state = F.coalesce("base_before", F.lit(0)) + F.col("turned_before")
+    last = (F.coalesce("base_after", F.lit(0)) + F.col("turned")) % 2
+    starts = ends.select("file_path", "split", (state % 2).alias("at_start"),
+                         F.max_by(last, "split").over(Window.partitionBy("file_path")).alias("left_open"))
+
+    lines = walked.join(starts, ["file_path", "split"])
+    before = (F.coalesce("base_before", "at_start") + F.col("turned_before")) % 2 == 1
+    at = F.struct("split", "pos")
+    lines = lines.select("file_path", "split", "pos", "line", "left_open", before.alias("before"),
+                         F.when(before, F.col("in")).otherwise(F.col("out")).alias("after"),
+                         F.when(~before, at).alias("start"))
+    here = Window.partitionBy("file_path", "split").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumn("record", F.last("start", True).over(here))
+    reach = lines.groupBy("file_path", "split").agg(F.max("start").alias("latest"), F.min(F.when(strip_ws(F.col("line")) != "", at)).alias("first"))
+    by_split = Window.partitionBy("file_path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("file_path")
+    reach = reach.select("file_path", "split", F.last("latest", True).over(by_split).alias("carried"),
+                         F.max("latest").over(whole).alias("last"), F.min("first").over(whole).alias("header"))
+    lines = lines.join(reach, ["file_path", "split"]).withColumn("record", F.coalesce("record", "carried"))
+    never = (F.col("left_open") == 1) & (F.col("record") == F.col("last"))
+    lines = lines.withColumn("parted", (F.col("before") | F.col("after")) & ~never)
+    alone = lines.where("not parted").where(strip_ws(F.col("line")) != "").where(at != F.col("header")).select("file_path", "line")
+    joined = (lines.where("parted and record <> header").groupBy("file_path", "record")
+              .agg(F.array_sort(F.collect_list(F.struct("split", "pos", "line"))).alias("parts"))
+              .select("file_path", F.array_join(F.col("parts.line"), "\n").alias("line")))
+    return alone.unionByName(joined)
+
+
+def _read(spark: SparkSession, path: str, sep: str, multiline: bool) -> DataFrame:
     """One scan of the lines, joined to the small table of layouts.  That table
     is written first (one narrow row per file), so Spark knows its size when it
-    chooses the join and the lines are not shuffled while it is small."""
+    chooses the join and the lines are not shuffled while it is small.  Files in
+    which a line leaves a quote open are put together from records."""
     where = scratch_path(spark, "layouts")
-    layouts = _layouts(spark, path, sep)
-    layouts.write.parquet(where)
-    rows = _data_lines(spark, path).join(spark.read.schema(layouts.schema).parquet(where), "file_path")
+    made = _layouts(spark, path, sep)
+    made.write.parquet(where)
+    layouts = spark.read.schema(made.schema).parquet(where)
+    names = layouts.drop("opens")
+    if multiline and not layouts.where("opens").isEmpty():
+        rows = _data_lines(spark, path).join(layouts.where("not opens").drop("opens"), "file_path").unionByName(
+            _records(spark, path, layouts).join(names, "file_path").select("file_path", "line", *names.columns[1:]))
+    else:
+        rows = _data_lines(spark, path).join(names, "file_path")
     rows = fence(rows.withColumn("fields", _by_separator("line", sep)), ["fields"])
     return rows.select(*[strip_ws(F.coalesce(F.try_element_at("fields", F.col(f"at_{c}")), F.lit(""))).alias(c)
                          for c in RAW_COLUMNS], "file_path")
 
 
-def _read_records(spark: SparkSession, path: str, sep: str) -> DataFrame:
-    """Files whose quoted values hold line breaks: one task reads a file, and
-    files of one separator and header are read together, by position."""
-    groups = {}
-    for row in _heads(spark, path, sep).collect():
-        groups.setdefault((row["sep"], row["header"]), []).append(_as_path(row["file_path"]))
-    out = spark.createDataFrame([], ", ".join(f"{c} STRING" for c in [*RAW_COLUMNS, "file_path"]))
-    for (s, header), files in groups.items():
-        names = next(csv.reader([header or ""], delimiter=s), [])
-        names = [n.lstrip("\ufeff") if k == 0 else n for k, n in enumerate(names)]
-        df = (spark.read.schema(", ".join(f"c{k} STRING" for k in range(max(1, len(names)))))
-              .option("header", True).option("enforceSchema", True).option("sep", s).option("quote", '"')
-              .option("escape", '"').option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-              .option("multiLine", True).csv(files))
-        out = out.unionByName(df.select(*[_pick(names, c).alias(c) for c in RAW_COLUMNS],
-                                        F.col("_metadata.file_path").alias("file_path")))
-    return out
-
-
 def read_undecoded_csv(spark: SparkSession, path, sep: str = "auto",
-                       keep_file: bool = False, multiline: bool = False) -> DataFrame:
+                       keep_file: bool = False, multiline: bool = True) -> DataFrame:
     """The raw report table from one or more CSV files (all strings).
 
     The header, a file's first non-blank line, names its columns; separator
     (detected with ``sep='auto'`` only) and column positions are found per file
     and joined to the lines, so files of any layouts are read by one scan.
-    ``multiline=True`` lets quoted values hold line breaks; a file is then read
-    by one task, and the list of files (path, separator, header) passes through
-    the driver, which holds the file listing anyway.
+    Quoted values may hold line breaks, read as newlines; with
+    ``multiline=False`` every line is a record.
     """
-    read = _read_records if multiline else _read_lines
     paths = [path] if isinstance(path, str) else list(path)
-    out = read(spark, paths[0], sep)
+    out = _read(spark, paths[0], sep, multiline)
     for p in paths[1:]:
-        out = out.unionByName(read(spark, p, sep))
+        out = out.unionByName(_read(spark, p, sep, multiline))
     return out if keep_file else out.drop("file_path")

@@ -227,8 +227,49 @@ def test_undecoded_quoted_line_break(spark, tmp_dir):
 
     with open(os.path.join(tmp_dir, "q.csv"), "w") as f:
         f.write('WMOIND,YEAR,MONTH,DAY,HOUR,MIN,REPORT\n1,2024,1,1,0,0,"R1\nR2="\n2,2024,1,1,0,0,R3=\n')
-    got = read_undecoded_csv(spark, os.path.join(tmp_dir, "q.csv"), sep=",", multiline=True).collect()
-    assert [(r.WMOIND, r.REPORT) for r in got] == [("1", "R1\nR2="), ("2", "R3=")]
+    got = read_undecoded_csv(spark, os.path.join(tmp_dir, "q.csv"), sep=",").collect()
+    assert {(r.WMOIND, r.REPORT) for r in got} == {("1", "R1\nR2="), ("2", "R3=")}
+
+
+def test_quoted_line_breaks_over_splits(spark, tmp_dir):
+    """Files of several separators in splits of a few bytes against the csv
+    module: quoted breaks, doubled quotes, quotes inside plain values, blank
+    lines, and a quote that is never closed."""
+    import collections
+    import csv
+    import random
+
+    from stratus.schemas import RAW_COLUMNS
+    from stratus.sources.undecoded import read_undecoded_csv
+
+    rng, want = random.Random(4), collections.Counter()
+    for k, sep in enumerate([",", ";", "\t", "|", ",", ","]):
+        rows = [[str(1000 * k + i), "2024", "1", "2", "3", "4", rng.choice([
+            "plain", 'in"side', '5" and 6"', "", 'say ""x""', f"a{sep}b", "one\ntwo", 'x\n"q"\ny', "m\n\n\nn", f'"{sep}\n', "\n\n"])]
+                for i in range(60)]
+        path = os.path.join(tmp_dir, f"f{k}.csv")
+        with open(path, "w", newline="") as f:
+            f.write(sep.join(RAW_COLUMNS) + "\n\n")
+            for r in rows:
+                cell = r[6]
+                quoted = any(c in cell for c in (sep, "\n")) or cell.startswith('"')
+                f.write(sep.join(r[:6] + ['"' + cell.replace('"', '""') + '"' if quoted else cell]) + "\n")
+            if k == 5:
+                f.write('9,2024,1,2,3,4,"open\n10,2024,1,2,3,4,next\n')
+        if k < 5:
+            with open(path, newline="") as f:
+                read = [r for r in csv.reader(f, delimiter=sep) if r][1:]
+        else:
+            read = rows + [["9", "2024", "1", "2", "3", "4", "open"], ["10", "2024", "1", "2", "3", "4", "next"]]
+        want.update(tuple(x.strip(" \t\n\v\f\r") for x in r) for r in read)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "150b")
+    try:
+        assert spark.read.text(os.path.join(tmp_dir, "f0.csv")).rdd.getNumPartitions() > 8
+        got = read_undecoded_csv(spark, os.path.join(tmp_dir, "*.csv"))
+        assert collections.Counter(map(tuple, got.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_station_numbers(spark):
@@ -263,3 +304,38 @@ def test_raw_files_to_results(spark, tmp_dir):
     out = analyse_decoded(spark, decoded, "station_id", out_dir=os.path.join(tmp_dir, "out"))
     assert [(r.location, r.total_rain_mm) for r in sorted(out["total_rain"].collect())] == [("98444", 2.0), ("98446", 2.0)]
     assert out["rows_after_cleaning"].first().rows == 4 and len(os.listdir(os.path.join(tmp_dir, "out"))) == len(out)
+
+
+def test_release(spark, tmp_dir):
+    """A scope removes the scratch tables and the persisted frames inside it, but what is handed over."""
+    from stratus.plans.analysis_job import materialize
+    from stratus.session import checkpoint_dir, job, stored
+
+    scratch = os.path.join(checkpoint_dir(spark).replace("file:", ""), "stratus")
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    with job(spark):
+        with job(spark) as inner:
+            gone = stored(spark.range(3), "gone")
+            kept = stored(gone, "kept")
+            held = materialize(spark.range(5), "cache")
+            assert held.count() == 5 and held.is_cached
+            inner.hand_over()
+        assert kept.count() == 3 and not held.is_cached
+        assert {n.split("-")[0] for n in set(os.listdir(scratch)) - before} == {"kept"}
+    assert set(os.listdir(scratch)) == before
+
+
+def test_run_analysis_releases(spark, tmp_dir):
+    from stratus.session import checkpoint_dir
+
+    d = os.path.join(tmp_dir, "obs")
+    for place in "AB":
+        write(d, f"Decoded{place}.csv", OBS_HEADER + "".join(
+            f"98444,2024-0{m}-0{k} 06:00:00,1,2,{20 + k}.5,1010,{60 + m},{k}.0,90,4,10000,0.5\n" for m in (1, 2) for k in range(1, 8)))
+    plain = run_analysis(spark, d)
+    scratch = os.path.join(checkpoint_dir(spark).replace("file:", ""), "stratus")
+    before = set(os.listdir(scratch))
+    released = run_analysis(spark, d, out_dir=os.path.join(tmp_dir, "out"), release=True)
+    assert set(os.listdir(scratch)) == before
+    for name in plain:
+        assert sorted(map(str, plain[name].collect())) == sorted(map(str, released[name].collect())), name
