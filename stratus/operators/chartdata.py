@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stratus.functions import codes
 from stratus.operators.clean import wind_and_temperature_in_range
+from stratus.session import stored
 
 
 def wind_temperature_bins(df: DataFrame) -> DataFrame:
@@ -92,22 +93,35 @@ def monthly_ranges(monthly: DataFrame) -> DataFrame:
                  (lo - codes.FILL_BELOW).alias("fill_floor")))
 
 
+def global_places(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` with every row's place (from 1) in the order of the whole table.
+    Rows are dealt into ranges and counted per range, one small row each; a
+    place is the rows of earlier ranges and the place in its own."""
+    dealt = stored(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges")
+    before, ahead = 0, []
+    for r in sorted(dealt.groupBy("__range").count().collect()):  # as many rows as ranges
+        ahead.append((r[0], before))
+        before += r[1]
+    starts = F.broadcast(df.sparkSession.createDataFrame(ahead, "__range int, __before long"))
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    return (dealt.withColumn(name, inside).join(starts, "__range")
+            .withColumn(name, (F.col(name) + F.col("__before")).cast("int")).drop("__range", "__before"))
+
+
 def humidity_ranks(humidity: DataFrame) -> DataFrame:
     """Rank 1 = most humid (NULL last, ties by location), and the bar colour:
     bars are coloured by their position in ascending-humidity order."""
-    w = Window.orderBy(F.col("avg_humidity").desc_nulls_last(), F.col("location"))
-    up = Window.orderBy(F.col("avg_humidity").asc_nulls_last(), F.col("location"))
+    ranked = global_places(humidity, [F.col("avg_humidity").desc_nulls_last(), F.col("location")], "rank")
+    placed = global_places(ranked, [F.col("avg_humidity").asc_nulls_last(), F.col("location")], "__up")
     colours = F.array(*[F.lit(c) for c in codes.PALETTE])
-    slot = (F.row_number().over(up) - 1) % len(codes.PALETTE)
-    return (humidity.withColumn("rank", F.row_number().over(w))
-            .withColumn("bar_colour", F.element_at(colours, (slot + 1).cast("int"))))
+    slot = (F.col("__up") - 1) % len(codes.PALETTE)
+    return placed.withColumn("bar_colour", F.element_at(colours, (slot + 1).cast("int"))).drop("__up")
 
 
 def palette_slots(locations: DataFrame) -> DataFrame:
     """Palette index (sorted position mod 8) and colour of each location."""
-    w = Window.orderBy("location")
     colours = F.array(*[F.lit(c) for c in codes.PALETTE])
     n = len(codes.PALETTE)
-    return (locations.select("location").distinct()
-            .withColumn("palette_index", (F.dense_rank().over(w) - 1) % n)
+    placed = global_places(locations.select("location").distinct(), [F.col("location")], "__place")
+    return (placed.withColumn("palette_index", (F.col("__place") - 1) % n).drop("__place")
             .withColumn("colour", F.element_at(colours, F.col("palette_index") + 1)))

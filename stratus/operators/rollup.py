@@ -32,6 +32,12 @@ def statistics(clean: DataFrame, *levels: str) -> DataFrame:
     for name, how in (("humidity", F.avg), ("rain_3h", F.sum), ("wind_speed", F.avg)):
         if name in clean.columns:
             stats.append(how(name).alias(name))
+    if len(levels) == 1:  # plain grouping: no row is expanded
+        keys, level = LEVELS[levels[0]]
+        absent = [F.lit(None).cast(t).alias(c) for c, t in (("date", rows.schema["date"].dataType), ("month", rows.schema["month"].dataType))
+                  if c not in keys]
+        out = rows.groupBy(*keys).agg(F.lit(level).cast("long").alias("level"), *stats).select("*", *absent)
+        return out.select("location", "date", "month", *[c for c in out.columns if c not in ("location", "date", "month")])
     keys = [LEVELS[k][0] for k in levels or LEVELS]
     return rows.groupingSets([[F.col(c) for c in k] for k in keys], "location", "date", "month").agg(
         F.grouping_id().alias("level"), *stats)
@@ -85,3 +91,48 @@ def location_counts(stats: DataFrame, name: str = "rows") -> DataFrame:
 
 def row_count(stats: DataFrame) -> DataFrame:
     return _level(stats, "location").agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows"))
+
+
+# ------------------------------------------------- results from mergeable state
+
+_STATE_KEYS = ["location", "date", "month"]
+
+
+def partial_state(clean: DataFrame) -> DataFrame:
+    """Per location and day the counts and sums that the results are made of:
+    states of any landings of rows add up.  Sums are exact, of values rounded to
+    a millionth, so they do not depend on what landed together."""
+    low, high = codes.TEMP_RANGE
+    plausible = F.when(F.col("temp").between(low, high), F.col("temp"))
+    rows = clean.withColumns({"month": F.date_trunc("month", "ts").cast(clean.schema["ts"].dataType), "temp": plausible})
+    stats = [F.count(F.lit(1)).alias("n_rows"), F.min("temp").alias("min_temp"), F.max("temp").alias("max_temp")]
+    for c in ("temp", "humidity", "rain_3h", "wind_speed"):
+        stats += [F.count(c).alias(f"{c}_n"), F.sum(F.col(c).cast("decimal(18,6)")).cast("decimal(38,6)").alias(f"{c}_sum")]
+    return rows.groupBy(*_STATE_KEYS).agg(*stats)
+
+
+def append_state(clean: DataFrame, path: str) -> None:
+    """Add the state of newly landed rows, also of days already there, to the
+    stored states; nothing that landed before is read."""
+    partial_state(clean).write.mode("append").parquet(path)
+
+
+def merged_state(states: DataFrame) -> DataFrame:
+    """One row per location and day of stored states."""
+    how = {c: F.min if c.startswith("min_") else F.max if c.startswith("max_") else F.sum
+           for c in states.columns if c not in _STATE_KEYS}
+    kept = {c: f(c).cast(states.schema[c].dataType).alias(c) for c, f in how.items()}
+    return states.groupBy(*_STATE_KEYS).agg(*kept.values())
+
+
+def statistics_from_state(states: DataFrame) -> DataFrame:
+    """``statistics`` of all levels, with averages as sums over counts."""
+    def mean(c):
+        return F.try_divide(F.sum(f"{c}_sum").cast("double"), F.sum(f"{c}_n").cast("double"))
+
+    stats = [F.sum("n_rows").alias("n_rows"), mean("temp").alias("avg_temp"), F.min("min_temp").alias("min_temp"),
+             F.max("max_temp").alias("max_temp"), mean("humidity").alias("humidity"), F.sum("rain_3h_sum").cast("double").alias("rain_3h"),
+             mean("wind_speed").alias("wind_speed")]
+    keys = [keys for keys, _ in LEVELS.values()]
+    return states.groupingSets([[F.col(c) for c in k] for k in keys], "location", "date", "month").agg(
+        F.grouping_id().alias("level"), *stats)

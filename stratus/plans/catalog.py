@@ -211,6 +211,14 @@ O_DAILY_TEMP = with_views(f"""
 SELECT location, date, round(avg(temp), 2) AS avg_temp FROM {_CLEAN} c
 WHERE temp BETWEEN 10 AND 45 GROUP BY location, date ORDER BY location, date""", "obs")
 
+#: The same with exact sums.
+O_STATE_DAILY_TEMP = with_views(f"""
+SELECT location, date, round(CAST(sum(CAST(temp AS DECIMAL(18,6))) AS DOUBLE) / count(temp), 2) AS avg_temp FROM {_CLEAN} c
+WHERE temp BETWEEN 10 AND 45 GROUP BY location, date ORDER BY location, date""", "obs")
+O_STATE_TOTAL_RAIN = with_views(f"""
+SELECT location, round(CAST(sum(CAST(rain AS DECIMAL(18,6))) AS DOUBLE), 2) AS total_rain_mm FROM {_CLEAN} c
+GROUP BY location ORDER BY total_rain_mm DESC""", "obs")
+
 O_DAILY_WIND = with_views(f"""
 SELECT location, date, round(avg(wind_speed), 2) AS avg_wind_speed FROM {_CLEAN} c
 GROUP BY location, date ORDER BY location, date""", "obs")
@@ -552,6 +560,26 @@ SELECT report_id, WMOIND, YEAR, MONTH, DAY, HOUR, MIN, REPORT FROM synop
 ORDER BY report_id LIMIT 30""", "synop")
 
 
+def _from_state(spark, sf):
+    """The observations in three landings, days in all of them, each kept as a
+    state of its own; statistics of the merged states."""
+    from stratus.session import scratch_path
+
+    path, obs = scratch_path(spark, "state"), _obs(spark, sf)
+    landing = F.pmod(F.xxhash64("location", "ts"), F.lit(3))
+    for k in range(3):
+        rollup.append_state(obs.where(landing == k), path)
+    return rollup.statistics_from_state(rollup.merged_state(spark.read.parquet(path)))
+
+
+def q_state_daily_temp(spark, sf):
+    return rollup.daily_temperature(_from_state(spark, sf))
+
+
+def q_state_total_rain(spark, sf):
+    return rollup.total_rain(_from_state(spark, sf))
+
+
 def q_materialized_total_rain(spark, sf):
     """Cleaned observations written once as Parquet in the shared checkpoint
     folder (lineage cut), then the rain total read from it."""
@@ -745,14 +773,14 @@ _BROKEN = "CASE WHEN report_id%5=0 THEN replace(REPORT, ' 333 ', chr(10) || '333
 
 
 def q_undecoded_multiline(spark, sf):
-    """A fifth of the reports holds a quoted line break."""
+    """A fifth of the reports holds a quoted line break; default options."""
     from stratus.session import scratch_path
     from stratus.sinks import write_raw_csv
     from stratus.sources.undecoded import read_undecoded_csv
 
     path = scratch_path(spark, "landed-multiline")
     write_raw_csv(fixtures.view(spark, sf, "synop").withColumn("REPORT", F.expr(_BROKEN)), path)
-    return read_undecoded_csv(spark, path, sep=",", multiline=True)
+    return read_undecoded_csv(spark, path)
 
 
 O_UNDECODED_MULTILINE = with_views(
@@ -861,6 +889,8 @@ QUERIES = {
     "correlation_lower": (q_correlation_lower, O_CORRELATION_LOWER),
     "month_extremes": (q_month_extremes, O_MONTH_EXTREMES),
     "month_axis_ranges": (q_month_ranges, O_MONTH_RANGES),
+    "state_daily_temp": (q_state_daily_temp, O_STATE_DAILY_TEMP),
+    "state_total_rain": (q_state_total_rain, O_STATE_TOTAL_RAIN),
     "humidity_ranks": (q_humidity_ranks, O_HUMIDITY_RANKS),
     "palette_slots": (q_palette_slots, O_PALETTE_SLOTS),
     "station_summary": (q_station_summary, O_STATION_SUMMARY),

@@ -8,12 +8,14 @@ exactly once, so a restarted or failed run neither loses nor repeats rows.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from stratus.plans.decode_job import decode_raw
 from stratus.schemas import RAW_SCHEMA
-from stratus.session import scratch_path
+from stratus.session import checkpoint_dir
 
 
 def decode_stream(spark: SparkSession, input_dir: str, sep: str = ",",
@@ -40,11 +42,13 @@ def start_decode_stream(spark: SparkSession, input_dir: str, output_dir: str,
                         processing_time: str = "1 minute") -> StreamingQuery:
     """Start the stream into Parquet under ``output_dir``.
 
-    ``checkpoint`` defaults to a folder under ``spark.checkpoint.dir``;
+    ``checkpoint`` defaults to a folder under ``spark.checkpoint.dir`` that
+    ``output_dir`` names, so a query started again goes on where it stopped;
     ``available_now`` processes what has landed and stops, otherwise the
     query keeps running with the given trigger interval.
     """
-    ckpt = checkpoint or scratch_path(spark, "decode-stream")
+    named = hashlib.sha256(output_dir.rstrip("/").encode()).hexdigest()[:32]
+    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/stratus/decode-stream-{named}"
     writer = (decode_stream(spark, input_dir, sep=sep, stations=stations).writeStream
               .format("parquet").option("path", output_dir)
               .option("checkpointLocation", ckpt).outputMode("append"))

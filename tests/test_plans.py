@@ -116,3 +116,14 @@ def test_undecoded_files_are_read_by_one_scan_without_shuffling_lines(spark, tmp
         plan = physical(read_undecoded_csv(spark, tmp_dir, sep=sep))
         assert plan.count("Scan csv") == 1 and plan.count("Scan text") == 0
         assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_ranks_without_a_single_task(spark):
+    from stratus.operators import chartdata
+
+    hum = spark.createDataFrame([(f"l{k:03d}", None if k % 7 == 0 else float(k % 11)) for k in range(200)], "location string, avg_humidity double")
+    ranked, slots = chartdata.humidity_ranks(hum), chartdata.palette_slots(hum)
+    assert "SinglePartition" not in physical(ranked) + physical(slots)
+    want = sorted(hum.collect(), key=lambda r: (r.avg_humidity is None, -(r.avg_humidity or 0), r.location))
+    assert [r.location for r in ranked.orderBy("rank").collect()] == [r.location for r in want]
+    assert [r.palette_index for r in slots.orderBy("location").collect()] == [k % 8 for k in range(200)]
