@@ -11,6 +11,7 @@ from stratus.llm.language_id import known_language
 from stratus.llm.mixing import mix
 from stratus.llm.ngram_jaccard import one_per_group
 from stratus.llm.sharding import shard_documents
+from stratus.session import job
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,5 +51,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        with job(spark) as held:  # a stage's own tables go once its result is written
+            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+            held.hand_over()
     return STAGES[-1][1](spark, docs, sf_dir)
