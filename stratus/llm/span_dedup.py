@@ -142,7 +142,7 @@ def remove_repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_sente
     """doc_id, n_sentences, n_removed and the text without repeated spans."""
     rule = (min_words, min_sentences, alone)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.crc32(F.encode("text", "UTF-8")).alias("content"), "text")
+                       F.xxhash64("text").alias("content"), "text")
     runs = docs.mapInArrow(lambda it: _runs(it, rule), "h long, doc_id long, content long, i int, j int")
     # A run repeats if its first and last places differ.  The table is written,
     # so that both sides of the join are plain exchanges and a hot run is split.
