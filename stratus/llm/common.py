@@ -36,6 +36,16 @@ def small_side(df: DataFrame, max_rows: int, persist: bool = True) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def small_bytes(df: DataFrame, strings: list[str], max_bytes: int) -> DataFrame:
+    """``df`` with a broadcast hint if its rows, at 32 bytes each, and the bytes
+    of its ``strings`` make at most ``max_bytes`` (summed first), unchanged (a
+    shuffled join) beyond that."""
+    size = F.lit(32)
+    for c in strings:
+        size = size + F.coalesce(F.octet_length(c), F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= max_bytes else df
+
+
 #: Share of all rows beyond which a key counts as hot.
 HOT_SHARE = 4096
 

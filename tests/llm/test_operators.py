@@ -315,23 +315,105 @@ def test_span_dedup(spark):
     assert span_dedup.remove_repeated_spans(docs(spark, [])).count() == 0
 
 
+def model_tree(paths):
+    """(host, shape) -> (template, rejected) level by level, of rows
+    (host, shape, n, blocked, labelled)."""
+    t = url_templates
+    plain = lambda seg: "\\" + seg if seg[:1] in ("*", "\\") else seg
+    out, nodes = {}, {}
+    for r in paths:
+        nodes.setdefault((r[0], ""), []).append((r, r[1].removeprefix("/").split("/") if r[1] else []))
+    while nodes:
+        below = {}
+        for (host, template), rows in nodes.items():
+            kids = {}
+            for r, rest in rows:
+                if rest:
+                    kids.setdefault(rest[0], []).append((r, rest[1:]))
+                else:
+                    out[host, r[1]] = template, r
+            total = {k: [sum(r[i] for r, _ in v) for i in (2, 3, 4)] for k, v in kids.items()}
+            all_n = sum(v[0] for v in total.values())
+            rare = {k for k, v in total.items() if len(kids) >= t.MANY_CHILDREN and all_n < len(kids) * t.FEW_PAGES and v[0] < t.FEW_PAGES}
+            grades = {}
+            for k, (_, b, l) in total.items():
+                if k not in rare and l:
+                    g = grades.setdefault(b * t.GRADES // l, [0, 0, []])
+                    g[0], g[1] = g[0] + b, g[1] + l
+                    g[2].append(k)
+            runs, before = [], None
+            for g in sorted(grades):
+                b, l, ks = grades[g]
+                if before:
+                    pooled = (b + before[0]) / (l + before[1])
+                    apart = abs(b / l - before[0] / before[1]) > t.SIMILAR_Z * (pooled * (1 - pooled) * (1 / l + 1 / before[1])) ** 0.5
+                if before is None or apart:
+                    runs.append([])
+                runs[-1] += ks
+                before = b, l
+            shown = {k: f"*{i + 1}" for i, ks in enumerate(runs) if len(ks) > 1 for k in ks} | dict.fromkeys(rare, "*")
+            for k, v in kids.items():
+                below.setdefault((host, f"{template}/{shown.get(k, plain(k))}"), []).extend(v)
+        nodes = below
+    sums = {}
+    for (host, _), (template, r) in out.items():
+        s = sums.setdefault((host, template), [0, 0])
+        s[0], s[1] = s[0] + r[3], s[1] + r[4]
+    labelled = sum(r[4] for r in paths)
+    prior = sum(r[3] for r in paths) / labelled if labelled else 0.0
+    return {k: (t_, sums[k[0], t_][1] > 0 and (sums[k[0], t_][0] + t.STRENGTH * prior) / (sums[k[0], t_][1] + t.STRENGTH) >= t.PURITY)
+            for k, (t_, _) in out.items()}
+
+
+def test_template_tree_against_a_model(spark):
+    rng = np.random.default_rng(9)
+    paths, seen = [], set()
+    for _ in range(900):
+        depth = int(rng.integers(0, 9))
+        segs = [["a", "b", "*", "*1", "\\x", ""][int(rng.integers(6))] if rng.random() < 0.7 else f"v{int(rng.integers(400))}" for _ in range(depth)]
+        host, shape = f"h{int(rng.integers(3))}", "".join("/" + s for s in segs)
+        if (host, shape) not in seen:
+            seen.add((host, shape))
+            labelled = int(rng.integers(0, 4))
+            bad = 0.95 if "b" in segs[:2] else 0.05
+            paths.append((host, shape, labelled + int(rng.integers(0, 3)) + 1, int(rng.binomial(labelled, bad)), labelled))
+    deep = "/" + "/".join(["d"] * 300)
+    paths += [("deep", deep + "/x", 1, 1, 1), ("deep", deep + "/y", 1, 0, 0), ("deep", deep, 1, 0, 0)]
+    got = url_templates.path_templates(spark.createDataFrame(paths, "host string, shape string, n long, blocked long, labelled long")).collect()
+    want = model_tree(paths)
+    assert len(got) == len(paths) and {(r.host, r.shape): (r.template, r.rejected) for r in got} == want
+    assert 0 < sum(v[1] for v in want.values()) < len(want) and any("*1" in v[0].replace("\\*1", "") for v in want.values())
+
+
 def test_url_filters(spark):
     urls = [None, "", "no scheme", "http://a.NET", "http://a.net/x", "http://example.net/en/1", "http://m.example.net/en", "ftp://x.example.com/de/5?q=/",
             "http://example.com#/de/", "http://notexample.com/de/1", "https://b.org/fr/a://b", "http://u@b.org:80/fr/", "http://b.org/FR/", "://net/"]
     urls += [f"http://s.example.com/de/page{k}.html" for k in range(30)] + [f"http://s.example.com/en/{k}/x/y/z/w" for k in range(30)]
+    # rare children of one node, most of them decided by the rule, some not
+    urls += [f"http://t.example.com/{'de' if k < 30 else 'd' + chr(97 + k - 30)}{'/' if k < 30 else ''}" for k in range(40)]
+    rules = [*url_templates.RULES, *[("block", "w.com", f"v{chr(97 + k)}") for k in range(20)]]
+    urls += [f"http://w.com/v{chr(97 + k)}" for k in range(26)]
     rows = [(k, u, "<html>", "h") for k, u in enumerate(urls)] + [(None, urls[4], None, None)]
-    got = url_templates.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string, host string")).collect()
+    got = url_templates.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string, host string"), rules).collect()
     assert len(got) == len(rows)
+    want, shapes = [], {}
     for r in got:
         u = urls[4] if r.page_id is None else urls[r.page_id]
         rest = u.split("://", 1)[1] if u and "://" in u else ""
         host, path = re.match(r"([^/?#]*)([^?#]*)", rest).groups()
-        host, rule, verdict = host.translate(FOLD), None, "allow"
-        for v, name in (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")):
-            h, p = name.split("/", 1)
-            if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and len(name) > len(rule or ""):
-                rule, verdict = name, v
-        assert (r.host, r.path, r.rule, r.verdict) == (host, path, rule, verdict)
+        host, rule, verdict = host.translate(FOLD), None, None
+        for v, h, p in rules:
+            if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and len(h + "/" + p) > len(rule or ""):
+                rule, verdict = f"{h}/{p}", v
+        shape = re.sub("[0-9]+", "#", path)
+        want.append((host, path, rule, verdict, shape))
+        s = shapes.setdefault((host, shape), [0, 0, 0])
+        shapes[host, shape] = [s[0] + 1, s[1] + (verdict == "block"), s[2] + (verdict is not None)]
+    tree = model_tree([(*k, *v) for k, v in shapes.items()])
+    for r, (host, path, rule, verdict, shape) in zip(got, want):
+        verdict = verdict or ("block" if tree[host, shape][1] else "allow")
+        assert (r.host, r.path, r.rule, r.verdict, r.template) == (host, path, rule, verdict, tree[host, shape][0])
+    assert any(r.rule is None and r.verdict == "block" for r in got)
     assert url_templates.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
