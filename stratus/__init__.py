@@ -29,6 +29,9 @@ _EXPORTS = {
     "read_undecoded_csv": "stratus.sources.undecoded",
     "read_station_csv": "stratus.sources.stations",
     "read_observations": "stratus.sources.observations",
+    "append_clustered": "stratus.sources.clustered",
+    "read_clustered": "stratus.sources.clustered",
+    "footer_counts": "stratus.sources.clustered",
     "period_coverage": "stratus.operators.coverage",
     "start_decode_stream": "stratus.streaming.landed",
 }

@@ -580,6 +580,58 @@ def q_state_total_rain(spark, sf):
     return rollup.total_rain(_from_state(spark, sf))
 
 
+def _clustered(spark, sf):
+    """All observations in two landings of a clustered store: its path and schema."""
+    from stratus.session import scratch_path
+    from stratus.sources.clustered import append_clustered
+
+    path, obs = scratch_path(spark, "clustered"), fixtures.view(spark, sf, "obs")
+    late = F.col("obs_id") % 5 == 0
+    append_clustered(obs.where(~late), path, files=16)
+    append_clustered(obs.where(late), path, files=4)
+    return path, obs.schema
+
+
+def q_clustered_range(spark, sf):
+    """Daily temperatures of one location over ten days: a range read of the
+    store that holds all observations (the range is the feature)."""
+    from stratus.sources.clustered import read_clustered
+
+    path, schema = _clustered(spark, sf)
+    days = (_dt.datetime(2024, 1, 10), _dt.datetime(2024, 1, 19, 23, 59, 59, 999999))
+    rows = read_clustered(spark, path, schema, {"location": ("click", "click"), "ts": days})
+    return rows.groupBy("location", F.to_date("ts").alias("date")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max("temp").alias("max_temp"), F.min("temp").alias("min_temp"))
+
+
+O_CLUSTERED_RANGE = with_views("""
+SELECT location, CAST(ts AS DATE) AS date, count(*) AS rows, max(temp) AS max_temp, min(temp) AS min_temp
+FROM obs WHERE location = 'click' AND ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'
+GROUP BY location, CAST(ts AS DATE)""", "obs")
+
+
+def q_footer_location_counts(spark, sf):
+    """Rows per location of the observations stored by location, from footers."""
+    from stratus.session import scratch_path
+    from stratus.sinks import write_parquet
+    from stratus.sources.clustered import footer_counts
+
+    path = scratch_path(spark, "by-location")
+    write_parquet(fixtures.view(spark, sf, "obs"), path, partition_by=["location"])
+    return footer_counts(spark, path, ["location"])
+
+
+def q_clustered_file_rows(spark, sf):
+    """Rows of the clustered store, in all, from its file table."""
+    from stratus.sources.clustered import file_rows
+
+    path, _ = _clustered(spark, sf)
+    return file_rows(spark, path).agg(F.count(F.lit(1)).alias("landings"), F.sum("rows").alias("rows"))
+
+
+O_CLUSTERED_FILE_ROWS = with_views("SELECT CAST(2 AS BIGINT) AS landings, count(*) AS rows FROM obs", "obs")
+
+
 def q_materialized_total_rain(spark, sf):
     """Cleaned observations written once as Parquet in the shared checkpoint
     folder (lineage cut), then the rain total read from it."""
@@ -901,6 +953,9 @@ QUERIES = {
     "decode_job_files": (q_decode_job_files, O_DECODE_JOB_FILES),
     "rollup_location_summary": (q_rollup_location_summary, O_ROLLUP_LOCATION_SUMMARY),
     "raw_preview": (q_raw_preview, O_RAW_PREVIEW),
+    "clustered_range": (q_clustered_range, O_CLUSTERED_RANGE),
+    "clustered_file_rows": (q_clustered_file_rows, O_CLUSTERED_FILE_ROWS),
+    "footer_location_counts": (q_footer_location_counts, O_LOCATION_COUNTS),
     "materialized_total_rain": (q_materialized_total_rain, O_TOTAL_RAIN),
     "stream_decode_files": (q_stream_decode_files, O_DECODE_JOB_FILES),
     "raw_record_counts": (q_raw_record_counts, O_RAW_RECORD_COUNTS),
