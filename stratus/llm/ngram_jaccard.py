@@ -58,6 +58,9 @@ _XOR = 0x5DEECE66D1234567
 #: Leaders of a list in every later round; size bands between a size and the
 #: least one that a set of it can link with.
 LEADERS, BANDS = 6, 8
+#: Prefix entries that a task packs at a time, and the most buckets it deals them
+#: to: a packed row holds 16 entries or more on average, at any size of the input.
+PACKED, MOST_BUCKETS = 1 << 19, 1 << 15
 
 
 def shingle_sets(data: np.ndarray, starts: np.ndarray, words: int = 5) -> list[np.ndarray]:
@@ -133,14 +136,13 @@ def _describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
         yield frequent()
 
 
-def _postings(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequent) -> Iterator[pa.RecordBatch]:
-    """(h, node, np, often) for every prefix shingle of every set that this task
-    has not listed yet; np packs the set's size and the shingle's position."""
+def _prefixes(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequent):
+    """(h, node, n, position, often) arrays: the prefix of every set that this
+    task has not listed yet."""
     often, times = frequent.value
     seen: set[int] = set()
     for batch in batches:
         for _, _, data, starts in text_chunks(batch.column(0)):
-            hs, nodes, sizes, flags = [], [], [], []
             for s in shingle_sets(data, starts, words):
                 n = len(s)
                 if not n or (node := node_of(s)) in seen:
@@ -154,15 +156,62 @@ def _postings(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequ
                     if flag.any():
                         order = np.lexsort((s, np.where(flag, times[at], 0)))
                         s, flag = s[order], flag[order]
-                hs.append(s[:p])
-                flags.append(flag[:p])
-                nodes.append(np.full(p, node, np.int64))
-                sizes.append((n << 32) + np.arange(p, dtype=np.int64))
-            if hs:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(nodes)),
-                     pa.array(np.concatenate(sizes)), pa.array(np.concatenate(flags))],
-                    names=["h", "node", "np", "often"])
+                yield s[:p].view(np.int64), np.full(p, node, np.int64), np.full(p, n, np.int64), np.arange(p), flag[:p]
+
+
+def _often_entries(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequent) -> Iterator[pa.RecordBatch]:
+    """(h, node, np) of the frequent shingles in prefixes; np packs the set's
+    size and the shingle's position."""
+    held, parts = 0, []
+
+    def listed():
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=["h", "node", "np"])
+
+    for h, node, n, at, flag in _prefixes(batches, words, percent, frequent):
+        if flag.any():
+            parts.append((h[flag], node[flag], (n[flag] << 32) + at[flag]))
+            held += len(parts[-1][0])
+        if held >= 1 << 16:
+            yield listed()
+            held, parts = 0, []
+    if held:
+        yield listed()
+
+
+def _packed_entries(batches: Iterator[pa.RecordBatch], words: int, percent: int, frequent, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The other prefix entries, ``PACKED`` at a time, as one row a bucket of
+    hashes: (bucket, hs, nodes, small, wide).  An entry takes 20 bytes: size and
+    position share 32 bits (``small``); sets of 2 ** 15 shingles or more have
+    rows of their own with 64 bits (``wide``)."""
+    held, parts = 0, []
+
+    def packed():
+        h, node, n, at = (np.concatenate(x) for x in zip(*parts))
+        for wide in (False, True):
+            pick = np.flatnonzero((n >= 1 << 15) == wide)
+            if not len(pick):
+                continue
+            bucket = h[pick] & (buckets - 1)
+            order = np.argsort(bucket, kind="stable")
+            pick, bucket = pick[order], bucket[order]
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            offsets = pa.array(np.append(first, len(pick)), pa.int32())
+            sizes = (n[pick] << 32) + at[pick] if wide else ((n[pick] << 16) + at[pick]).astype(np.int32)
+            sizes = pa.ListArray.from_arrays(offsets, pa.array(sizes))
+            absent = pa.nulls(len(first), pa.list_(pa.int32() if wide else pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[first]), *(pa.ListArray.from_arrays(offsets, pa.array(x[pick])) for x in (h, node)),
+                 *((absent, sizes) if wide else (sizes, absent))], names=["bucket", "hs", "nodes", "small", "wide"])
+
+    for h, node, n, at, flag in _prefixes(batches, words, percent, frequent):
+        rare = ~flag
+        parts.append((h[rare], node[rare], n[rare], at[rare]))
+        held += len(parts[-1][0])
+        if held >= PACKED:
+            yield from packed()
+            held, parts = 0, []
+    if held:
+        yield from packed()
 
 
 def _verify(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -263,8 +312,16 @@ def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     order = np.argsort(hot)
     frequent = spark.sparkContext.broadcast((hot[order], np.array([r[1] for r in top], np.int64)[order]))
 
-    postings = docs.select("text").mapInArrow(
-        lambda it: _postings(it, words, percent, frequent), "h long, node long, np long, often boolean")
+    # Entries of frequent shingles one a row; all others, most of them the only
+    # one of their list, packed by bucket of hashes, sixteen buckets a partition.
+    often = written(docs.select("text").mapInArrow(
+        lambda it: _often_entries(it, words, percent, frequent), "h long, node long, np long"), "often")
+    buckets = min(MOST_BUCKETS, 1 << (16 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    packed = docs.select("text").mapInArrow(
+        lambda it: _packed_entries(it, words, percent, frequent, buckets),
+        "bucket long, hs array<long>, nodes array<long>, small array<int>, wide array<long>").repartition("bucket")
+    np_of = F.transform("small", lambda x: F.shiftleft(F.shiftright(x, 16).cast("long"), 32) + x.bitwiseAND(F.lit(0xFFFF)))
+    postings = packed.select("bucket", F.inline(F.arrays_zip("hs", "nodes", F.coalesce("wide", np_of))).alias("h", "node", "np"))
 
     # Leaders of every list.  The lists of frequent shingles, at most FREQUENT
     # many, are summed up before the shuffle; the others are short.
@@ -272,13 +329,11 @@ def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     swapped = F.struct(F.col("node").bitwiseXOR(F.lit(_XOR)).alias("node"), "np")
     stats = [F.min(entry).alias("l1"), F.max(entry).alias("l2"), F.min(swapped).alias("l3"),
              F.count(F.lit(1)).alias("size")]
-    w = Window.partitionBy("h")
-    rare = postings.where("not often").select("h", "node", "np", F.count(F.lit(1)).over(w).alias("size"),
+    w = Window.partitionBy("bucket", "h")  # dealt by bucket already
+    rare = postings.select("h", "node", "np", F.count(F.lit(1)).over(w).alias("size"),
                                               F.min(entry).over(w).alias("l1"), F.max(entry).over(w).alias("l2"),
                                               F.min(swapped).over(w).alias("l3")).where("size > 1")
-    frequent_lists = postings.where("often").groupBy("h").agg(*stats)
-    common = (postings.where("often").select("h", "node", "np")
-              .join(F.broadcast(frequent_lists), "h").where("size > 1"))
+    common = often.join(F.broadcast(often.groupBy("h").agg(*stats)), "h").where("size > 1")
     cols = ["h", "node", "np", "size", "l1", "l2", "l3"]
     live = written(rare.select(cols).unionByName(common.select(cols)).where("l1.node <> l2.node"), "lists")
 
@@ -365,21 +420,19 @@ def _probe(mixed: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, ga, gb) of sets of different groups that may link and that
     no leader has answered.
 
-    Sets are dealt by list and size band.  A set is entered only where a first
-    common shingle with a set of that band can stand: as the smaller one in its
-    own band, up to the position that leaves the overlap two sets of its size
-    need; as the larger one in each lower band, up to the position that leaves
-    the overlap with the band's least size.  All other entries are skipped
-    before the join.
+    Sets are dealt by list and size band.  A set is listed once, in its own band,
+    and as the smaller one of a pair it asks its own band and the higher ones that
+    a linked set can be in, each up to the position that leaves the overlap with
+    the least size there: the higher the band, the fewer positions.  All other
+    entries are skipped before the join.
     """
     step = (100 / percent) ** (1 / BANDS)
     n, at = _n(F.col("np")), _pos(F.col("np"))
     banded = mixed.withColumn("band", F.floor(F.log(n) / F.log(F.lit(step)) + 1e-9))
-    probe = banded.where((n - at) * (100 + percent) >= 2 * n * percent).select(
-        "h", F.col("node").alias("x"), F.col("np").alias("px"), F.col("group").alias("gx"), "band")
-    bands = F.filter(F.sequence(F.col("band") - BANDS - 1, F.col("band")), lambda b: (n - at) * (100 + percent) >= (
-        n + F.ceil(F.pow(F.lit(step), b) - 1e-6)) * percent)
-    listed = banded.select("h", F.col("node").alias("y"), F.col("np").alias("py"), F.col("group").alias("gy"), F.explode(bands).alias("band"))
+    listed = banded.select("h", F.col("node").alias("y"), F.col("np").alias("py"), F.col("group").alias("gy"), "band")
+    bands = F.filter(F.sequence(F.col("band"), F.col("band") + BANDS + 1), lambda b: (n - at) * (100 + percent) >= (
+        n + F.greatest(n, F.floor(F.pow(F.lit(step), b) * (1 - 1e-6)))) * percent)
+    probe = banded.select("h", F.col("node").alias("x"), F.col("np").alias("px"), F.col("group").alias("gx"), F.explode(bands).alias("band"))
     met = probe.join(listed, ["h", "band"]).where(
         (F.col("gx") != F.col("gy")) & _first(F.col("px"), F.col("py"), percent)
         & (F.struct(_n(F.col("px")), F.col("x")) < F.struct(_n(F.col("py")), F.col("y"))))
