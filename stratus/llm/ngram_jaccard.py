@@ -335,7 +335,7 @@ def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                               F.min(swapped).over(w).alias("l3")).where("size > 1")
     common = often.join(F.broadcast(often.groupBy("h").agg(*stats)), "h").where("size > 1")
     cols = ["h", "node", "np", "size", "l1", "l2", "l3"]
-    live = written(rare.select(cols).unionByName(common.select(cols)).where("l1.node <> l2.node"), "lists")
+    live = written(rare.select(cols).unionByName(common.select(cols)).where("l1.node <> l2.node"), "lists", "zstd")
 
     # Pairs with leaders; in lists of up to three sets these are all pairs.
     other = F.struct(F.col("l3.node").bitwiseXOR(F.lit(_XOR)).alias("node"), F.col("l3.np").alias("np"))
@@ -491,7 +491,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, repeated: bool)
     used = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
                    .join(nodes.select("node", "key"), "node"), "candidates")
     texts = docs.join(small_side(used, BROADCAST_ROWS), "key").select("node", "text")
-    return written(texts.dropDuplicates(["node"]) if repeated else texts, "texts")
+    return written(texts.dropDuplicates(["node"]) if repeated else texts, "texts", "zstd")
 
 
 def _linked(texts: DataFrame, pairs: DataFrame, words: int, percent: int, picked: bool = False) -> DataFrame:
