@@ -58,6 +58,12 @@ _XOR = 0x5DEECE66D1234567
 #: Leaders of a list in every later round; size bands between a size and the
 #: least one that a set of it can link with.
 LEADERS, BANDS = 6, 8
+#: The first leaders come from the core of a list: steps of the logarithm by which
+#: these tell sets apart (the smaller, the more sets count as equally near it).
+CORE = (1000, 20, 8)
+#: A set and a leader are counted on all their shingles in common if the lists that
+#: it leads make at least this part of what they need.
+PART = 4
 #: Prefix entries that a task packs at a time, and the most buckets it deals them
 #: to: a packed row holds 16 entries or more on average, at any size of the input.
 PACKED, MOST_BUCKETS = 1 << 19, 1 << 15
@@ -358,27 +364,32 @@ def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Lists that still hold several groups: rounds with several new leaders
     # each, since a set that misses one leader of its group seldom misses all.
     # The groups are named anew after every round, until one joins next to none.
-    labelled = (live.where("size > 3").select("h", "node", "np").join(small_side(groups, BROADCAST_ROWS), "node", "left")
-                .select("h", "node", "np", F.coalesce("component", "node").alias("group")))
-    mixed = written(_mixed(written(labelled, "labelled")).distinct(), "mixed")
+    labelled = (live.where("size > 3").select("h", "node", "np", "size").join(small_side(groups, BROADCAST_ROWS), "node", "left")
+                .select("h", "node", "np", F.coalesce("component", "node").alias("group"), "size"))
+    mixed = _mixed(written(labelled, "labelled")).repartition("node").distinct()
+    mixed = written(mixed.select("h", "node", "np", "group", _core(percent).alias("core")), "mixed")
     universe = mixed.select(F.col("group").alias("component"), F.col("group").alias("root")).distinct()
     universe = universe.union(groups.select("component", F.col("component").alias("root"))).distinct()
     pool = _texts(docs, nodes, mixed.select(F.col("node").alias("a"), F.col("node").alias("b")), repeated)
+    prefixes = written(mixed.groupBy("node").agg(F.collect_list("h").alias("hs")), "prefixes")
     many, turn = mixed.select("group").distinct().count(), 0
     while many > 1:
         lead = mixed.groupBy("h").agg(*[
-            F.min(F.struct(F.col("node").bitwiseXOR(F.lit(mask)).alias("key"), "node", "np", "group")).alias(f"l{k}")
+            F.min(F.struct(*_rank(k, mask), "node", "np", "group")).alias(f"l{k}")
             for k, mask in enumerate(_masks(turn))])
         led = mixed.join(lead, "h").select("node", "np", "group", F.inline(F.filter(
-            F.array_distinct(F.array(*[f"l{k}" for k in range(LEADERS)])), lambda x: x["group"] != F.col("group")))
-            .alias("key", "other", "other_np", "other_group"))
+            F.array_distinct(F.array(*[F.struct(f"l{k}.node", f"l{k}.np", f"l{k}.group") for k in range(LEADERS)])),
+            lambda x: x["group"] != F.col("group"))).alias("other", "other_np", "other_group"))
         led = led.where(_possible(F.col("np"), F.col("other_np"), percent))
         # A pair of sets always has the same groups, so either order of them does.
         named = [F.least("group", "other_group").alias("ga"), F.greatest("group", "other_group").alias("gb")]
         led = (_ordered(led, "node", "np", "other", "other_np", *named)
                .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"), F.min("ga").alias("ga"), F.min("gb").alias("gb"))
-               .where(_enough(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b", "ga", "gb"))
-        again = written(led.join(tried, ["a", "b"], "left_anti"), "again")
+               .where(_enough(F.col("c") * PART, F.col("na"), F.col("nb"), percent)).drop("c"))
+        # A leader of some lists of a set is counted on all that they share.
+        led = written(led.join(tried, ["a", "b"], "left_anti"), "led")
+        again = written(_shared(led, prefixes).where(_enough(F.col("c"), F.col("na"), F.col("nb"), percent))
+                        .select("a", "b", "ga", "gb"), "again")
         tried = tried.unionByName(again.select("a", "b"))
         links = _linked(pool, again, words, percent)
         joined = links.count()
@@ -391,20 +402,23 @@ def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             break
         many = mixed.select("group").distinct().count()
 
-    met = written(_probe(mixed, pairs, percent).join(tried, ["a", "b"], "left_anti"), "met")
-    # Of every pair of groups a few pairs of sets at a time, more each time: what
-    # these join needs no further answers.
-    some = 2
+    met = written(_probe(mixed, pairs, prefixes, percent).join(tried, ["a", "b"], "left_anti"), "met")
+    # Of every pair of groups a few pairs of sets at a time, more each time, first
+    # those with most in common: what these join needs no further answers.  Names
+    # are looked up once a pair of groups, not once a pair of sets.
+    some, answers, before = 2, None, universe
     while not met.isEmpty():
-        among = Window.partitionBy("ga", "gb").orderBy(F.xxhash64("a", "b"), "a", "b")
+        among = Window.partitionBy("ga", "gb").orderBy(F.desc("c"), F.xxhash64("a", "b"), "a", "b")
         ranked = written(met.withColumn("rank", F.row_number().over(among)), "ranked")
-        links = _linked(pool, ranked.where(F.col("rank") <= some).drop("rank"), words, percent)
+        links = _linked(pool, ranked.where(F.col("rank") <= some).drop("rank", "c"), words, percent)
         met = ranked.where(F.col("rank") > some).drop("rank")
         if not links.isEmpty():
-            merged = _merged(links)
-            universe = _renamed(universe, merged, "root")
-            met = _renamed(_renamed(met, merged, "ga"), merged, "gb").where("ga <> gb").select(
-                "a", "b", F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb"))
+            answers = links if answers is None else answers.unionByName(links)
+            merged = _merged(answers)
+            universe = _renamed(before, merged, "root")
+            between = met.select("ga", "gb", F.col("ga").alias("root_a"), F.col("gb").alias("root_b")).distinct()
+            same = _renamed(_renamed(between, merged, "root_a"), merged, "root_b").where("root_a = root_b").select("ga", "gb")
+            met = met.join(small_side(written(same, "same"), BROADCAST_ROWS), ["ga", "gb"], "left_anti")
         met, some = written(met, "left"), some * 16
 
     # Smallest document id of every group, then back to the documents.
@@ -416,9 +430,9 @@ def grouped_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "doc_id", "key", F.col("n").alias("n_shingles"), "root", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _probe(mixed: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, ga, gb) of sets of different groups that may link and that
-    no leader has answered.
+def _probe(mixed: DataFrame, pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, ga, gb, c) of sets of different groups that may link and that
+    no leader has answered, with the number of prefix shingles they share.
 
     Sets are dealt by list and size band.  A set is listed once, in its own band,
     and as the smaller one of a pair it asks its own band and the higher ones that
@@ -444,13 +458,9 @@ def _probe(mixed: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
              .join(grouped.select(F.col("node").alias("b"), F.col("group").alias("gy")), "b")
              .where("gx <> gy").select("a", "b", "na", "nb", *named))
     met = written(_ordered(met, "x", "px", "y", "py", *named).unionByName(short).distinct(), "met")
-    prefixes = mixed.groupBy("node").agg(F.collect_list("h").alias("hs"))
-    return (met.join(prefixes.select(F.col("node").alias("a"), F.col("hs").alias("ha")), "a")
-            .join(prefixes.select(F.col("node").alias("b"), F.col("hs").alias("hb")), "b")
-            .select("a", "b", "na", "nb", "ga", "gb", F.size(F.array_intersect("ha", "hb")).alias("c"))
-            .join(pairs.select("a", "b", "short"), ["a", "b"], "left")
-            .where(_enough(F.col("c") + F.coalesce("short", F.lit(0)), F.col("na"), F.col("nb"), percent))
-            .select("a", "b", "ga", "gb"))
+    return (_shared(met, prefixes).join(pairs.select("a", "b", "short"), ["a", "b"], "left")
+            .withColumn("c", F.col("c") + F.coalesce("short", F.lit(0)))
+            .where(_enough(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b", "ga", "gb", "c"))
 
 
 def _masks(turn: int) -> list[int]:
@@ -458,6 +468,32 @@ def _masks(turn: int) -> list[int]:
     return [((turn * LEADERS + k) * 0x1F83D9ABFB41BD6B + 0x3C6EF372FE94F82B) % (1 << 63) for k in range(LEADERS)]
 
 
+def _shared(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """``pairs(a, b, na, nb, ga, gb)`` with the number of prefix shingles in common."""
+    return (pairs.join(prefixes.select(F.col("node").alias("a"), F.col("hs").alias("ha")), "a")
+            .join(prefixes.select(F.col("node").alias("b"), F.col("hs").alias("hb")), "b")
+            .select("a", "b", "na", "nb", "ga", "gb", F.size(F.array_intersect("ha", "hb")).alias("c")))
+
+
+def _core(percent: int):
+    """How near a set stands to the core of its near copies: the mean size of the
+    lists of its prefix, a shingle in no such list counted as 0, as a logarithm.
+    The copy with the fewest changes of its own has the most."""
+    n = _n(F.col("np"))
+    lists = F.sum("size").over(Window.partitionBy("node"))
+    return F.log(lists / (n - F.ceil(n * percent / 100) + 1)).cast("float")
+
+
+def _rank(k: int, mask: int) -> list:
+    """What makes a set leader ``k`` of its lists: the first in the core, any of
+    those near it, any set at all.  It orders sets, not entries, so a leader leads
+    most of the lists that it shares with a set."""
+    key = F.col("node").bitwiseXOR(F.lit(mask)).alias("key")
+    if k < len(CORE):
+        return [(-F.floor(F.col("core") * CORE[k])).alias("core"), key]
+    return [key]
+
+
 def _ordered(df: DataFrame, x: str, px: str, y: str, py: str, *more) -> DataFrame:
     """Pairs as (a, b, na, nb) with a < b."""
     low = F.col(x) < F.col(y)

@@ -515,3 +515,32 @@ def test_jaccard_verifies_in_proportion(spark, monkeypatch):
                     parent[b] = a
         assert all(got[k] == root(k) for k in range(n)) and all(got[k] == k for k in got if k >= n)
     assert counts[0] <= 6 * 200 and counts[1] <= 6 * 600, counts
+
+
+def test_jaccard_looks_groups_up_in_proportion(spark, monkeypatch):
+    """Near copies of one text, a fifth of them just too far from any other: the joins that
+    look up the groups of what is left make no row for every pair of sets."""
+    rows_in, plain = [], ngram_jaccard._renamed
+
+    def counted(df, merged, column):
+        if column not in ("root", "group"):
+            rows_in.append(df.count())
+        return plain(df, merged, column)
+
+    monkeypatch.setattr(ngram_jaccard, "_renamed", counted)
+    base, rng, rows = words(150, 5, 10 ** 6), random.Random(4), []
+    for k in range(400):
+        copy = list(base)
+        for at in rng.sample(range(5, 145), rng.randrange(1, 6)):
+            copy[at] = f"e{k}x{at}"
+        rows.append((k, " ".join(copy), "en", "s"))
+    got = {r.doc_id: r.component_id for r in ngram_jaccard.jaccard_groups(docs(spark, rows)).collect()}
+    sets, label = [shingles(t) for _, t, _, _ in rows], list(range(400))
+    for a in range(400):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if label[a] != label[b] and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    assert got == dict(enumerate(label))
+    assert sum(rows_in) <= 2 * 400, rows_in
